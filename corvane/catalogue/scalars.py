@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from corvane.catalogue.registry import query
 from corvane.catalogue.views import Views
 from corvane.functions.dates import age_in_years, parse_date
+from corvane.functions.text import hashtags
 from corvane.plans.movies import with_release_date
 
 AS_OF = "2024-01-01"
@@ -171,6 +172,16 @@ def arrays(v: Views):
     )
 
 
+@query(
+    "fn_array_filter",
+    """SELECT post_id, array_to_string(list_filter(string_split(description, ' '), lambda w: starts_with(w, '#')), ' ')
+         AS hashtags FROM posts""",
+    "posts",
+)
+def filtered_arrays(v: Views):
+    return v.posts().select("post_id", F.array_join(hashtags(F.col("description")), " ").alias("hashtags"))
+
+
 @query(
     "null_functions",
     """SELECT Title, coalesce(Rotten_Tomatoes_Rating, IMDB_Rating * 10) AS first_known,

@@ -13,18 +13,34 @@ from pyspark.sql import functions as F
 _MEMBER = "__member"
 
 
+def _keys_once(df: DataFrame, key: str, name: str = "__key") -> DataFrame:
+    """The key values of ``df``, each once.
+
+    Copies shrink before the shuffle. The second grouping column follows from
+    the key, so it adds no rows; it makes the later join shuffle the keys anew.
+    That shuffle is short, and adaptive execution splits a hot key of the other
+    side only where both inputs of a join come straight from a shuffle.
+    """
+    return df.select(F.col(key).alias(name), (F.xxhash64(key) % 2).alias("__half")).distinct().select(name)
+
+
+def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """The rows of ``left`` whose key, if any, does not occur in ``right``."""
+    keys = _keys_once(right, right_key)
+    return left.join(keys, F.col(left_key) == F.col("__key"), "left_anti")
+
+
 def spread_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Left outer join that stays balanced when ``right`` has a hot key.
 
     Adaptive execution may split only the preserved side of an outer join, so
     a key that owns a large share of ``right`` would end in one task. An inner
     join can be split on both sides; the left rows without a match come from an
-    anti join against the keys alone, which shrink before they are shuffled.
-    The column names of the two sides must differ.
+    anti join against the keys alone. The column names of the two sides must
+    differ.
     """
     matched = left.join(right, left[left_key] == right[right_key], "inner")
-    keys = right.select(F.col(right_key).alias("__key")).distinct()
-    unmatched = left.join(keys, left[left_key] == keys["__key"], "left_anti")
+    unmatched = without_match(left, right, left_key, right_key)
     nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in right.schema]
     return matched.union(unmatched.select("*", *nulls))
 
@@ -54,12 +70,10 @@ def membership_full_join(
     pairs = lefts.withColumn(_MEMBER, F.explode(F.array_distinct(f"left.{array_column}"))).join(
         rights, F.col(_MEMBER) == F.col(f"right.{right_key}"), "inner"
     )
-    matched = members.join(right, members[_MEMBER] == right[right_key], "left_semi").select(
-        F.col(left_key).alias("__key")
-    )
-    lone_lefts = lefts.join(matched.distinct(), F.col(f"left.{left_key}") == F.col("__key"), "left_anti")
-    elements = members.select(_MEMBER).distinct()
-    lone_rights = rights.join(elements, F.col(f"right.{right_key}") == F.col(_MEMBER), "left_anti")
+    known = _keys_once(right, right_key)
+    matched = members.join(known, F.col(_MEMBER) == F.col("__key"), "left_semi")
+    lone_lefts = without_match(lefts, matched, f"left.{left_key}", left_key)
+    lone_rights = without_match(rights, members, f"right.{right_key}", _MEMBER)
     return (
         pairs.select("left", "right")
         .unionByName(lone_lefts, allowMissingColumns=True)

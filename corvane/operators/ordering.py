@@ -16,33 +16,29 @@ def top_rows(df: DataFrame, n: int, *order_by: Column) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def sample_distinct(df: DataFrame, n: int = SAMPLE_ROWS, buckets: int = 1 << 16) -> DataFrame:
+def sample_distinct(df: DataFrame, n: int = SAMPLE_ROWS, bits: int = 16) -> DataFrame:
     """``n`` distinct rows, or all of them if there are fewer.
 
     ``distinct().limit(n)`` would pass all ``n`` rows through one task. Here
-    the distinct rows are hashed into buckets, which are even because no row
-    repeats. The bucket sizes, one short row per bucket, say which buckets are
-    taken whole and which one only in part.
+    the first ``bits`` bits of a hash put the distinct rows into buckets, which
+    are even because no row repeats. The bucket sizes say which buckets are
+    taken whole and which one only in part. All branches read the one shuffle
+    that makes the rows distinct.
     """
-    bucketed = df.distinct().withColumn("__bucket", F.pmod(F.xxhash64(*df.columns), F.lit(buckets)))
+    names = df.columns
+    bucket = F.shiftrightunsigned(F.xxhash64(*names), 64 - bits)
+    bucketed = df.distinct().withColumn("__bucket", bucket)
     upto = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # At most ``buckets`` rows, whatever the size of ``df``: safe to order in
-    # one task and to broadcast.
+    # One short row per bucket, so at most 2 ** bits of them whatever the size
+    # of df: safe to order in one task and to broadcast.
     sizes = (
         bucketed.groupBy("__bucket")
         .agg(F.count("*").alias("__size"))
-        .withColumn("__end", F.sum("__size").over(upto))
-        .withColumn("__room", F.lit(n) - F.col("__end") + F.col("__size"))
+        .withColumn("__room", F.lit(n) - F.sum("__size").over(upto) + F.col("__size"))
         .where("__room > 0")
-        .select("__bucket", "__size", "__room")
     )
     wanted = bucketed.join(F.broadcast(sizes), "__bucket")
-    whole = wanted.where("__size <= __room").select(*df.columns)
-    within = Window.partitionBy("__bucket").orderBy(*df.columns)
-    part = (
-        wanted.where("__size > __room")
-        .withColumn("__row", F.row_number().over(within))
-        .where("__row <= __room")
-        .select(*df.columns)
-    )
-    return whole.union(part)
+    whole = wanted.where("__size <= __room").select(*names)
+    within = Window.partitionBy("__bucket").orderBy(*names)
+    part = wanted.where("__size > __room").withColumn("__row", F.row_number().over(within)).where("__row <= __room")
+    return whole.union(part.select(*names))

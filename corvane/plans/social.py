@@ -14,7 +14,7 @@ from corvane.functions.labels import (
     post_type_label,
     range_label,
 )
-from corvane.functions.text import character_count, hashtag_count, hashtags, words
+from corvane.functions.text import character_count, hashtag_count, words
 from corvane.operators.aggregates import distinct_by
 from corvane.operators.joins import spread_left_join
 
@@ -152,8 +152,14 @@ def peak_hours_in_month(joined: DataFrame, year: int = 2015, month: int = 12) ->
 
 
 def top_hashtags(posts: DataFrame, text: str = "description_post") -> DataFrame:
-    """Uses per hashtag; words are filtered within the array, before rows multiply."""
-    tags = posts.select(F.explode(hashtags(F.col(text))).alias("hashtag"))
+    """Uses per hashtag, a blank-separated word that begins with ``#``.
+
+    Words become rows and are filtered and counted in the same stage, which
+    generated code does faster than a filter inside the array.
+    """
+    tagged = posts.where(F.col(text).contains("#"))
+    pieces = tagged.select(F.explode(words(F.col(text))).alias("hashtag"))
+    tags = pieces.where(F.col("hashtag").startswith("#"))
     return _newest_first(tags.groupBy("hashtag").agg(F.count("*").alias("count")), "count")
 
 
@@ -209,7 +215,7 @@ def profile_impact(joined: DataFrame, split_style: bool = False) -> DataFrame:
     Posts without a hashtag or with unknown counts are left out. Rows of the
     joined table that agree in all the columns below are one post: likes and
     comments count once, hashtags add up. Hashtags are counted within the
-    array, so rows never multiply, and a SHA-256 digest stands in for the text
+    text, so rows never multiply, and a SHA-256 digest stands in for the text
     as a grouping key, so the text itself is not shuffled.
     """
     text = F.col("description_post")

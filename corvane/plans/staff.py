@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.operators.joins import without_match
 from corvane.operators.ordering import top_rows
 
 
@@ -14,7 +15,7 @@ def with_max_salary(employees: DataFrame, salaries: DataFrame) -> DataFrame:
 
 
 def never_managers(employees: DataFrame, managers: DataFrame) -> DataFrame:
-    return employees.join(managers, employees["emp_no"] == managers["emp_no"], "left_anti")
+    return without_match(employees, managers, "emp_no", "emp_no")
 
 
 def titles_of_best_paid(employees: DataFrame, salaries: DataFrame, titles: DataFrame, n: int = 10) -> DataFrame:

@@ -13,18 +13,18 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    A local session that names none gets a temporary folder, which is then
-    kept in the setting. A cluster session that names none is an error,
-    because a machine-local folder would be lost with its executor.
+    Where it names none, the checkpoint folder set at run time counts. A local
+    session without either gets a temporary folder as its checkpoint folder; a
+    cluster session without either is an error, because a machine-local folder
+    would be lost with its executor.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="corvane-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corvane-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
