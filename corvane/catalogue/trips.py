@@ -118,21 +118,21 @@ def attempts(v: Views):
 @query(
     "taxi_economic_impact",
     f"""SELECT round(sum(total_trips * 0.05::DOUBLE * 0.3::DOUBLE * (0.6::DOUBLE * mean - 5)
-          + total_trips * 0.05::DOUBLE * 0.7::DOUBLE * 2), 2) AS total
+          + total_trips * 0.05::DOUBLE * 0.7::DOUBLE * 2), 0) AS total
         FROM ({_ATTEMPTS_SQL}), (SELECT avg(total_amount) AS mean FROM trips)""",
     "trips zones",
 )
 def impact(v: Views):
-    return trips.economic_impact(v.trips(), v.zones()).select(F.round("total", 2).alias("total"))
+    return trips.economic_impact(v.trips(), v.zones()).select(F.round("total", 0).alias("total"))
 
 
 @query(
     "taxi_economic_impact_job",
     f"""SELECT round(sum(n * 0.05::DOUBLE * 0.3::DOUBLE * (0.6::DOUBLE * mean - 5)
-          + n * 0.05::DOUBLE * 0.7::DOUBLE * 2), 2) AS total
+          + n * 0.05::DOUBLE * 0.7::DOUBLE * 2), 0) AS total
         FROM (SELECT count(*) * (289623.0::DOUBLE / 331893) AS n FROM trips JOIN zones ON PULocationID = LocationID),
           (SELECT avg(total_amount) AS mean FROM trips)""",
     "trips zones",
 )
 def impact_of_history(v: Views):
-    return trips.economic_impact_of_history(v.history_trips(), v.zones()).select(F.round("total", 2).alias("total"))
+    return trips.economic_impact_of_history(v.history_trips(), v.zones()).select(F.round("total", 0).alias("total"))

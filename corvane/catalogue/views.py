@@ -6,17 +6,15 @@ All rows of the base tables take part.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.plans.social import join_sources
 
-SECONDS_PER_DAY = 86400
-SPREAD = 7919  # spreads the hours of midnight time stamps
 
-
-def _within_day(moment: str, key: str) -> Column:
-    return F.timestamp_seconds(F.unix_timestamp(moment) + F.col(key) * SPREAD % SECONDS_PER_DAY)
+def _within_day(moment: str, key: str) -> str:
+    """A midnight moment moved to a time of day that follows from the key."""
+    return f"timestamp_seconds(unix_timestamp({moment}) + {key} * 7919 % 86400)"
 
 
 class Views:
@@ -30,61 +28,49 @@ class Views:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def posts(self) -> DataFrame:
-        k = F.col("o_orderkey")
-        text = F.concat(
-            F.lit("#"),
-            F.lower("o_orderstatus"),
-            F.lit(" "),
-            F.col("o_orderpriority"),
-            F.when(k % 13 == 0, "  ").otherwise(" "),
-            F.lit("#p"),
-            (k % 7).cast("string"),
-            F.expr("repeat(' #x', cast(o_orderkey % 60 as int))"),
-            F.expr("repeat(' word', cast(o_orderkey % 50 as int))"),
-        )
-        return self.table("orders").select(
-            k.alias("sid"),
-            (F.col("o_custkey") * 10).alias("sid_profile"),
-            k.cast("string").alias("post_id"),
-            F.col("o_custkey").alias("profile_id"),
-            (k % 90).alias("location_id"),
-            F.when(k % 97 != 0, _within_day("o_orderdate", "o_orderkey")).alias("cts"),
-            (k % 5).cast("int").alias("post_type"),
-            F.when(k % 10 != 0, F.when(k % 11 == 0, F.col("o_orderpriority")).otherwise(text)).alias("description"),
-            F.floor("o_totalprice").cast("bigint").alias("numbr_likes"),
-            F.when(k % 23 != 0, k % 50).alias("number_comments"),
+        return self.table("orders").selectExpr(
+            "o_orderkey AS sid",
+            "o_custkey * 10 AS sid_profile",
+            "cast(o_orderkey AS string) AS post_id",
+            "o_custkey AS profile_id",
+            "o_orderkey % 90 AS location_id",
+            f"CASE WHEN o_orderkey % 97 != 0 THEN {_within_day('o_orderdate', 'o_orderkey')} END AS cts",
+            "cast(o_orderkey % 5 AS int) AS post_type",
+            """CASE WHEN o_orderkey % 10 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN o_orderpriority ELSE concat(
+                 '#', lower(o_orderstatus), ' ', o_orderpriority, if(o_orderkey % 13 = 0, '  ', ' '),
+                 '#p', o_orderkey % 7, repeat(' #x', cast(o_orderkey % 60 AS int)),
+                 repeat(' word', cast(o_orderkey % 50 AS int))) END AS description""",
+            "cast(floor(o_totalprice) AS bigint) AS numbr_likes",
+            "CASE WHEN o_orderkey % 23 != 0 THEN o_orderkey % 50 END AS number_comments",
         )
 
     def profiles(self) -> DataFrame:
-        k = F.col("c_custkey")
-        return self.table("customer").select(
-            k.cast("string").alias("profile_id"),
-            F.lower("c_name").alias("profile_name"),
-            F.col("c_name").alias("firstname_lastname"),
-            F.when(k % 3 == 0, F.col("c_mktsegment")).alias("description"),
-            (k % 500).cast("string").alias("following"),
-            F.when(k % 19 == 0, "n/a").otherwise((k * 997).cast("string")).alias("followers"),
-            F.concat(F.lit("u/"), k.cast("string")).alias("url"),
-            F.concat(F.lit("2019-0"), (k % 10).cast("string"), F.lit("-15 10:20:30")).alias("cts"),
-            F.when(F.col("c_mktsegment") == "BUILDING", "True").otherwise("False").alias("is_business_account"),
+        return self.table("customer").selectExpr(
+            "cast(c_custkey AS string) AS profile_id",
+            "lower(c_name) AS profile_name",
+            "c_name AS firstname_lastname",
+            "CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS description",
+            "cast(c_custkey % 500 AS string) AS following",
+            "CASE WHEN c_custkey % 19 = 0 THEN 'n/a' ELSE cast(c_custkey * 997 AS string) END AS followers",
+            "concat('u/', c_custkey) AS url",
+            "concat('2019-0', c_custkey % 10, '-15 10:20:30') AS cts",
+            "if(c_mktsegment = 'BUILDING', 'True', 'False') AS is_business_account",
         )
 
     def locations(self) -> DataFrame:
-        k = F.col("s_suppkey")
-        places = self.table("supplier").join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        country = F.when(k % 11 != 0, F.when(F.col("n_regionkey") == 1, "US").otherwise(F.col("n_name")))
-        return places.select(
-            F.expr("cast(s_suppkey * 9 div 10 as string)").alias("id"),
-            F.col("s_name").alias("name"),
-            F.concat((k % 40).cast("string"), F.lit(" Main St")).alias("street"),
-            (k % 1000 + 1000).cast("string").alias("zip"),
-            F.when(k % 7 != 0, F.concat(F.lit("City "), (k % 30).cast("string"))).alias("city"),
-            F.col("n_name").alias("region"),
-            country.alias("cd"),
-            F.when(k % 4 == 0, "unlisted").alias("phone"),
-            F.concat((k % 120).cast("string"), F.lit(".25")).alias("lat"),
-            F.when(k % 9 == 0, "west").otherwise(F.concat((k % 180).cast("string"), F.lit(".5"))).alias("lng"),
-            F.concat(F.lit("w/"), k.cast("string")).alias("website"),
+        nation = self.table("nation")
+        return self.table("supplier").join(nation, nation["n_nationkey"] == F.col("s_nationkey")).selectExpr(
+            "cast(s_suppkey * 9 div 10 AS string) AS id",
+            "s_name AS name",
+            "concat(s_suppkey % 40, ' Main St') AS street",
+            "cast(s_suppkey % 1000 + 1000 AS string) AS zip",
+            "CASE WHEN s_suppkey % 7 != 0 THEN concat('City ', s_suppkey % 30) END AS city",
+            "n_name AS region",
+            "CASE WHEN s_suppkey % 11 != 0 THEN if(n_regionkey = 1, 'US', n_name) END AS cd",
+            "CASE WHEN s_suppkey % 4 = 0 THEN 'unlisted' END AS phone",
+            "concat(s_suppkey % 120, '.25') AS lat",
+            "if(s_suppkey % 9 = 0, 'west', concat(s_suppkey % 180, '.5')) AS lng",
+            "concat('w/', s_suppkey) AS website",
         )
 
     def joined(self) -> DataFrame:
@@ -92,134 +78,107 @@ class Views:
 
     def dated_posts(self) -> DataFrame:
         """Posts under the column names of the joined table, for questions that need nothing else."""
-        return self.posts().select(
-            "post_id",
-            "profile_id",
-            F.col("cts").alias("timestamp_post"),
-            "post_type",
-            F.col("description").alias("description_post"),
-            F.col("numbr_likes").alias("number_likes"),
-            "number_comments",
+        return self.posts().withColumnsRenamed(
+            {"cts": "timestamp_post", "description": "description_post", "numbr_likes": "number_likes"}
         )
 
     def trips(self) -> DataFrame:
-        return self.table("lineitem").select(
-            (F.col("l_suppkey") % 27).cast("int").alias("PULocationID"),
-            (F.col("l_partkey") % 26).cast("int").alias("DOLocationID"),
-            _within_day("l_shipdate", "l_orderkey").alias("tpep_pickup_datetime"),
-            F.col("l_quantity").alias("trip_distance"),
-            F.col("l_returnflag").alias("RatecodeID"),
-            F.col("l_linenumber").alias("passenger_count"),
-            F.col("l_extendedprice").alias("total_amount"),
+        return self.table("lineitem").selectExpr(
+            "cast(l_suppkey % 27 AS int) AS PULocationID",
+            "cast(l_partkey % 26 AS int) AS DOLocationID",
+            f"{_within_day('l_shipdate', 'l_orderkey')} AS tpep_pickup_datetime",
+            "l_quantity AS trip_distance",
+            "l_returnflag AS RatecodeID",
+            "l_linenumber AS passenger_count",
+            "l_extendedprice AS total_amount",
         )
 
     def history_trips(self) -> DataFrame:
-        return self.trips().select(
-            F.col("tpep_pickup_datetime").alias("pickup_datetime"),
-            F.col("PULocationID").alias("pickup_taxizone_id"),
-            "total_amount",
+        return self.trips().selectExpr(
+            "tpep_pickup_datetime AS pickup_datetime", "PULocationID AS pickup_taxizone_id", "total_amount"
         )
 
     def zones(self) -> DataFrame:
-        named = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        return named.select(
-            F.col("n_nationkey").alias("LocationID"),
-            F.col("r_name").alias("Borough"),
-            F.col("n_name").alias("Zone"),
-            F.lit("Boro Zone").alias("service_zone"),
+        region = self.table("region")
+        return self.table("nation").join(region, region["r_regionkey"] == F.col("n_regionkey")).selectExpr(
+            "n_nationkey AS LocationID", "r_name AS Borough", "n_name AS Zone", "'Boro Zone' AS service_zone"
         )
 
     def movies(self) -> DataFrame:
-        k = F.col("p_partkey")
-        day = F.date_add(F.lit("1990-01-01").cast("date"), (k * 37 % 12000).cast("int"))
-        release = (
-            F.when(k % 29 == 0, "unknown")
-            .when(k % 3 == 0, F.date_format(day, "d-MMM-yy"))
-            .when(k % 3 == 1, F.date_format(day, "yyyy-MM-dd"))
-            .otherwise(F.date_format(day, "MMM d yyyy"))
-        )
-        return self.table("part").select(
-            F.concat("p_name", F.lit(","), k.cast("string")).alias("Title"),
-            release.alias("Release_Date"),
-            F.when(k % 13 != 0, F.col("p_type")).alias("Major_Genre"),
-            F.when(k % 11 != 0, F.col("p_size") / 5).alias("IMDB_Rating"),
-            F.when(k % 3 != 0, F.col("p_size").cast("bigint") * 2).alias("Rotten_Tomatoes_Rating"),
-            F.floor(F.col("p_retailprice") * 1000).cast("bigint").alias("US_Gross"),
-            (F.floor("p_retailprice") * 3).cast("bigint").alias("Worldwide_Gross"),
-            F.when(k % 5 != 0, F.col("p_size").cast("bigint") * 100).alias("US_DVD_Sales"),
-            F.when(k % 17 != 0, F.col("p_brand")).alias("Director"),
+        day = "date_add(date'1990-01-01', cast(p_partkey * 37 % 12000 AS int))"
+        return self.table("part").selectExpr(
+            "concat(p_name, ',', p_partkey) AS Title",
+            f"""CASE WHEN p_partkey % 29 = 0 THEN 'unknown'
+                  WHEN p_partkey % 3 = 0 THEN date_format({day}, 'd-MMM-yy')
+                  WHEN p_partkey % 3 = 1 THEN date_format({day}, 'yyyy-MM-dd')
+                  ELSE date_format({day}, 'MMM d yyyy') END AS Release_Date""",
+            "CASE WHEN p_partkey % 13 != 0 THEN p_type END AS Major_Genre",
+            "CASE WHEN p_partkey % 11 != 0 THEN p_size / 5 END AS IMDB_Rating",
+            "CASE WHEN p_partkey % 3 != 0 THEN cast(p_size AS bigint) * 2 END AS Rotten_Tomatoes_Rating",
+            "cast(floor(p_retailprice * 1000) AS bigint) AS US_Gross",
+            "cast(floor(p_retailprice) * 3 AS bigint) AS Worldwide_Gross",
+            "CASE WHEN p_partkey % 5 != 0 THEN cast(p_size AS bigint) * 100 END AS US_DVD_Sales",
+            "CASE WHEN p_partkey % 17 != 0 THEN p_brand END AS Director",
         )
 
     def cars(self) -> DataFrame:
-        k = F.col("c_custkey")
-        makers = ["volkswagen", "vw", "ford", "mercedes-benz", "toyota", "Ford"]
-        maker = F.element_at(F.array(*map(F.lit, makers)), (k % 6 + 1).cast("int"))
-        origin = F.element_at(F.array(*map(F.lit, ["USA", "Europe", "Japan"])), F.col("c_nationkey") % 3 + 1)
-        return self.table("customer").select(
-            F.concat(maker, F.lit(" "), k.cast("string")).alias("Name"),
-            F.when(k % 8 != 0, (k % 40 + 10) / 2).alias("Miles_per_Gallon"),
-            (k % 5 + 4).alias("Cylinders"),
-            (k % 300 + 100).cast("double").alias("Displacement"),
-            F.when(k % 7 != 0, k % 200 + 50).alias("Horsepower"),
-            (k * 13 % 3000 + 2000).alias("Weight_in_lbs"),
-            ((k % 50 + 80) / 10).alias("Acceleration"),
-            F.concat((k % 13 + 1970).cast("string"), F.lit("-01-01")).alias("Year"),
-            origin.alias("Origin"),
+        return self.table("customer").selectExpr(
+            """concat(element_at(array('volkswagen', 'vw', 'ford', 'mercedes-benz', 'toyota', 'Ford'),
+                 cast(c_custkey % 6 + 1 AS int)), ' ', c_custkey) AS Name""",
+            "CASE WHEN c_custkey % 8 != 0 THEN (c_custkey % 40 + 10) / 2 END AS Miles_per_Gallon",
+            "c_custkey % 5 + 4 AS Cylinders",
+            "cast(c_custkey % 300 + 100 AS double) AS Displacement",
+            "CASE WHEN c_custkey % 7 != 0 THEN c_custkey % 200 + 50 END AS Horsepower",
+            "c_custkey * 13 % 3000 + 2000 AS Weight_in_lbs",
+            "(c_custkey % 50 + 80) / 10 AS Acceleration",
+            "concat(c_custkey % 13 + 1970, '-01-01') AS Year",
+            "element_at(array('USA', 'Europe', 'Japan'), c_nationkey % 3 + 1) AS Origin",
         )
 
     def stocks(self) -> DataFrame:
-        return self.table("events").select(
-            F.upper("event_type").alias("symbol"),
-            F.date_format("ts", "MMM dd yyyy").alias("date"),
-            F.col("value").alias("price"),
+        return self.table("events").selectExpr(
+            "upper(event_type) AS symbol", "date_format(ts, 'MMM dd yyyy') AS date", "value AS price"
         )
 
     def guitars(self) -> DataFrame:
-        return self.table("part").select(
-            F.col("p_partkey").alias("guitarId"),
-            F.col("p_brand").alias("make"),
-            F.col("p_name").alias("model"),
-            F.col("p_type").alias("guitarType"),
+        return self.table("part").selectExpr(
+            "p_partkey AS guitarId", "p_brand AS make", "p_name AS model", "p_type AS guitarType"
         )
 
     def players(self) -> DataFrame:
-        k = F.col("c_custkey")
-        owned = F.array(k * 3, k * 7 % 4001, F.col("c_nationkey").cast("bigint"))
-        return self.table("customer").select(
-            k.alias("id"),
-            F.col("c_name").alias("name"),
-            F.when(k % 10 != 0, owned).alias("guitars"),
-            (F.col("c_nationkey") + k % 4).alias("band"),
+        return self.table("customer").selectExpr(
+            "c_custkey AS id",
+            "c_name AS name",
+            """CASE WHEN c_custkey % 10 != 0
+                 THEN array(c_custkey * 3, c_custkey * 7 % 4001, cast(c_nationkey AS bigint)) END AS guitars""",
+            "c_nationkey + c_custkey % 4 AS band",
         )
 
     def bands(self) -> DataFrame:
         """One band per supplier; players name only some of them."""
-        return self.table("supplier").select(
-            F.col("s_suppkey").alias("bandId"), F.col("s_name").alias("bandName"), F.col("s_nationkey").alias("town")
-        )
+        return self.table("supplier").selectExpr("s_suppkey AS bandId", "s_name AS bandName", "s_nationkey AS town")
 
     def employees(self) -> DataFrame:
-        hired = F.date_add(F.lit("1998-01-01").cast("date"), (F.col("c_custkey") % 1000).cast("int"))
-        return self.table("customer").select(F.col("c_custkey").alias("emp_no"), hired.alias("hire_date"))
+        return self.table("customer").selectExpr(
+            "c_custkey AS emp_no", "date_add(date'1998-01-01', cast(c_custkey % 1000 AS int)) AS hire_date"
+        )
 
     def dept_emp(self) -> DataFrame:
-        return self.table("customer").select(F.col("c_custkey").alias("emp_no"), F.col("c_nationkey").alias("dept_no"))
+        return self.table("customer").selectExpr("c_custkey AS emp_no", "c_nationkey AS dept_no")
 
     def departments(self) -> DataFrame:
-        return self.table("nation").select(F.col("n_nationkey").alias("dept_no"), F.col("n_name").alias("dept_name"))
+        return self.table("nation").selectExpr("n_nationkey AS dept_no", "n_name AS dept_name")
 
     def salaries(self) -> DataFrame:
-        return self.table("orders").select(F.col("o_custkey").alias("emp_no"), F.col("o_totalprice").alias("salary"))
+        return self.table("orders").selectExpr("o_custkey AS emp_no", "o_totalprice AS salary")
 
     def titles(self) -> DataFrame:
-        return self.table("orders").select(
-            F.col("o_custkey").alias("emp_no"),
-            F.col("o_orderpriority").alias("title"),
-            F.to_date("o_orderdate").alias("to_date"),
+        return self.table("orders").selectExpr(
+            "o_custkey AS emp_no", "o_orderpriority AS title", "to_date(o_orderdate) AS to_date"
         )
 
     def dept_manager(self) -> DataFrame:
-        return self.table("supplier").select((F.col("s_suppkey") * 3).alias("emp_no"))
+        return self.table("supplier").selectExpr("s_suppkey * 3 AS emp_no")
 
 
 SQL_VIEWS = {

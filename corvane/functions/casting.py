@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Select the named columns in order, each cast; text that does not fit becomes null."""
-    return df.select(*[F.col(name).try_cast(kind).alias(name) for name, kind in types.items()])
+    return df.selectExpr(*[f"try_cast(`{name}` AS {kind}) AS `{name}`" for name, kind in types.items()])

@@ -21,9 +21,9 @@ def not_after(date: Column, as_of: Column) -> Column:
     return F.when(date > as_of, F.add_months(date, -1200)).otherwise(date)
 
 
-def age_in_years(date: Column, as_of: Column) -> Column:
-    """Days between the two dates over 365, as a double."""
-    return F.datediff(as_of, date) / 365
+def age_in_years(date: Column, as_of: Column | None = None) -> Column:
+    """Days between the two dates over 365, as a double; ``as_of`` defaults to today."""
+    return F.datediff(F.current_date() if as_of is None else as_of, date) / 365
 
 
 def nearest_slot(moment: Column, seconds: int = 300) -> Column:

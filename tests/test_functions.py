@@ -90,6 +90,7 @@ def test_dates_in_several_spellings(apply):
 def test_age(apply):
     age = apply(lambda c: dates.age_in_years(c.cast("date"), F.lit("2001-01-01").cast("date")), ["2000-01-02", None])
     assert age == [1.0, None]
+    assert apply(lambda c: dates.age_in_years(F.date_sub(F.current_date(), 730)), ["x"]) == [2.0]
 
 
 def test_nearest_slot(apply):
