@@ -93,7 +93,7 @@ def several_per_group(v: Views):
             F.sum("US_Gross").alias("Total_US_Gross"),
             F.count("*").alias("N_Movies"),
         )
-        .orderBy(F.desc_nulls_last("Avg_Rating"))
+        .orderBy(F.desc_nulls_last("Avg_Rating"), F.asc("Director"))
     )
 
 

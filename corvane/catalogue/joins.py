@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from corvane.catalogue.registry import query
 from corvane.catalogue.views import Views
-from corvane.operators.joins import membership_full_join, membership_join, pair_join
+from corvane.operators.joins import membership_full_join, membership_join, pair_join, spread_join
 from corvane.plans import staff
 
 
@@ -28,12 +28,12 @@ def left_outer(v: Views):
 
 @query("join_right", _join_sql("RIGHT"), "players bands")
 def right_outer(v: Views):
-    return _players(v).join(v.bands(), F.col("band") == F.col("bandId"), "right")
+    return spread_join(_players(v), v.bands(), "band", "bandId", "right")
 
 
 @query("join_full", _join_sql("FULL"), "players bands")
 def full_outer(v: Views):
-    return _players(v).join(v.bands(), F.col("band") == F.col("bandId"), "full")
+    return spread_join(_players(v), v.bands(), "band", "bandId", "full")
 
 
 @query("join_semi", _join_sql("SEMI", "id, name, band"), "players bands")

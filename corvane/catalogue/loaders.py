@@ -101,7 +101,8 @@ _TEXT_NULLS = "coalesce({0}, '') AS {0}"
     JOINED,
 )
 def load_profile_impact(v: Views):
-    return _load(v, social.profile_impact(v.joined()), loading.PROFILE_IMPACT_LAYOUT, "profile_impact")
+    impact = social.profile_impact_from_sources(v.profiles(), v.locations(), v.posts())
+    return _load(v, impact, loading.PROFILE_IMPACT_LAYOUT, "profile_impact")
 
 
 @query(

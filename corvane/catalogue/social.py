@@ -196,4 +196,9 @@ PROFILE_IMPACT_SQL = f"""
 
 @query("social_profile_impact", PROFILE_IMPACT_SQL, JOINED)
 def profile_impact(v: Views):
+    return social.profile_impact_from_sources(v.profiles(), v.locations(), v.posts())
+
+
+@query("social_profile_impact_joined", PROFILE_IMPACT_SQL, JOINED)
+def profile_impact_of_the_joined_table(v: Views):
     return social.profile_impact(v.joined())

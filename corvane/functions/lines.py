@@ -58,8 +58,9 @@ def rewrite_datetimes(
 def fields_by_name(line: Column, names: Sequence[str]) -> list[Column]:
     """One text column per name from a comma-separated line.
 
-    Double quotes and CR-LF are removed first, so a comma inside quotes
+    Double quotes, then CR-LF, are removed first, so a comma inside quotes
     splits too. Extra values are ignored, missing ones are null.
     """
-    values = F.split(F.regexp_replace(line, '"|\r\n', ""), ",")
+    bare = F.replace(F.replace(line, F.lit('"'), F.lit("")), F.lit("\r\n"), F.lit(""))
+    values = F.split(bare, ",")
     return [F.get(values, position).alias(name) for position, name in enumerate(names)]

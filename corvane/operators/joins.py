@@ -7,7 +7,9 @@ adaptive execution splits hot keys of the shuffle joins.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _MEMBER = "__member"
@@ -30,19 +32,29 @@ def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left.join(keys, F.col(left_key) == F.col("__key"), "left_anti")
 
 
-def spread_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Left outer join that stays balanced when ``right`` has a hot key.
+def spread_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
+    """Outer join (``left``, ``right`` or ``full``) that stays balanced whichever side has a hot key.
 
-    Adaptive execution may split only the preserved side of an outer join, so
-    a key that owns a large share of ``right`` would end in one task. An inner
-    join can be split on both sides; the left rows without a match come from an
-    anti join against the keys alone. The column names of the two sides must
+    Adaptive execution may split only the preserved side of an outer join and
+    neither side of a full one, so a hot key would end in one task. An inner
+    join can be split on both sides; the rows without a match come from anti
+    joins against the keys alone. The column names of the two sides must
     differ.
     """
-    matched = left.join(right, left[left_key] == right[right_key], "inner")
-    unmatched = without_match(left, right, left_key, right_key)
-    nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in right.schema]
-    return matched.union(unmatched.select("*", *nulls))
+    parts = [left.join(right, F.col(left_key) == F.col(right_key), "inner")]
+    if how in ("left", "full"):
+        lone = without_match(left, right, left_key, right_key)
+        parts.append(lone.select("*", *_nulls_for(right)))
+    if how in ("right", "full"):
+        lone = without_match(right, left, right_key, left_key)
+        parts.append(lone.select(*_nulls_for(left), "*"))
+    if len(parts) == 1:
+        raise ValueError("how must be left, right or full")
+    return reduce(DataFrame.union, parts)
+
+
+def _nulls_for(df: DataFrame) -> list[Column]:
+    return [F.lit(None).cast(field.dataType).alias(field.name) for field in df.schema]
 
 
 def membership_join(left: DataFrame, right: DataFrame, array_column: str, right_key: str) -> DataFrame:
@@ -89,4 +101,7 @@ def pair_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     """
     lefts = left.select(F.struct("*").alias("left"))
     rights = right.select(F.struct("*").alias("right"))
-    return lefts.join(rights, F.col(f"left.{left_key}") == F.col(f"right.{right_key}"), how)
+    keys = f"left.{left_key}", f"right.{right_key}"
+    if how == "inner":
+        return lefts.join(rights, F.col(keys[0]) == F.col(keys[1]))
+    return spread_join(lefts, rights, *keys, how)

@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 SAMPLE_ROWS = 15_000_000
 
 
+def sorted_down(df: DataFrame, *by: str) -> DataFrame:
+    """All rows by descending ``by``, nulls last, then by the other columns.
+
+    A total order makes the result repeatable, and it lets the sort spread a
+    long run of equal values, such as all the words used once, over many tasks.
+    """
+    others = [F.asc(name) for name in df.columns if name not in by]
+    return df.orderBy(*[F.desc_nulls_last(name) for name in by], *others)
+
+
 def top_rows(df: DataFrame, n: int, *order_by: Column) -> DataFrame:
     """The first ``n`` rows in the given order, for a small ``n``.
 

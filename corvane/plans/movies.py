@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions.dates import not_after, parse_date
+from corvane.operators.ordering import sorted_down
 
 RELEASE_FORMATS = ["d-MMM-yy", "yyyy-MM-dd", "MMM d yyyy"]
 
 
 def good_movies(movies: DataFrame, genre: str = "Comedy", above: float = 6.5) -> DataFrame:
     wanted = movies.where((F.col("Major_Genre") == genre) & (F.col("IMDB_Rating") > above))
-    return wanted.select(
-        "Title", F.col("IMDB_Rating").alias("Rating"), F.col("Release_Date").alias("Release")
-    ).orderBy(F.desc_nulls_last("Rating"))
+    shown = wanted.select("Title", F.col("IMDB_Rating").alias("Rating"), F.col("Release_Date").alias("Release"))
+    return sorted_down(shown, "Rating")
 
 
 def mean_rating_by_genre(movies: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ from corvane.functions.labels import (
 )
 from corvane.functions.text import character_count, hashtag_count, words
 from corvane.operators.aggregates import distinct_by
-from corvane.operators.joins import spread_left_join
+from corvane.operators.joins import spread_join
+from corvane.operators.ordering import sorted_down
 
 # The columns of the joined table and their types.
 JOINED_TYPES = {
@@ -99,18 +100,14 @@ def join_sources(
         F.col("numbr_likes").alias("number_likes"),
         "number_comments",
     )
-    located = spread_left_join(a, b, "__place", "__location")
+    located = spread_join(a, b, "__place", "__location", "left")
     if posts_how == "inner":
         joined = located.join(c, located["profile_id"] == c["__owner"], "inner")
     else:
-        joined = spread_left_join(located, c, "profile_id", "__owner")
+        joined = spread_join(located, c, "profile_id", "__owner", "left")
     return cast_columns(joined, JOINED_TYPES)
 
 
-def _newest_first(counted: DataFrame, *by: str) -> DataFrame:
-    return counted.orderBy(*[F.desc_nulls_last(name) for name in by])
-
-
 def total_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_reg"))
 
@@ -118,19 +115,19 @@ def total_rows(df: DataFrame) -> DataFrame:
 def posts_per_year(joined: DataFrame) -> DataFrame:
     dated = joined.where(F.col("timestamp_post").isNotNull())
     counted = dated.groupBy(F.year("timestamp_post").alias("year_post")).agg(F.count("*").alias("n_posts"))
-    return _newest_first(counted, "year_post")
+    return sorted_down(counted, "year_post")
 
 
 def posts_per_year_text(joined: DataFrame) -> DataFrame:
     dated = joined.where(F.col("timestamp_post").isNotNull())
     year = F.date_format("timestamp_post", "yyyy").alias("f_post_ts")
-    return _newest_first(dated.groupBy(year).agg(F.count("*").alias("n_reg")), "f_post_ts")
+    return sorted_down(dated.groupBy(year).agg(F.count("*").alias("n_reg")), "f_post_ts")
 
 
 def peak_hours(joined: DataFrame) -> DataFrame:
     dated = joined.where(F.col("timestamp_post").isNotNull())
     keys = [F.year("timestamp_post").alias("year_post"), F.hour("timestamp_post").alias("hour_post")]
-    return _newest_first(dated.groupBy(*keys).agg(F.count("*").alias("n_reg")), "n_reg")
+    return sorted_down(dated.groupBy(*keys).agg(F.count("*").alias("n_reg")), "n_reg")
 
 
 def peak_hours_in_month(joined: DataFrame, year: int = 2015, month: int = 12) -> DataFrame:
@@ -148,7 +145,7 @@ def peak_hours_in_month(joined: DataFrame, year: int = 2015, month: int = 12) ->
         F.month(moment).alias("month_post"),
         F.hour(moment).alias("hour_post"),
     ]
-    return _newest_first(wanted.groupBy(*keys).agg(F.count("*").alias("n_reg")), "n_reg")
+    return sorted_down(wanted.groupBy(*keys).agg(F.count("*").alias("n_reg")), "n_reg")
 
 
 def top_hashtags(posts: DataFrame, text: str = "description_post") -> DataFrame:
@@ -160,24 +157,24 @@ def top_hashtags(posts: DataFrame, text: str = "description_post") -> DataFrame:
     tagged = posts.where(F.col(text).contains("#"))
     pieces = tagged.select(F.explode(words(F.col(text))).alias("hashtag"))
     tags = pieces.where(F.col("hashtag").startswith("#"))
-    return _newest_first(tags.groupBy("hashtag").agg(F.count("*").alias("count")), "count")
+    return sorted_down(tags.groupBy("hashtag").agg(F.count("*").alias("count")), "count")
 
 
 def top_words(posts: DataFrame, text: str = "description_post") -> DataFrame:
     """Uses per blank-separated word; the empty text between two blanks is a word."""
     pieces = posts.select(F.explode(words(F.col(text))).alias("split_words"))
-    return _newest_first(pieces.groupBy("split_words").agg(F.count("*").alias("count")), "count")
+    return sorted_down(pieces.groupBy("split_words").agg(F.count("*").alias("count")), "count")
 
 
 def visited_places(locations: DataFrame) -> DataFrame:
     known = locations.where(F.col("cd").isNotNull() & F.col("name").isNotNull())
-    return _newest_first(known.groupBy("cd", "name").agg(F.count("*").alias("n_reg")), "n_reg")
+    return sorted_down(known.groupBy("cd", "name").agg(F.count("*").alias("n_reg")), "n_reg")
 
 
 def visited_cities(locations: DataFrame) -> DataFrame:
     known = locations.where(F.col("cd").isNotNull() & F.col("city").isNotNull())
     counted = known.groupBy(country_label(F.col("cd")).alias("country"), "city").agg(F.count("*").alias("n_reg"))
-    return _newest_first(counted, "n_reg")
+    return sorted_down(counted, "n_reg")
 
 
 def _by_year(posts: DataFrame, *keys: Column | str):
@@ -187,7 +184,7 @@ def _by_year(posts: DataFrame, *keys: Column | str):
 
 def types_per_year(posts: DataFrame) -> DataFrame:
     label = post_type_label(F.col("post_type")).alias("post_type")
-    return _newest_first(_by_year(posts, label).agg(F.count("*").alias("n_reg")), "year_post", "n_reg")
+    return sorted_down(_by_year(posts, label).agg(F.count("*").alias("n_reg")), "year_post", "n_reg")
 
 
 def impact_per_type(posts: DataFrame) -> DataFrame:
@@ -195,30 +192,36 @@ def impact_per_type(posts: DataFrame) -> DataFrame:
     summed = _by_year(posts, label).agg(
         F.sum("numbr_likes").alias("number_likes"), F.sum("number_comments").alias("number_comments")
     )
-    return _newest_first(summed, "year_post", "number_likes", "number_comments")
+    return sorted_down(summed, "year_post", "number_likes", "number_comments")
 
 
 def posts_per_weekday(posts: DataFrame) -> DataFrame:
     day = F.date_format("cts", "EEEE").alias("name_day_of_week")
-    return _newest_first(_by_year(posts, day).agg(F.count("*").alias("n_reg")), "year_post", "n_reg")
+    return sorted_down(_by_year(posts, day).agg(F.count("*").alias("n_reg")), "year_post", "n_reg")
 
 
 def mean_characters(posts: DataFrame, split_style: bool = False) -> DataFrame:
     """Mean length of a post's text per year; ``split_style`` as in ``character_count``."""
     mean = F.avg(character_count(F.col("description"), split_style)).cast("decimal(10,2)")
-    return _newest_first(_by_year(posts).agg(mean.alias("avg_n_characters")), "year_post")
+    return sorted_down(_by_year(posts).agg(mean.alias("avg_n_characters")), "year_post")
 
 
-def profile_impact(joined: DataFrame, split_style: bool = False) -> DataFrame:
-    """Likes and comments by year and ranges of followers, characters and hashtags.
+def _measured(posts: DataFrame, text: str, split_style: bool) -> DataFrame:
+    """The posts with hashtags, their text replaced by what the impact question needs.
 
-    Posts without a hashtag or with unknown counts are left out. Rows of the
-    joined table that agree in all the columns below are one post: likes and
-    comments count once, hashtags add up. Hashtags are counted within the
-    text, so rows never multiply, and a SHA-256 digest stands in for the text
-    as a grouping key, so the text itself is not shuffled.
+    ``tags`` and ``n_characters`` are counts; a SHA-256 digest stands in for the
+    text where equal posts are grouped, so the text itself is never shuffled.
     """
-    text = F.col("description_post")
+    column = F.col(text)
+    measures = {
+        "tags": hashtag_count(column),
+        "n_characters": character_count(column, split_style),
+        "text_digest": F.unhex(F.sha2(column, 256)),
+    }
+    return posts.withColumns(measures).where("tags > 0").drop(text)
+
+
+def _impact(measured: DataFrame, tags: Column) -> DataFrame:
     post = [
         "timestamp_post",
         "profile_id",
@@ -231,19 +234,8 @@ def profile_impact(joined: DataFrame, split_style: bool = False) -> DataFrame:
         "n_characters",
         "text_digest",
     ]
-    tagged = joined.withColumn("tags", hashtag_count(text)).where(
-        (F.col("tags") > 0)
-        & F.col("profile_id").isNotNull()
-        & F.col("number_likes").isNotNull()
-        & F.col("number_comments").isNotNull()
-        & F.col("followers").isNotNull()
-    )
-    per_post = (
-        tagged.withColumn("n_characters", character_count(text, split_style))
-        .withColumn("text_digest", F.unhex(F.sha2(text, 256)))
-        .groupBy(*post)
-        .agg(F.sum("tags").alias("n_hashtags"))
-    )
+    known = measured.dropna(subset=["profile_id", "number_likes", "number_comments", "followers"])
+    per_post = known.groupBy(*post).agg(F.sum(tags).alias("n_hashtags"))
     ranged = per_post.groupBy(
         F.year("timestamp_post").alias("year"),
         range_label(F.col("followers"), FOLLOWER_RANGES).alias("followers"),
@@ -252,4 +244,46 @@ def profile_impact(joined: DataFrame, split_style: bool = False) -> DataFrame:
         range_label(F.col("n_characters"), CHARACTER_RANGES).alias("number_characters"),
         range_label(F.col("n_hashtags"), HASHTAG_RANGES).alias("number_hashtags"),
     ).agg(F.sum("number_likes").alias("total_likes"), F.sum("number_comments").alias("total_comments"))
-    return _newest_first(ranged, "year", "total_likes", "total_comments")
+    return sorted_down(ranged, "year", "total_likes", "total_comments")
+
+
+def profile_impact(joined: DataFrame, split_style: bool = False) -> DataFrame:
+    """Likes and comments by year and ranges of followers, characters and hashtags.
+
+    Reads a stored joined table. Posts without a hashtag or with unknown counts
+    are left out. Rows that agree in all the columns grouped by are one post:
+    likes and comments count once, hashtags add up.
+    """
+    return _impact(_measured(joined, "description_post", split_style), F.col("tags"))
+
+
+def profile_impact_from_sources(
+    profiles: DataFrame, locations: DataFrame, posts: DataFrame, split_style: bool = False
+) -> DataFrame:
+    """:func:`profile_impact` without building the joined table first.
+
+    Each post meets its profile as a few numbers and a digest, once. Joining the
+    locations would only repeat its rows, so the number of repeats is counted
+    per location id and multiplied in.
+    """
+    repeats = (
+        locations.select(F.col("id").try_cast("bigint").alias("place"))
+        .groupBy("place")
+        .agg(F.count("*").alias("repeats"))
+    )
+    chosen = cast_columns(
+        distinct_by(profiles, ["profile_id"], profiles.columns),
+        {name: JOINED_TYPES[name] for name in ("profile_id", "following", "followers", "is_business_account")},
+    )
+    owners = chosen.join(repeats, F.col("profile_id") == F.col("place"), "left").drop("place")
+    renamed = posts.select(
+        F.col("profile_id").try_cast("bigint").alias("owner"),
+        F.col("cts").alias("timestamp_post"),
+        "post_type",
+        F.col("description").alias("description_post"),
+        F.col("numbr_likes").alias("number_likes"),
+        "number_comments",
+    )
+    measured = _measured(renamed, "description_post", split_style)
+    owned = measured.join(owners, F.col("owner") == F.col("profile_id"))
+    return _impact(owned, F.col("tags") * F.coalesce("repeats", F.lit(1)))

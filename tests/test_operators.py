@@ -42,9 +42,15 @@ LEFT = [(1, "a"), (1, "a"), (2, "b"), (3, "c"), (None, "d"), (None, "d")]
 RIGHT = [(1, "x"), (1, "y"), (1, "y"), (4, "z"), (None, "w")]
 
 
-def test_spread_left_join_equals_left_join(spark, values):
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_spread_join_equals_outer_join(spark, values, how):
     left, right = spark.createDataFrame(LEFT, "k int, a string"), spark.createDataFrame(RIGHT, "r int, b string")
-    assert values(joins.spread_left_join(left, right, "k", "r")) == values(left.join(right, F.col("k") == F.col("r"), "left"))
+    assert values(joins.spread_join(left, right, "k", "r", how)) == values(left.join(right, F.col("k") == F.col("r"), how))
+
+
+def test_spread_join_is_an_outer_join(spark):
+    with pytest.raises(ValueError, match="left, right or full"):
+        joins.spread_join(spark.range(1), spark.range(1).toDF("r"), "id", "r", "inner")
 
 
 def test_without_match_keeps_null_keys(spark, values):
@@ -73,11 +79,14 @@ def skewed(spark, setting):
     return profiles, posts
 
 
-def test_hot_key_is_split_in_the_left_join(spark, setting, plan_of):
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_hot_key_is_split_in_outer_joins(spark, setting, plan_of, how):
     profiles, posts = skewed(spark, setting)
-    joined = joins.spread_left_join(profiles, posts, "k", "owner")
+    plain = profiles.join(posts, F.col("k") == F.col("owner"), how)
+    assert "skew=true" not in plan_of(plain, run=True)
+    joined = joins.spread_join(profiles, posts, "k", "owner", how)
     assert "skew=true" in plan_of(joined, run=True)
-    assert joined.count() == profiles.join(posts, F.col("k") == F.col("owner"), "left").count()
+    assert joined.count() == plain.count()
 
 
 def test_hot_key_is_split_in_the_anti_join(spark, setting, plan_of):

@@ -141,6 +141,29 @@ def test_profile_impact_merges_copies(joined, values):
     )
 
 
+def test_profile_impact_from_sources_agrees(profiles, locations, posts, joined, values):
+    for split_style in (False, True):
+        direct = social.profile_impact_from_sources(profiles, locations, posts, split_style)
+        assert values(direct) == values(social.profile_impact(joined, split_style))
+
+
+def test_profile_impact_from_sources_counts_locations(spark, profiles, locations, posts, values):
+    crowd = locations.where("id = '1'").withColumn("id", F.explode(F.array_repeat("id", 6)))
+    joined = social.join_sources(profiles, crowd, posts)
+    direct = social.profile_impact_from_sources(profiles, crowd, posts)
+    assert values(direct) == values(social.profile_impact(joined))
+    assert "10_to_20_hashtags" in {row.number_hashtags for row in direct.collect()}
+
+
+def test_profile_impact_shuffles_no_text(spark, profiles, locations, posts, tmp_path, plan_of, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    posts.write.parquet(str(tmp_path / "posts"))
+    plan = plan_of(social.profile_impact_from_sources(profiles, locations, spark.read.parquet(str(tmp_path / "posts"))))
+    sides = [line for line in plan.splitlines() if "Exchange hashpartitioning(owner" in line]
+    below = plan.split(sides[0])[1].splitlines()[1]
+    assert "Project" in below and "text_digest" in below and "AS description_post" not in below
+
+
 def test_profile_impact_adds_the_hashtags_of_copies(spark, joined):
     crowded = joined.where("post_id = 'p1'").crossJoin(spark.range(6))
     row = social.profile_impact(crowded).first()
