@@ -12,7 +12,7 @@ from corvane.sinks import files as sinks
 DATABASE = "corvane_tables"
 
 
-def _database(v: Views) -> str:
+def tables_database(v: Views) -> str:
     """A database whose managed tables lie in the folder shared by all executors."""
     if not v.spark.catalog.databaseExists(DATABASE):
         catalog.create_database(v.spark, DATABASE, new_folder(v.spark, DATABASE))
@@ -38,7 +38,7 @@ def read_a_named_table(v: Views):
 @query("cat_save_table", "SELECT Title, Major_Genre, IMDB_Rating FROM movies", "movies")
 def save_a_managed_table(v: Views):
     movies = v.movies().select("Title", "Major_Genre", "IMDB_Rating")
-    return catalog.save_table(movies, f"{_database(v)}.movies")
+    return catalog.save_table(movies, f"{tables_database(v)}.movies")
 
 
 @query(
@@ -46,7 +46,7 @@ def save_a_managed_table(v: Views):
     "SELECT 'corvane_tables' AS current_db, TRUE AS listed, count(*) AS n FROM supplier",
 )
 def use_a_database(v: Views):
-    database, before = _database(v), v.spark.catalog.currentDatabase()
+    database, before = tables_database(v), v.spark.catalog.currentDatabase()
     catalog.save_table(_suppliers(v), f"{database}.used_suppliers")
     v.spark.sql(f"USE {database}")
     try:
@@ -62,7 +62,7 @@ def use_a_database(v: Views):
 
 @query("cat_insert", "SELECT CAST(s_suppkey AS INTEGER) AS id, s_name AS name FROM supplier")
 def insert_into_a_table(v: Views):
-    table = f"{_database(v)}.persons"
+    table = f"{tables_database(v)}.persons"
     v.spark.sql(f"DROP TABLE IF EXISTS {table}")
     v.spark.sql(f"CREATE TABLE {table} (id integer, name string) USING parquet")
     _suppliers(v).createOrReplaceTempView("corvane_suppliers")
@@ -72,7 +72,7 @@ def insert_into_a_table(v: Views):
 
 def _external(v: Views, name: str) -> str:
     """An external table over CSV files of the suppliers."""
-    table, path = f"{_database(v)}.{name}", new_folder(v.spark, name)
+    table, path = f"{tables_database(v)}.{name}", new_folder(v.spark, name)
     sinks.write_csv(_suppliers(v), path)
     v.spark.sql(f"DROP TABLE IF EXISTS {table}")
     catalog.create_external_csv_table(v.spark, table, "s_suppkey bigint, s_name string", path)
@@ -84,7 +84,7 @@ def _external(v: Views, name: str) -> str:
     """SELECT 'MANAGED' AS kind, count(*) AS n FROM supplier UNION ALL SELECT 'EXTERNAL', count(*) FROM supplier""",
 )
 def describe_tables(v: Views):
-    managed = f"{_database(v)}.described"
+    managed = f"{tables_database(v)}.described"
     catalog.save_table(_suppliers(v), managed)
     counted = [
         v.spark.table(table).agg(F.lit(catalog.table_kind(v.spark, table)).alias("kind"), F.count("*").alias("n"))
@@ -107,7 +107,7 @@ def insert_into_an_external_table(v: Views):
        UNION ALL SELECT s_name, 'supplier view' FROM supplier""",
 )
 def transfer_tables(v: Views):
-    stored = catalog.transfer_tables(v.spark, v.table, ["supplier", "nation"], database=_database(v))
+    stored = catalog.transfer_tables(v.spark, v.table, ["supplier", "nation"], database=tables_database(v))
     viewed = catalog.transfer_tables(
         v.spark, lambda name: v.table(name.removeprefix("corvane_")), ["corvane_supplier"]
     )

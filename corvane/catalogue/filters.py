@@ -125,7 +125,7 @@ def codes_to_labels(v: Views):
     return posts.unionByName(places, allowMissingColumns=True)
 
 
-def _ranges(column: str, ranges) -> str:
+def ranges_sql(column: str, ranges) -> str:
     ends = [
         f"WHEN {column} >= {low} THEN '{label}'" if high is None else f"WHEN {column} BETWEEN {low} AND {high} THEN '{label}'"
         for low, high, label in ranges
@@ -135,9 +135,9 @@ def _ranges(column: str, ranges) -> str:
 
 @query(
     "cond_buckets",
-    f"""SELECT post_id, {_ranges("numbr_likes", FOLLOWER_RANGES)} AS likes,
-          {_ranges("length(description)", CHARACTER_RANGES)} AS characters,
-          {_ranges("len(list_filter(string_split(description, ' '), lambda w: starts_with(w, '#')))", HASHTAG_RANGES)}
+    f"""SELECT post_id, {ranges_sql("numbr_likes", FOLLOWER_RANGES)} AS likes,
+          {ranges_sql("length(description)", CHARACTER_RANGES)} AS characters,
+          {ranges_sql("len(list_filter(string_split(description, ' '), lambda w: starts_with(w, '#')))", HASHTAG_RANGES)}
             AS hashtags FROM posts""",
     "posts",
 )

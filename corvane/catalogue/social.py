@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.catalogue.filters import _ranges
+from corvane.catalogue.filters import ranges_sql
 from corvane.catalogue.registry import query
 from corvane.catalogue.views import Views
 from corvane.functions.labels import CHARACTER_RANGES, FOLLOWER_RANGES, HASHTAG_RANGES
@@ -181,9 +181,9 @@ def characters_split_style(v: Views):
 
 
 PROFILE_IMPACT_SQL = f"""
-    SELECT CAST(year(timestamp_post) AS INTEGER) AS year, {_ranges("followers", FOLLOWER_RANGES)} AS followers,
-      is_business_account, {TYPE_SQL} AS post_type, {_ranges("n_characters", CHARACTER_RANGES)} AS number_characters,
-      {_ranges("n_hashtags", HASHTAG_RANGES)} AS number_hashtags, CAST(sum(number_likes) AS BIGINT) AS total_likes,
+    SELECT CAST(year(timestamp_post) AS INTEGER) AS year, {ranges_sql("followers", FOLLOWER_RANGES)} AS followers,
+      is_business_account, {TYPE_SQL} AS post_type, {ranges_sql("n_characters", CHARACTER_RANGES)} AS number_characters,
+      {ranges_sql("n_hashtags", HASHTAG_RANGES)} AS number_hashtags, CAST(sum(number_likes) AS BIGINT) AS total_likes,
       CAST(sum(number_comments) AS BIGINT) AS total_comments
     FROM (SELECT timestamp_post, profile_id, following, followers, is_business_account, description_post, post_type,
             number_likes, number_comments, length(description_post) AS n_characters, count(*) AS n_hashtags

@@ -41,12 +41,13 @@ def mean_per_group(v: Views):
 @query(
     "src_range_join_sum",
     """SELECT CAST(sum(a.id) AS BIGINT) AS total FROM (SELECT o_orderkey * 5 AS id FROM orders) a
-       JOIN (SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 2 = 1) b ON a.id = b.id""",
+       JOIN (SELECT o_orderkey * 2 + 1 AS id FROM orders) b ON a.id = b.id""",
 )
 def join_on_a_computed_key(v: Views):
     keys = v.table("orders").select(F.col("o_orderkey").alias("id"))
     fives = keys.selectExpr("id * 5 AS id")
-    return fives.join(keys.where("id % 2 = 1"), "id").agg(F.sum("id").alias("total"))
+    odds = keys.selectExpr("id * 2 + 1 AS id")
+    return fives.join(odds, "id").agg(F.sum("id").alias("total"))
 
 
 @query(

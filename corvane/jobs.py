@@ -1,4 +1,4 @@
-"""Jobs to submit: ``spark-submit -m``-style entry points with paths as arguments.
+"""Jobs to run or submit, with paths as arguments.
 
     python -m corvane.jobs good-comedies movies.json out/
     python -m corvane.jobs visited-cities locations.csv out/
@@ -17,7 +17,6 @@ from pyspark.sql import SparkSession
 from corvane.operators.loading import load_with_schema_file
 from corvane.operators.ordering import sample_distinct
 from corvane.plans import movies, social, trips
-from corvane.scratch import materialise
 from corvane.session import build_session
 from corvane.sinks import files as sinks
 from corvane.sources import files as sources
@@ -38,9 +37,7 @@ def economic_impact(spark: SparkSession, source: str, zones: str, target: str) -
 
 
 def sample_posts(spark: SparkSession, source: str, target: str) -> None:
-    # The distinct rows feed three branches of the sample: compute them once.
-    rows = materialise(sources.read_text_columns(spark, source).distinct(), "distinct-posts")
-    sinks.write_csv(sample_distinct(rows), target, sep="\t")
+    sinks.write_csv(sample_distinct(sources.read_text_columns(spark, source)), target, sep="\t")
 
 
 def join_posts(spark: SparkSession, profiles: str, locations: str, posts: str, target: str) -> None:

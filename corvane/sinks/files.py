@@ -6,7 +6,7 @@ import logging
 
 from pyspark.sql import DataFrame
 
-from corvane.scratch import materialise
+from corvane.scratch import shared_folder
 
 SAVE_MODES = ("overwrite", "append", "ignore", "errorifexists")
 SINGLE_FILE_ROWS = 1_000_000
@@ -35,13 +35,18 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int
 
 
 def _single_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df``, computed once, in one partition if it has no more than ``max_rows`` rows."""
-    written = materialise(df, "single-file")
-    rows = written.count()
+    """``df``, computed once, in one partition if it has no more than ``max_rows`` rows.
+
+    The rows keep their order. They are computed in parallel into a checkpoint,
+    and only a result known to be small then passes through one task.
+    """
+    shared_folder(df.sparkSession)
+    stored = df.checkpoint()
+    rows = stored.count()
     if rows <= max_rows:
-        return written.coalesce(1)
+        return stored.coalesce(1)
     log.warning("%d rows are more than %d: writing several files", rows, max_rows)
-    return written
+    return stored
 
 
 def write_single_csv(

@@ -99,6 +99,13 @@ def test_nearest_slot(apply):
     assert slots == ["2018-01-25 00:00:00", "2018-01-25 00:05:00", "2018-01-25 00:05:00"]
 
 
+@pytest.mark.parametrize("seconds", [300, 7, 60])
+def test_nearest_slot_rounds_halves_away_from_zero(spark, seconds):
+    moments = spark.range(-2000, 2001).withColumn("t", F.timestamp_seconds("id"))
+    rounded = F.round(F.col("id") / seconds).cast("int")
+    assert moments.where(dates.nearest_slot(F.col("t"), seconds) != rounded).count() == 0
+
+
 def test_cast_columns_gives_null_for_bad_text(spark):
     df = spark.createDataFrame([("1", "12.5", "yes"), ("x", "123456789", "maybe"), (None, "", "")], "a string, b string, c string")
     rows = [tuple(r) for r in cast_columns(df, {"c": "boolean", "a": "bigint", "b": "decimal(8,6)"}).collect()]

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from corvane.operators import joins
 from corvane.operators.aggregates import correlation, distinct_by, row_with_least, whole_mean
-from corvane.operators.ordering import sample_distinct, top_rows
+from corvane.operators.ordering import sample_distinct, sorted_down, top_rows
 
 PLAYERS = [(1, [10, 11, 10]), (2, [11]), (3, []), (4, None), (5, [99]), (6, [None, 12]), (7, [99, 98])]
 GUITARS = [(10, "a"), (11, "b"), (12, "c"), (13, "d"), (None, "e")]
@@ -149,6 +149,13 @@ def test_top_rows_need_no_full_sort(spark, plan_of):
     assert [r.id for r in top.collect()] == [9, 19, 29]
 
 
+def test_sort_spreads_a_run_of_equal_values(spark, setting):
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    counted = spark.range(0, 20000, 1, 8).select(F.lit(1).alias("n"), F.concat(F.lit("w"), "id").alias("word"))
+    sizes = sorted_down(counted, "n").groupBy(F.spark_partition_id()).count().collect()
+    assert max(row["count"] for row in sizes) < 10000
+
+
 @pytest.mark.parametrize("n", [0, 1, 37, 499, 500, 10_000])
 @pytest.mark.parametrize("bits", [2, 16])
 def test_sample_has_n_distinct_rows(spark, n, bits):

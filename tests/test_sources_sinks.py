@@ -137,6 +137,14 @@ def test_single_file_only_for_small_results(spark, tmp_path, caplog):
     assert files.read_csv(spark, str(tmp_path / "large"), "id bigint").count() == 100
 
 
+def test_single_file_keeps_the_order(spark, tmp_path, setting):
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.range(0, 1000, 1, 8).select((F.col("id") * 7919 % 1000).alias("n")).orderBy(F.desc("n"))
+    assert df.rdd.getNumPartitions() > 1
+    sinks.write_single_csv(df, str(tmp_path / "sorted"))
+    assert [r.n for r in files.read_csv(spark, str(tmp_path / "sorted"), "n int").collect()] == list(range(999, -1, -1))
+
+
 def test_csv_round_trip(spark, tmp_path, values):
     rows = [("a\tb", 1, None), ('say "x"', 2, ""), ("line", None, "end")]
     df = spark.createDataFrame(rows, "s string, n int, t string")
