@@ -199,7 +199,7 @@ def one_csv_file(v: Views):
 def save_modes(v: Views):
     path = new_folder(v.spark, "sink_modes")
     suppliers = v.table("supplier").select("s_suppkey", "s_name")
-    nations = v.table("nation").select(F.col("n_nationkey").cast("bigint").alias("s_suppkey"), F.col("n_name").alias("s_name"))
+    nations = v.table("nation").selectExpr("cast(n_nationkey AS bigint) AS s_suppkey", "n_name AS s_name")
     sinks.write_parquet(nations, path, mode="overwrite")
     sinks.write_parquet(suppliers, path, mode="overwrite")
     sinks.write_parquet(suppliers, path, mode="append")

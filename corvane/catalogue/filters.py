@@ -127,7 +127,7 @@ def codes_to_labels(v: Views):
 
 def ranges_sql(column: str, ranges) -> str:
     ends = [
-        f"WHEN {column} >= {low} THEN '{label}'" if high is None else f"WHEN {column} BETWEEN {low} AND {high} THEN '{label}'"
+        f"WHEN {column} {f'>= {low}' if high is None else f'BETWEEN {low} AND {high}'} THEN '{label}'"
         for low, high, label in ranges
     ]
     return f"CASE {' '.join(ends)} END"

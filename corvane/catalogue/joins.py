@@ -49,7 +49,8 @@ def left_anti(v: Views):
 
 @query(
     "join_using",
-    "SELECT band, id, name, bandName, town FROM players JOIN (SELECT bandId AS band, bandName, town FROM bands) USING (band)",
+    """SELECT band, id, name, bandName, town
+       FROM players JOIN (SELECT bandId AS band, bandName, town FROM bands) USING (band)""",
     "players bands",
 )
 def shared_key_name(v: Views):

@@ -12,7 +12,6 @@ from corvane.operators import loading
 from corvane.plans import social
 from corvane.scratch import new_folder
 from corvane.sinks import files as sinks
-from corvane.sources import files as sources
 
 # Orders, moved ten years on, as bicycle-hire lines: a quoted id, two date-times, a bare NULL.
 _HIRE_LINE = """concat('"', o_orderkey, '",', o_custkey, ',', date_format(start, 'M/d/yyyy H:mm'), ',',

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,21 +36,26 @@ HASHTAG_RANGES = [
 ]
 
 
+def _first_case(cases: Iterable[tuple[Column, Column]]) -> Column:
+    first, *others = cases
+    chain = F.when(*first)
+    for condition, value in others:
+        chain = chain.when(condition, value)
+    return chain
+
+
 def code_label(code: Column, labels: Mapping, otherwise: Column | None = None) -> Column:
     """The label of a code; an unlisted code gives ``otherwise`` (null by default)."""
-    chain = F
-    for key, label in labels.items():
-        chain = chain.when(code == F.lit(key), F.lit(label))
+    chain = _first_case((code == F.lit(key), F.lit(label)) for key, label in labels.items())
     return chain if otherwise is None else chain.otherwise(otherwise)
 
 
 def range_label(value: Column, ranges: Sequence[tuple[int, int | None, str]]) -> Column:
     """The label of the closed range a whole number falls in; an upper end of None is open."""
-    chain = F
-    for low, high, label in ranges:
-        inside = value >= F.lit(low) if high is None else value.between(low, high)
-        chain = chain.when(inside, F.lit(label))
-    return chain
+    return _first_case(
+        (value >= F.lit(low) if high is None else value.between(low, high), F.lit(label))
+        for low, high, label in ranges
+    )
 
 
 def post_type_label(code: Column) -> Column:

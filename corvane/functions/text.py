@@ -31,6 +31,11 @@ def hashtag_count(text: Column) -> Column:
     return F.shiftright(F.octet_length(padded) - F.octet_length(without), 1)
 
 
+def has_hashtag(text: Column) -> Column:
+    """Whether :func:`hashtags` gives any word."""
+    return text.startswith("#") | text.contains(" #")
+
+
 def character_count(text: Column, split_style: bool = False) -> Column:
     """Characters of a text; null for null.
 

@@ -65,6 +65,7 @@ JOBS = {
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="corvane.jobs")
+    parser.add_argument("--input-gb", type=int, help="rough size of the input, sets the shuffle partitions")
     choices = parser.add_subparsers(dest="job", required=True)
     for name, (_, parameters) in JOBS.items():
         command = choices.add_parser(name)
@@ -72,7 +73,8 @@ def main(arguments: list[str] | None = None) -> None:
             command.add_argument(parameter)
     chosen = vars(parser.parse_args(arguments))
     job, _ = JOBS[chosen.pop("job")]
-    job(build_session("corvane"), **chosen)
+    size = chosen.pop("input_gb")
+    job(build_session("corvane", input_bytes=None if size is None else size << 30), **chosen)
 
 
 if __name__ == "__main__":

@@ -40,6 +40,6 @@ def distinct_by(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFram
 
 
 def whole_mean(column: Column) -> Column:
-    """Mean of whole numbers by whole-number division, null counting as zero."""
+    """Mean of whole numbers by whole-number division, null counting as zero; null of no rows."""
     total = F.sum(F.coalesce(column, F.lit(0)))
-    return F.call_function("div", total, F.count("*"))
+    return F.call_function("div", total, F.nullif(F.count("*"), F.lit(0)))

@@ -15,15 +15,31 @@ from pyspark.sql import functions as F
 _MEMBER = "__member"
 
 
+def _half(key: str) -> Column:
+    """A second key that follows from the first.
+
+    Adaptive execution splits a hot key only where both inputs of a join come
+    straight from a shuffle. A grouping or join on the pair leaves its result
+    partitioned by the pair, so that a later join on the key alone has to
+    shuffle it again. Used on small inputs, to keep the large one splittable.
+    """
+    return F.xxhash64(key) % 2
+
+
 def _keys_once(df: DataFrame, key: str, name: str = "__key") -> DataFrame:
-    """The key values of ``df``, each once.
+    """The key values of ``df``, each once; copies shrink before the shuffle."""
+    return df.select(F.col(key).alias(name), _half(key).alias("__half")).distinct().select(name)
+
+
+def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Add the columns of ``right``, which has one row per key, to ``left``; null where it has none.
 
-    Copies shrink before the shuffle. The second grouping column follows from
-    the key, so it adds no rows; it makes the later join shuffle the keys anew.
-    That shuffle is short, and adaptive execution splits a hot key of the other
-    side only where both inputs of a join come straight from a shuffle.
+    Meant for building a dimension: the result is shuffled anew when it is
+    joined with a fact table by the same key, so hot facts can be split there.
     """
-    return df.select(F.col(key).alias(name), (F.xxhash64(key) % 2).alias("__half")).distinct().select(name)
+    keyed = right.withColumn("__half", _half(right_key))
+    condition = (F.col(left_key) == F.col(right_key)) & (_half(left_key) == F.col("__half"))
+    return left.join(keyed, condition, "left").drop("__half", right_key)
 
 
 def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

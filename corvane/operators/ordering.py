@@ -35,6 +35,8 @@ def sample_distinct(df: DataFrame, n: int = SAMPLE_ROWS, bits: int = 16) -> Data
     taken whole and which one only in part. All branches read the one shuffle
     that makes the rows distinct.
     """
+    if not 1 <= bits <= 20:
+        raise ValueError("bits must be from 1 to 20")
     names = df.columns
     bucket = F.shiftrightunsigned(F.xxhash64(*names), 64 - bits)
     bucketed = df.distinct().withColumn("__bucket", bucket)

@@ -14,9 +14,9 @@ from corvane.functions.labels import (
     post_type_label,
     range_label,
 )
-from corvane.functions.text import character_count, hashtag_count, words
+from corvane.functions.text import character_count, has_hashtag, hashtag_count, words
 from corvane.operators.aggregates import distinct_by
-from corvane.operators.joins import spread_join
+from corvane.operators.joins import lookup, spread_join
 from corvane.operators.ordering import sorted_down
 
 # The columns of the joined table and their types.
@@ -154,8 +154,7 @@ def top_hashtags(posts: DataFrame, text: str = "description_post") -> DataFrame:
     Words become rows and are filtered and counted in the same stage, which
     generated code does faster than a filter inside the array.
     """
-    tagged = posts.where(F.col(text).contains("#"))
-    pieces = tagged.select(F.explode(words(F.col(text))).alias("hashtag"))
+    pieces = posts.where(has_hashtag(F.col(text))).select(F.explode(words(F.col(text))).alias("hashtag"))
     tags = pieces.where(F.col("hashtag").startswith("#"))
     return sorted_down(tags.groupBy("hashtag").agg(F.count("*").alias("count")), "count")
 
@@ -213,12 +212,13 @@ def _measured(posts: DataFrame, text: str, split_style: bool) -> DataFrame:
     text where equal posts are grouped, so the text itself is never shuffled.
     """
     column = F.col(text)
+    tagged = posts.where(has_hashtag(column))
     measures = {
         "tags": hashtag_count(column),
         "n_characters": character_count(column, split_style),
         "text_digest": F.unhex(F.sha2(column, 256)),
     }
-    return posts.withColumns(measures).where("tags > 0").drop(text)
+    return tagged.withColumns(measures).drop(text)
 
 
 def _impact(measured: DataFrame, tags: Column) -> DataFrame:
@@ -234,7 +234,10 @@ def _impact(measured: DataFrame, tags: Column) -> DataFrame:
         "n_characters",
         "text_digest",
     ]
-    known = measured.dropna(subset=["profile_id", "number_likes", "number_comments", "followers"])
+    # One test per column, so that each is made before the join it comes from.
+    known = measured
+    for name in ("profile_id", "number_likes", "number_comments", "followers"):
+        known = known.where(F.col(name).isNotNull())
     per_post = known.groupBy(*post).agg(F.sum(tags).alias("n_hashtags"))
     ranged = per_post.groupBy(
         F.year("timestamp_post").alias("year"),
@@ -275,7 +278,7 @@ def profile_impact_from_sources(
         distinct_by(profiles, ["profile_id"], profiles.columns),
         {name: JOINED_TYPES[name] for name in ("profile_id", "following", "followers", "is_business_account")},
     )
-    owners = chosen.join(repeats, F.col("profile_id") == F.col("place"), "left").drop("place")
+    owners = lookup(chosen, repeats, "profile_id", "place")
     renamed = posts.select(
         F.col("profile_id").try_cast("bigint").alias("owner"),
         F.col("cts").alias("timestamp_post"),

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from corvane.operators.joins import without_match
 from corvane.operators.ordering import top_rows
 
+BROADCAST_ROWS = 100_000
+
 
 def with_max_salary(employees: DataFrame, salaries: DataFrame) -> DataFrame:
     best = salaries.groupBy("emp_no").agg(F.max("salary").alias("maxSalary"))
@@ -21,20 +23,23 @@ def never_managers(employees: DataFrame, managers: DataFrame) -> DataFrame:
 def titles_of_best_paid(employees: DataFrame, salaries: DataFrame, titles: DataFrame, n: int = 10) -> DataFrame:
     """All titles ever held by the ``n`` best paid, each with its last date.
 
-    Only ``n`` rows remain before titles are read, so their broadcast is
-    bounded by ``n`` and titles shrink in the scan stage.
+    Only ``n`` keys remain before titles are read. A small ``n`` bounds their
+    broadcast, and titles then shrink in the scan stage.
     """
     best = top_rows(with_max_salary(employees, salaries), n, F.desc("maxSalary"), F.asc("emp_no"))
-    held = titles.join(F.broadcast(best.select("emp_no")), "emp_no", "left_semi")
+    keys = best.select("emp_no")
+    held = titles.join(F.broadcast(keys) if n <= BROADCAST_ROWS else keys, "emp_no", "left_semi")
     latest = held.groupBy("emp_no", "title").agg(F.max("to_date").alias("last_date"))
     return best.join(latest, "emp_no")
 
 
 # Employees hired strictly between the two dates. The pay of an employee is
 # summed before any join, so an employee with very many salary rows meets the
-# other tables as a single row.
+# other tables as a single row. The second grouping column follows from the
+# first; it makes the join shuffle the sums anew, so that adaptive execution can
+# split an employee with very many departments there.
 _HIRED = "e.hire_date > date'1999-01-01' AND e.hire_date < date'2000-01-01'"
-_PAY = "(SELECT emp_no, sum(salary) AS total, count(salary) AS n FROM {salaries} GROUP BY emp_no)"
+_PAY = "(SELECT emp_no, sum(salary) AS total, count(salary) AS n FROM {salaries} GROUP BY emp_no, xxhash64(emp_no) % 2)"
 
 
 def hired_count(employees: DataFrame) -> DataFrame:
@@ -45,7 +50,7 @@ def hired_count(employees: DataFrame) -> DataFrame:
 def mean_salary_by_department(employees: DataFrame, dept_emp: DataFrame, salaries: DataFrame) -> DataFrame:
     return employees.sparkSession.sql(
         f"""
-        SELECT de.dept_no, sum(p.total) / sum(p.n) AS avg_salary
+        SELECT de.dept_no, try_divide(sum(p.total), sum(p.n)) AS avg_salary
         FROM {{employees}} e, {{dept_emp}} de, {_PAY} p
         WHERE {_HIRED} AND e.emp_no = de.emp_no AND e.emp_no = p.emp_no
         GROUP BY de.dept_no
@@ -61,7 +66,7 @@ def best_paying_department(
 ) -> DataFrame:
     return employees.sparkSession.sql(
         f"""
-        SELECT sum(p.total) / sum(p.n) AS payments, d.dept_name
+        SELECT try_divide(sum(p.total), sum(p.n)) AS payments, d.dept_name
         FROM {{employees}} e, {{dept_emp}} de, {_PAY} p, {{departments}} d
         WHERE {_HIRED} AND e.emp_no = de.emp_no AND e.emp_no = p.emp_no AND de.dept_no = d.dept_no
         GROUP BY d.dept_name

@@ -32,27 +32,30 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shuffle_partitions_for(input_bytes: int, bytes_per_task: int = 128 << 20) -> int:
     """Shuffle partitions that keep a task near ``bytes_per_task``.
 
-    Set it as ``spark.sql.shuffle.partitions`` before a large job; adaptive
-    execution merges partitions that turn out small, but never adds any.
+    Adaptive execution merges partitions that turn out small, but never adds
+    any, so a job over much data has to start with enough of them.
     """
     return max(200, -(-input_bytes // bytes_per_task))
 
 
-def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
+def build_session(
+    app_name: str, master: str | None = None, input_bytes: int | None = None, **settings: str
+) -> SparkSession:
     """Start a session with the runtime settings.
 
-    Cluster shape (executors, cores, memory) is left to the submit command;
-    ``settings`` takes further options with ``_`` written for ``.``.
+    ``input_bytes``, the rough size of what a job reads, sets the number of
+    shuffle partitions. Cluster shape (executors, cores, memory) is left to the
+    submit command; ``settings`` takes further options with ``_`` for ``.``.
     """
+    options = dict(RUNTIME_SETTINGS)
+    if master and master.startswith("local"):
+        options |= {"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": str(os.cpu_count() or 8)}
+    if input_bytes is not None:
+        options["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_bytes))
+    options |= {name.replace("_", "."): value for name, value in settings.items()}
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-        if master.startswith("local"):
-            builder = builder.config("spark.ui.enabled", "false").config(
-                "spark.sql.shuffle.partitions", str(os.cpu_count() or 8)
-            )
-    for name, value in RUNTIME_SETTINGS.items():
+    for name, value in options.items():
         builder = builder.config(name, value)
-    for name, value in settings.items():
-        builder = builder.config(name.replace("_", "."), value)
     return builder.getOrCreate()

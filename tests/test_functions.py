@@ -13,7 +13,7 @@ from corvane.functions.labels import (
     post_type_label,
     range_label,
 )
-from corvane.functions.text import character_count, contains_any, hashtag_count, hashtags, matches_any, words
+from corvane.functions.text import character_count, contains_any, has_hashtag, hashtag_count, hashtags, matches_any, words
 
 
 @pytest.fixture
@@ -60,6 +60,7 @@ def test_hashtags_are_blank_separated(apply):
     expected = [None if t is None else [w for w in t.split(" ") if w.startswith("#")] for t in TEXTS]
     assert apply(hashtags, TEXTS) == expected
     assert apply(hashtag_count, TEXTS) == [None if e is None else len(e) for e in expected]
+    assert apply(has_hashtag, TEXTS) == [None if e is None else bool(e) for e in expected]
 
 
 def test_hashtag_count_of_wide_characters(apply):

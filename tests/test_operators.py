@@ -95,6 +95,21 @@ def test_hot_key_is_split_in_the_anti_join(spark, setting, plan_of):
     assert "skew=true" in plan_of(orphans, run=True)
 
 
+def test_lookup_is_a_left_join(spark, values):
+    left = spark.createDataFrame(LEFT, "k int, a string")
+    right = spark.createDataFrame([(1, "x"), (4, "z"), (None, "w")], "r int, b string")
+    assert values(joins.lookup(left, right, "k", "r")) == values(left.join(right, F.col("k") == F.col("r"), "left").drop("r"))
+
+
+def test_hot_key_is_split_after_a_lookup(spark, setting, plan_of):
+    profiles, posts = skewed(spark, setting)
+    extra = spark.range(1000).select(F.col("id").alias("r"), (F.col("id") * 2).alias("twice"))
+    owners = joins.lookup(profiles, extra, "k", "r")
+    plain = profiles.join(extra, F.col("k") == F.col("r"), "left").drop("r")
+    assert "skew=true" not in plan_of(posts.join(plain, F.col("owner") == F.col("k")), run=True)
+    assert "skew=true" in plan_of(posts.join(owners, F.col("owner") == F.col("k")), run=True)
+
+
 def test_hot_key_is_split_before_a_grouping_on_the_join_key(spark, setting, plan_of, values):
     profiles, posts = skewed(spark, setting)
     joined = profiles.join(posts, F.col("k") == F.col("owner"))
@@ -122,6 +137,7 @@ def test_distinct_by_always_picks_the_same_row(spark):
 def test_whole_mean_counts_null_as_zero(spark):
     df = spark.createDataFrame([(10,), (5,), (None,)], "x bigint")
     assert tuple(df.agg(whole_mean(F.col("x")), F.avg("x")).first()) == (5, 7.5)
+    assert df.where("x > 99").agg(whole_mean(F.col("x"))).first()[0] is None
 
 
 def test_correlation(spark):
@@ -165,6 +181,11 @@ def test_sample_has_n_distinct_rows(spark, n, bits):
     assert {a for a, _ in rows} <= set(range(500))
 
 
+def test_sample_bounds_its_buckets(spark):
+    with pytest.raises(ValueError, match="bits"):
+        sample_distinct(spark.range(3), 1, bits=32)
+
+
 def test_sample_is_repeatable(spark, values):
     df = spark.range(3000).select((F.col("id") % 800).alias("a"))
     assert values(sample_distinct(df.repartition(3), 100)) == values(sample_distinct(df.repartition(5), 100))

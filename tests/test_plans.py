@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane import jobs
 from corvane.plans import movies, social, staff, trips
+from corvane.session import shuffle_partitions_for
 
 POSTS = "post_id string, profile_id bigint, cts timestamp, post_type int, description string, numbr_likes bigint, number_comments bigint"
 
@@ -256,7 +257,7 @@ def staff_tables(spark):
     hired = [(1, day(1999, 1, 1)), (2, day(1999, 1, 2)), (3, day(1999, 12, 31)), (4, day(2000, 1, 1)), (5, day(1999, 6, 1))]
     return {
         "employees": spark.createDataFrame(hired, "emp_no int, hire_date date"),
-        "dept_emp": spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (3, "a"), (5, "b")], "emp_no int, dept_no string"),
+        "dept_emp": spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (3, "a"), (5, "b"), (5, "c")], "emp_no int, dept_no string"),
         "departments": spark.createDataFrame([("a", "Alpha"), ("b", "Beta")], "dept_no string, dept_name string"),
         "salaries": spark.createDataFrame([(1, 99.0), (2, 10.0), (2, 30.0), (3, 50.0), (5, None)], "emp_no int, salary double"),
     }
@@ -266,7 +267,7 @@ def test_hires_and_pay(staff_tables, values):
     t = staff_tables
     assert staff.hired_count(t["employees"]).first()[0] == 3
     means = staff.mean_salary_by_department(t["employees"], t["dept_emp"], t["salaries"])
-    assert values(means) == [("a", 30.0), ("b", 50.0)]
+    assert values(means) == [("a", 30.0), ("b", 50.0), ("c", None)]
     best = staff.best_paying_department(t["employees"], t["dept_emp"], t["salaries"], t["departments"])
     assert tuple(best.first()) == (50.0, "Beta")
 
@@ -290,6 +291,22 @@ def test_mean_rating_agrees_with_sql(spark, values):
     assert values(movies.mean_rating_by_genre(df)) == values(spark.sql(sql, df=df)) == [("Comedy", 5.0), ("Drama", 6.75)]
 
 
+def test_shuffle_partitions_follow_the_input():
+    assert shuffle_partitions_for(1) == 200
+    assert shuffle_partitions_for(100 << 40) == 100 * 2**13
+    assert shuffle_partitions_for((300 << 20) * 100, 100 << 20) == 300
+
+
+def test_job_arguments(monkeypatch):
+    called = {}
+    monkeypatch.setitem(jobs.JOBS, "load", (lambda spark, **given: called.update(given), ["source", "schema", "table"]))
+    monkeypatch.setattr(jobs, "build_session", lambda name, input_bytes: called.update(input_bytes=input_bytes))
+    jobs.main(["--input-gb", "2", "load", "in/*.csv", "s.txt", "d.t"])
+    assert called == {"input_bytes": 2 << 30, "source": "in/*.csv", "schema": "s.txt", "table": "d.t"}
+    with pytest.raises(SystemExit):
+        jobs.main(["load", "only-one"])
+
+
 def test_jobs(spark, tmp_path, values):
     (tmp_path / "movies.json").write_text(
         '{"Title": "T", "IMDB_Rating": 7.0, "Release_Date": "d", "Major_Genre": "Comedy"}\n'
