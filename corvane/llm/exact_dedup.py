@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.tables import id_and_text, written
+from corvane.llm.tables import id_and_text, named, written
 
 SALTS = 16
 
@@ -55,21 +55,21 @@ def memberships(
     keyed = id_and_text(docs, id_col, text_col).withColumn("text", F.coalesce(normalise(F.col("text")), F.lit("")))
     keyed = keyed.withColumn("digest", digest(F.col("text")))
     groups = written(winners(keyed, salts), "exact-groups")
-    by_digest = groups.groupBy("digest").agg(
-        F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts")
-    )
-    shared = by_digest.filter("texts > 1").select("digest")
+    shared = groups.groupBy("digest").count().filter("count > 1").select("digest")
     rows = keyed.select("doc_id", "digest")
     if shared.isEmpty():
-        joined = rows.join(by_digest.drop("texts"), "digest")
+        joined = rows.join(groups, "digest")
     else:
-        single = rows.join(by_digest.filter("texts = 1").drop("texts"), "digest")
         clashing = keyed.join(shared, "digest", "left_semi")
         exact = clashing.groupBy("digest", "text").agg(
             F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
         )
-        joined = single.unionByName(
-            clashing.join(exact, ["digest", "text"]).select("digest", "doc_id", "keep_id", "group_size")
+        joined = (
+            rows.join(groups.join(shared, "digest", "left_anti"), "digest")
+            .select("doc_id", "digest", "keep_id", "group_size")
+            .unionByName(
+                clashing.join(exact, ["digest", "text"]).select("doc_id", "digest", "keep_id", "group_size")
+            )
         )
     return joined.select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest"
@@ -82,8 +82,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Ids have to be unique for exactly one row per text to stay: rows repeated
     with one id and text stay or go together.
     """
-    from corvane.llm.tables import named
-
     gone = memberships(docs, id_col, text_col, **options).filter("not kept").select(F.col("doc_id").alias(_GONE))
     return docs.join(gone, named(id_col).eqNullSafe(F.col(_GONE)), "left_anti")
 
