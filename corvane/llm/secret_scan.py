@@ -28,7 +28,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
 CODES = 128
 TRAINING_DOCUMENTS = 4000
-THRESHOLD = 1.5
+THRESHOLD = 0.5
 
 _MATCHES = "array<struct<start:bigint,stop:bigint,value:string>>"
 
