@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from corvane.llm.tables import id_and_text, named
+from corvane.llm.tables import id_and_text, named, ship
 
 REMEMBERED_PIECES = 1 << 18  # a memory bound; the memo is emptied when full, results do not change
 
@@ -129,6 +129,7 @@ def _shared(docs: DataFrame, rank_file: bytes, pattern: str):
 
 def _mapped(rows: DataFrame, make, build, schema: str) -> DataFrame:
     """``build`` turns (codec, record batch) into columns; the first column is passed on."""
+    ship(rows.sparkSession)
     arrow_names = [field.split()[0] for field in schema.split(", ")]
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

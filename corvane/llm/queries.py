@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import byte_bpe, chat_format, exact_dedup, license_scan, secret_scan
+from corvane.llm import byte_bpe, chat_format, exact_dedup, license_scan, near_dedup, secret_scan
 from corvane.llm.tables import table
 from corvane.session import prepare
 
@@ -23,6 +23,10 @@ def rank_file(name: str = VOCABULARY) -> tuple[bytes, str]:
         return file.read(), public_tokenizers.PATTERN
 
 
+def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), width=4, percent=80)
+
+
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan(table(spark, folder, "documents"))
     return found.select(
@@ -118,7 +122,7 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-_QUERIES = [op3_secret_scan, op4_license_scan, op7_byte_bpe, op9_exact_dedup, op10_chat_format]
+_QUERIES = [op2_near_dedup, op3_secret_scan, op4_license_scan, op7_byte_bpe, op9_exact_dedup, op10_chat_format]
 _SQL = {"op4_license_scan": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op10_chat_format": OP10_SQL}
 
 

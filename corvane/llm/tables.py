@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corvane
 from corvane.scratch import new_folder
 
+_shipped: set[str] = set()
+
 
 def named(name: str) -> Column:
     """The column of exactly this name, dots and all."""
@@ -37,3 +44,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run in tasks import it; a cluster need not have it installed.
+    The archive goes out through Spark's own file server.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    root = os.path.dirname(os.path.abspath(corvane.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="corvane-code-"), "corvane.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    archive.write(file, os.path.relpath(file, os.path.dirname(root)))
+    context.addPyFile(path)
