@@ -6,10 +6,10 @@ correlated, which lowers the variance, and once every slot holds a value no
 later j can lower any, so most sets stop after one or two steps.
 
 Texts with equal sets form one class, and only classes are compared. Classes
-that share a band key are candidates. Within a bucket of a key no pairs are
-listed: its members are compared to one pivot per round, and only what the
-rounds leave apart, in buckets that still hold several components, is paired.
-Every link is confirmed on the full sets.
+that share a band key are candidates. No pairs are listed within a bucket: its
+members are compared to one pivot, and what that comparison tells bounds the
+similarity of any two members, so that only few further pairs have to be
+compared (:func:`open_pairs`). Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -19,31 +19,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm.bloom import bloom_of, integers
 from corvane.llm.components import components
 from corvane.llm.shingles import chunks, mixed, shingle_sets
 from corvane.llm.tables import id_and_text, named, ship, written
 
 BANDS, ROWS = 24, 4
-PIVOT_ROUNDS = 3
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def super_minhash(sets: list[np.ndarray], slots: int) -> np.ndarray:
+def super_minhash(elements: np.ndarray, sizes: np.ndarray, slots: int) -> np.ndarray:
     """One row of ``slots`` values per set; an empty set keeps the largest value in each.
 
+    ``elements`` holds the sets one after the other, ``sizes`` their lengths.
     A value holds the step j in its upper and the random fraction in its lower
     32 bits. All sets go through step j together; a set leaves when each of
     its slots is filled.
     """
-    sizes = np.array([len(each) for each in sets], dtype=np.int64)
-    found = np.full(len(sets) * slots, _EMPTY, dtype=np.uint64)
-    if not sizes.sum():
-        return found.reshape(len(sets), slots)
-    elements = np.concatenate(sets)
-    owners = np.repeat(np.arange(len(sets)), sizes)
+    count = len(sizes)
+    found = np.full(count * slots, _EMPTY, dtype=np.uint64)
+    if not len(elements):
+        return found.reshape(count, slots)
+    owners = np.repeat(np.arange(count), sizes)
     order = None
     for step in range(slots):
         drawn = mixed(elements + np.uint64((step + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
@@ -59,7 +60,7 @@ def super_minhash(sets: list[np.ndarray], slots: int) -> np.ndarray:
             order[:, step] = slot
         values = (drawn >> np.uint64(32)) | np.uint64(step << 32)
         np.minimum.at(found, owners * slots + slot, values)
-        unfilled = (found.reshape(len(sets), slots) == _EMPTY).any(axis=1)
+        unfilled = (found.reshape(count, slots) == _EMPTY).any(axis=1)
         going = unfilled[owners]
         if not going.any():
             break
@@ -71,7 +72,7 @@ def super_minhash(sets: list[np.ndarray], slots: int) -> np.ndarray:
         elif not going.all():
             order = order[going]
         elements, owners = elements[going], owners[going]
-    return found.reshape(len(sets), slots)
+    return found.reshape(count, slots)
 
 
 def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -111,9 +112,10 @@ def signatures(texts: DataFrame, width: int, bands: int = BANDS, rows: int = ROW
     def build(run):
         sets = shingle_sets(run, width)
         digests = [hashlib.blake2b(each.tobytes(), digest_size=16).digest() for each in sets]
-        keys = band_keys(super_minhash(sets, bands * rows), bands, rows)
+        sizes = np.array([len(each) for each in sets], dtype=np.int64)
+        keys = band_keys(super_minhash(np.concatenate(sets), sizes, bands * rows), bands, rows)
         return [
-            pa.array([len(each) for each in sets], pa.int64()),
+            pa.array(sizes),
             pa.array(digests, pa.binary()),
             _list_array(keys),
         ]
@@ -122,92 +124,153 @@ def signatures(texts: DataFrame, width: int, bands: int = BANDS, rows: int = ROW
     return _by_chunk(texts, fields, build)
 
 
-def full_sets(texts: DataFrame, width: int) -> DataFrame:
-    """(doc_id, shingles: the full set as hashes) of (doc_id, text)."""
-
-    def build(run):
-        sets = shingle_sets(run, width)
-        offsets = np.concatenate(([0], np.cumsum([len(each) for each in sets]))).astype(np.int32)
-        values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
-
-    return _by_chunk(texts, [("shingles", "array<bigint>")], build)
+def full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(doc_id, shingles: the full set as hashes) of the texts whose ids are in ``wanted``.
 
+    A Bloom filter of the ids leaves most other texts where they are read; the
+    join then takes out the rest.
+    """
+    files = texts.sparkSession.sparkContext.broadcast(bloom_of(wanted, "doc_id"))
+    ship(texts.sparkSession)
 
-def _near(sizes: tuple[str, str], percent: int):
-    a, b = sizes
-    return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            batch = batch.filter(pa.compute.is_valid(batch.column(0)))
+            batch = batch.filter(pa.array(files.value.holds(integers(batch.column(0))), pa.bool_()))
+            for begin, run in chunks(batch.column(1).to_pylist()):
+                sets = shingle_sets(run, width)
+                offsets = np.concatenate(([0], np.cumsum([len(each) for each in sets]))).astype(np.int32)
+                values = np.concatenate(sets).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(begin, len(run)),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                    ],
+                    names=["doc_id", "shingles"],
+                )
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    found = texts.mapInArrow(batches, f"doc_id {kind}, shingles array<bigint>").filter(F.size("shingles") > 0)
+    return found.join(wanted, "doc_id", "left_semi")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have an intersection of ``percent`` of the union."""
+    """The pairs (a, b) whose full sets have an intersection of ``percent`` percent of the union."""
     first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left_set"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right_set"))
+    joined = pairs.join(first, "a").join(second, "b")
     both = F.size(F.array_intersect("left_set", "right_set"))
-    union = F.size("left_set") + F.size("right_set") - both
-    return (
-        pairs.join(first, "a").join(second, "b").filter(100 * both >= percent * union).select("a", "b")
-    )
+    sized = joined.select("a", "b", both.alias("both"), (F.size("left_set") + F.size("right_set")).alias("all"))
+    return sized.filter(f"100 * both >= {percent} * (all - both)").select("a", "b")
 
 
-def _pivot_pairs(buckets: DataFrame, round_: int, percent: int) -> DataFrame:
-    """Each bucket's members against its pivot of this round, where both are still apart."""
-    rank = F.col("doc_id") if round_ == 0 else F.xxhash64("doc_id", F.lit(round_))
-    pivots = buckets.groupBy("key").agg(
-        F.min_by(F.struct("doc_id", "n", "component"), F.struct(rank, "doc_id")).alias("pivot"),
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-    )
-    pivots = pivots.filter("low <> high").select(
-        "key", F.col("pivot.doc_id").alias("p"), F.col("pivot.n").alias("p_n"), F.col("pivot.component").alias("p_c")
+def pivots_of(buckets: DataFrame) -> DataFrame:
+    """(pivot, doc_id) of every member of a bucket (key, doc_id) and the bucket's pivot.
+
+    The pivot is the member whose buckets are largest together: in a group of
+    edited copies that is a text close to what they were made from.
+    """
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    weights = buckets.join(sizes, "key").groupBy("doc_id").agg(F.sum("members").alias("weight"))
+    weighed = buckets.join(weights, "doc_id")
+    chosen = weighed.groupBy("key").agg(F.max(F.struct("weight", "doc_id")).alias("top"))
+    met = buckets.join(chosen.select("key", F.col("top.doc_id").alias("pivot")), "key")
+    return met.filter("doc_id <> pivot").select("pivot", "doc_id").distinct()
+
+
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(pivot, doc_id) with n and m, the sizes of the member's and the pivot's set, i of
+    their intersection, and ``rare``: the member's prefix of shingles that the pivot lacks.
+
+    Two sets of an intersection of at least ``percent`` percent of the union
+    share one of the first n - ceil(n * percent / 100) + 1 shingles in any order
+    common to both. Here what the pivot lacks comes first.
+    """
+    member = sets.select("doc_id", F.col("shingles").alias("own"))
+    pivot = sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("other"))
+    joined = pairs.join(member, "doc_id").join(pivot, "pivot")
+    n = F.size("own")
+    prefix = (n - F.ceil(n * percent / 100) + 1).cast("int")
+    return joined.select(
+        "pivot",
+        "doc_id",
+        n.alias("n"),
+        F.size("other").alias("m"),
+        F.size(F.array_intersect("own", "other")).alias("i"),
+        F.slice(F.array_sort(F.array_except("own", "other")), F.lit(1), prefix).alias("rare"),
     )
-    met = buckets.join(pivots, "key").filter("component <> p_c").filter(_near(("n", "p_n"), percent))
-    return met.select(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b")).distinct()
 
 
-def _rest_pairs(buckets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket that lie in different components; used after the pivot rounds."""
-    apart = buckets.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    left = buckets.join(apart.filter("low <> high").select("key"), "key")
-    a = left.select("key", F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("component").alias("a_c"))
-    b = left.select("key", F.col("doc_id").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("b_c"))
-    met = a.join(b, "key").filter("a < b AND a_c <> b_c").filter(_near(("a_n", "b_n"), percent))
-    return met.select("a", "b").distinct()
+def open_pairs(stats: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of one pivot that may be linked, lie in different groups and
+    have not been compared.
+
+    Let x and y be linked members of pivot p. Under an order that puts the
+    shingles p lacks first, their prefixes share a shingle. If that is one that
+    p lacks, both ``rare`` lists hold it. If not, the prefixes reach into p,
+    so they hold all that p lacks, of which x and y share nothing: then
+    x and y have at most min(i_x, i_y) shingles in common, which has to be
+    ``percent`` percent of n_x + n_y less that number. At least one of two
+    members in different groups is outside the pivot's group; only such
+    members are looked up.
+    """
+    group = groups.select(F.col("node").alias("doc_id"), "component")
+    of_pivot = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_group"))
+    tagged = (
+        stats.join(group, "doc_id", "left")
+        .join(of_pivot, "pivot", "left")
+        .select(
+            "pivot", "doc_id", "n", "i", "rare",
+            F.coalesce("component", "doc_id").alias("own"),
+            F.coalesce("pivot_group", "pivot").alias("pivot_own"),
+        )
+    )
+    tagged = written(tagged.withColumn("apart", F.col("own") != F.col("pivot_own")).drop("pivot_own"), "compared")
+    fits = (
+        f"own <> y_own AND doc_id <> y AND 100 * least(n, y_n) >= {percent} * greatest(n, y_n)"
+    )
+    listed = tagged.select("pivot", "doc_id", "n", "own", "apart", F.explode("rare").alias("shingle"))
+    held = listed.select(
+        "pivot", "shingle", F.col("doc_id").alias("y"), F.col("n").alias("y_n"), F.col("own").alias("y_own")
+    )
+    by_shingle = listed.filter("apart").join(held, ["pivot", "shingle"]).filter(fits).select("doc_id", "y").distinct()
+    inside = tagged.filter(f"100 * i >= {percent} * n")
+    kinds = inside.groupBy("pivot", "n", "i").agg(F.max("apart").alias("some_apart"))
+    other = kinds.select("pivot", F.col("n").alias("y_n"), F.col("i").alias("y_i"))
+    fitting = kinds.filter("some_apart").join(other, "pivot").filter(
+        f"100 * least(i, y_i) >= {percent} * (n + y_n - least(i, y_i))"
+    )
+    members = inside.select(
+        "pivot", F.col("n").alias("y_n"), F.col("i").alias("y_i"), F.col("doc_id").alias("y"), F.col("own").alias("y_own")
+    )
+    by_size = (
+        inside.filter("apart")
+        .join(fitting.select("pivot", "n", "i", "y_n", "y_i"), ["pivot", "n", "i"])
+        .join(members, ["pivot", "y_n", "y_i"])
+        .filter(fits)
+        .select("doc_id", "y")
+    )
+    pairs = by_shingle.unionByName(by_size)
+    return pairs.select(F.least("doc_id", "y").alias("a"), F.greatest("doc_id", "y").alias("b")).distinct()
 
 
-def _regrouped(buckets: DataFrame, links: DataFrame) -> DataFrame:
-    """The buckets with the components that ``links`` make."""
-    found = components(links).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "joined")
-    return buckets.join(found, "doc_id", "left").select(
-        "key", "doc_id", "n", F.coalesce("joined", "doc_id").alias("component")
+def link_buckets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b), enough to join all that are linked within a bucket (key, doc_id)."""
+    stats = written(compared(written(pivots_of(buckets), "pivots"), sets, percent), "stats")
+    links = stats.filter(f"100 * i >= {percent} * (n + m - i)").select(
+        F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
     )
+    pairs = written(open_pairs(stats, written(components(links), "groups"), percent), "pairs")
+    return links.unionByName(confirmed(pairs, sets, percent))
 
 
 def link_classes(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between classes (doc_id, n, keys), enough to join all that are linked."""
-    exploded = classes.select(F.explode("keys").alias("key"), "doc_id", "n")
+    """Confirmed links (a, b) between classes (doc_id, keys), enough to join all that are linked."""
+    exploded = classes.select(F.explode("keys").alias("key"), "doc_id")
     shared = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("key")
-    buckets = written(
-        exploded.join(shared, "key").select("key", "doc_id", "n", F.col("doc_id").alias("component")), "buckets"
-    )
-    candidates = buckets.select("doc_id").distinct()
-    sets = written(full_sets(texts.join(candidates, "doc_id", "left_semi"), width), "sets")
-    sets = sets.filter(F.size("shingles") > 0)
-    links = tried = None
-    for round_ in range(PIVOT_ROUNDS + 1):
-        last = round_ == PIVOT_ROUNDS
-        pairs = _rest_pairs(buckets, percent) if last else _pivot_pairs(buckets, round_, percent)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        new = written(confirmed(pairs, sets, percent), "confirmed")
-        links = new if links is None else links.unionByName(new)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        if not last:
-            buckets = written(_regrouped(buckets, links), "buckets")
-    return links if links is not None else classes.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
+    buckets = written(exploded.join(shared, "key", "left_semi"), "buckets")
+    sets = written(full_sets(texts, buckets.select("doc_id").distinct(), width), "sets")
+    return link_buckets(buckets, sets, percent)
 
 
 def near_duplicates(
@@ -232,13 +295,12 @@ def near_duplicates(
     whole = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = written(
         whole.groupBy("n_shingles", "digest")
-        .agg(F.min("doc_id").alias("doc_id"), F.any_value("keys").alias("keys"))
-        .withColumnRenamed("n_shingles", "n"),
+        .agg(F.min("doc_id").alias("doc_id"), F.any_value("keys").alias("keys")),
         "classes",
     )
     links = link_classes(classes, texts, width, percent)
     same = whole.select("doc_id", "n_shingles", "digest").join(
-        classes.select(F.col("n").alias("n_shingles"), "digest", F.col("doc_id").alias("rep")), ["n_shingles", "digest"]
+        classes.select("n_shingles", "digest", F.col("doc_id").alias("rep")), ["n_shingles", "digest"]
     )
     if not whole.groupBy("doc_id").count().filter("count > 1").isEmpty():
         # An id with several texts belongs to several classes, and joins them.

@@ -28,18 +28,18 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the base and of its inverse up to ``size``; short tables are kept."""
     global _powers
-    if len(_powers[0]) < size:
-        size = max(size, 1 << 16)
-        tables = []
-        for base in (_BASE, _INVERSE):
-            table = np.full(size, base, dtype=np.uint64)
-            table[0] = 1
-            tables.append(np.multiply.accumulate(table))
-        if size > 1 << 22:
-            return tables[0], tables[1]
+    if size <= len(_powers[0]):
+        return _powers[0][:size], _powers[1][:size]
+    tables = []
+    for base in (_BASE, _INVERSE):
+        table = np.full(max(size, 1 << 16), base, dtype=np.uint64)
+        table[0] = 1
+        tables.append(np.multiply.accumulate(table))
+    if size <= 1 << 22:
         _powers = tables[0], tables[1]
-    return _powers[0][:size], _powers[1][:size]
+    return tables[0][:size], tables[1][:size]
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -63,6 +63,26 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return mixed(hashes), counts
 
 
+def gram_hashes(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``width`` characters of the lines in order, repeats
+    included, and their number per line.
+
+    A line of fewer characters is one run; an empty line has none.
+    """
+    lengths = np.array([len(line) for line in lines], dtype=np.int64)
+    if not lengths.sum():
+        return np.zeros(0, np.uint64), np.zeros(len(lines), np.int64)
+    data = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
+    up, down = _power_tables(len(data))
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
+    sizes = np.where(lengths == 0, 0, np.maximum(lengths - width + 1, 1))
+    begins = np.cumsum(lengths) - lengths
+    firsts = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    stops = np.minimum(firsts + width, np.repeat(begins + lengths, sizes))
+    return mixed((sums[stops] - sums[firsts]) * down[firsts] + (stops - firsts).astype(np.uint64)), sizes
+
+
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     """The sorted distinct shingles of ``width`` words of each text, as hashes.
 
