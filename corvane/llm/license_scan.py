@@ -95,24 +95,30 @@ def notices(
     share = minimum / (2 - minimum)
     smallest = min((len(pairs) for _, pairs in known), default=1)
     largest = max((len(pairs) for _, pairs in known), default=0)
-    body = F.col("text")
-    lines, paragraphs = F.split(body, r"\n"), F.split(body, r"\n\s*\n")
+    # Each line is cut into words once; the words of the whole text are those of its lines in order.
+    worded = id_and_text(docs, id_col, text_col).select(
+        "doc_id",
+        F.transform(F.split("text", r"\n"), words_of).alias("lines"),
+        F.split("text", r"\n\s*\n").alias("paragraphs"),
+    )
+    none = F.array().cast("array<struct<words:array<string>,part:int>>")
     parts = F.concat(
-        F.transform(lines, lambda part, at: F.struct(part.alias("body"), at.alias("part"))),
+        F.transform("lines", lambda words, at: F.struct(words.alias("words"), at.alias("part"))),
         F.when(
-            F.size(paragraphs) > 1,
+            F.size("paragraphs") > 1,
             F.transform(
-                paragraphs, lambda part, at: F.struct(part.alias("body"), (at + F.size(lines)).alias("part"))
+                "paragraphs",
+                lambda part, at: F.struct(words_of(part).alias("words"), (at + F.size("lines")).alias("part")),
             ),
-        ).otherwise(F.array().cast("array<struct<body:string,part:int>>")),
-        F.when(F.size(lines) > 1, F.array(F.struct(body.alias("body"), F.lit(-1).alias("part")))).otherwise(
-            F.array().cast("array<struct<body:string,part:int>>")
-        ),
+        ).otherwise(none),
+        F.when(
+            F.size("lines") > 1, F.array(F.struct(F.flatten("lines").alias("words"), F.lit(-1).alias("part")))
+        ).otherwise(none),
     )
-    # A part of n distinct bigrams has more than n words, two or more characters each with the gap between.
-    fitting = F.filter(parts, lambda part: F.length(part["body"]) > 2 * share * smallest)
+    # Distinct bigrams are fewer than words.
+    fitting = F.filter(parts, lambda part: F.size(part["words"]) > share * smallest)
     sets = F.transform(
-        fitting, lambda part: F.struct(bigrams_of(words_of(part["body"])).alias("pairs"), part["part"].alias("part"))
+        fitting, lambda part: F.struct(bigrams_of(part["words"]).alias("pairs"), part["part"].alias("part"))
     )
     sets = F.filter(
         sets,
@@ -147,7 +153,7 @@ def notices(
         F.col("sets"), lambda part: F.struct(best(part["pairs"]).alias("best"), part["part"].alias("part"))
     )
     kept = F.filter(scored, lambda part: part["best"]["dice"] >= minimum)
-    return id_and_text(docs, id_col, text_col).select("doc_id", sets.alias("sets")).select(
+    return worded.select("doc_id", sets.alias("sets")).select(
         "doc_id",
         F.transform(
             kept,
