@@ -14,7 +14,6 @@ row per benchmark word, never anything per document.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,10 +26,11 @@ from corvane.llm.shingles import chunks, word_hashes
 from corvane.llm.tables import id_and_text, named, ship
 
 BLOCK = 24  # words; a passage is two neighbouring blocks
-RANK = 48
-OVERSAMPLED = 8
-COSINE = 0.45
-COMMON = 0.05  # words in a larger share of passages say nothing
+RANK = 96
+OVERSAMPLED = 16
+COSINE = 0.3
+COMMON = 0.003  # a word in a larger share of passages counts only as one of an item's rarest
+SHARED_WORDS = 3  # informative words that a candidate shares with an item, or all the item has
 LCS_SHARE = 0.7
 ANSWERED_LCS_SHARE = 0.5
 ANSWER_SHARE = 0.6
@@ -66,6 +66,8 @@ class Index:
     axes: np.ndarray
     vectors: np.ndarray  # one latent vector per query row
     owners: np.ndarray  # the item of each query row
+    informative: np.ndarray  # by item and word, whether it is one of the item's words with a weight
+    needed: np.ndarray  # informative words that a candidate of each query row shares with its item
     slots: np.ndarray  # hash table of the words, for quick rejection
 
 
@@ -170,7 +172,12 @@ def build_index(texts: DataFrame, items: list[tuple[object, str]], rank: int = R
     held = _summed(texts, lambda: np.zeros((size + 1, 1)), count)[:, 0]
     frequency, passages = held[:size], held[size]
     weights = np.log((1 + passages) / (1 + frequency)).astype(np.float32)
-    weights[frequency > COMMON * passages] = 0
+    rarest = [
+        sorted(set(own), key=lambda word: (frequency[place[word]], word))[:ANSWER_WORDS] for _, own in worded
+    ]
+    kept = frequency <= COMMON * passages
+    kept[[place[word] for own in rarest for word in own]] = True
+    weights[~kept] = 0
     width = min(rank + OVERSAMPLED, size)
     noise = np.random.default_rng(seed).standard_normal((size, width)).astype(np.float32)
 
@@ -198,12 +205,11 @@ def build_index(texts: DataFrame, items: list[tuple[object, str]], rank: int = R
     whitened = gram @ (vectors[:, good] / np.sqrt(values[good]))
     axes = np.linalg.svd(whitened, full_matrices=False)[0][:, :rank] if good.any() else np.zeros((size, 1))
     found, owners = [], []
-    common = Counter(word for _, own in worded for word in set(own))
     parts = []
+    informative = np.zeros((len(worded), size), dtype=bool)
     for at, (item_id, own) in enumerate(worded):
-        known = {word: float(weights[place[word]]) for word in own}
-        answer = sorted(known, key=lambda word: (-known[word], common[word], word))[:ANSWER_WORDS]
-        parts.append(Item(item_id, own, frozenset(answer)))
+        informative[at, [place[word] for word in own if weights[place[word]] > 0]] = True
+        parts.append(Item(item_id, own, frozenset(rarest[at])))
         step = 2 * BLOCK
         for begin in range(0, max(len(own) - BLOCK, 1), step):
             row = np.zeros(size)
@@ -212,7 +218,9 @@ def build_index(texts: DataFrame, items: list[tuple[object, str]], rank: int = R
             found.append(row @ axes)
             owners.append(at)
     vectors = _unit(np.array(found)).astype(np.float32)
-    return Index(parts, words, weights, axes.astype(np.float32), vectors, np.array(owners), slots)
+    owners = np.array(owners)
+    needed = np.minimum(SHARED_WORDS, informative.sum(axis=1))[owners]
+    return Index(parts, words, weights, axes.astype(np.float32), vectors, owners, informative, needed, slots)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -228,10 +236,24 @@ def candidates(run: list[bytes], index: Index, cosine: float) -> list[tuple[int,
     if not len(passage):
         return []
     starts = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
+    sizes = np.diff(np.append(starts, len(word)))
+    enough = np.repeat(sizes >= index.needed.min(), sizes)
+    passage, word, number = passage[enough], word[enough], number[enough]
+    if not len(passage):
+        return []
+    starts = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
+    stops = np.append(starts[1:], len(word))
     value = (number * index.weights[word]).astype(np.float32)
     latent = _unit(np.add.reduceat(value[:, None] * index.axes[word], starts, axis=0))
     near = latent @ index.vectors.T
-    rows, queries = np.nonzero(near >= cosine)
+    rows, queries = np.nonzero((near >= cosine) & ((stops - starts)[:, None] >= index.needed[None, :]))
+    if len(rows):
+        lengths = (stops - starts)[rows]
+        first = np.cumsum(lengths) - lengths
+        cells = np.repeat(starts[rows] - first, lengths) + np.arange(lengths.sum())
+        held = index.informative[np.repeat(index.owners[queries], lengths), word[cells]]
+        kept = np.add.reduceat(held.astype(np.int32), first) >= index.needed[queries]
+        rows, queries = rows[kept], queries[kept]
     best: dict[tuple[int, int], float] = {}
     for row, query in zip(rows.tolist(), queries.tolist(), strict=True):
         pair = int(passage[starts[row]]), int(index.owners[query])

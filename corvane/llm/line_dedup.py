@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.bloom import Bloom, bloom_of
+from corvane.llm.bloom import Bloom, bloom_of, integers
 from corvane.llm.components import components
 from corvane.llm.near_dedup import band_keys, link_buckets, super_minhash
 from corvane.llm.shingles import chunks, gram_hashes
@@ -33,12 +33,8 @@ def normalised(line: str) -> str:
     return " ".join(line.lower().split())
 
 
-def line_sets(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingle hashes of all lines in order (repeats included), and their number per line.
-
-    A line shorter than ``width`` is one shingle; an empty line has none.
-    """
-    return gram_hashes(lines, width)
+def digest(line: str) -> bytes:
+    return hashlib.blake2b(line.encode(), digest_size=16).digest()
 
 
 def _signed(texts: DataFrame, width: int) -> DataFrame:
@@ -52,8 +48,8 @@ def _signed(texts: DataFrame, width: int) -> DataFrame:
                 split = [text.decode().split("\n") for text in run]
                 counts = np.array([len(lines) for lines in split])
                 lines = [normalised(line) for document in split for line in document]
-                ids = [hashlib.blake2b(line.encode(), digest_size=16).digest() if line else None for line in lines]
-                grams, sizes = line_sets(lines, width)
+                ids = [digest(line) if line else None for line in lines]
+                grams, sizes = gram_hashes(lines, width)
                 keys = band_keys(super_minhash(grams, sizes, BANDS * ROWS), BANDS, ROWS)
                 owners = pa.array(begin + np.repeat(np.arange(len(run)), counts))
                 numbers = np.concatenate([np.arange(count) for count in counts]).astype(np.int32)
@@ -99,10 +95,9 @@ def _candidate_sets(texts: DataFrame, wanted: Bloom, width: int) -> DataFrame:
             for _, run in chunks(batch.column(0).to_pylist()):
                 lines = {normalised(line) for text in run for line in text.decode().split("\n")}
                 lines = sorted(lines - {""})
-                ids = [hashlib.blake2b(line.encode(), digest_size=16).digest() for line in lines]
-                short = np.array([int.from_bytes(each[:8], "little", signed=True) for each in ids], dtype=np.int64)
-                kept = np.flatnonzero(files.value.holds(short))
-                grams, sizes = line_sets([lines[at] for at in kept], width)
+                ids = [digest(line) for line in lines]
+                kept = np.flatnonzero(files.value.holds(integers(pa.array(ids, pa.binary()))))
+                grams, sizes = gram_hashes([lines[at] for at in kept], width)
                 sets = [np.unique(part) for part in np.split(grams, np.cumsum(sizes)[:-1])] if len(kept) else []
                 offsets = np.concatenate(([0], np.cumsum([len(each) for each in sets]))).astype(np.int32)
                 values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
@@ -135,7 +130,6 @@ def near_lines(
     share an id and text count as repeats: all their first lines are kept. An
     empty table gives an empty result.
     """
-    spark = docs.sparkSession
     texts = id_and_text(docs, id_col, text_col)
     signed = written(_signed(texts, width), "lines")
     shared = (
@@ -147,18 +141,43 @@ def near_lines(
         .select("key")
     )
     shared = written(shared, "shared-keys")
-    entries = _entries(signed, bloom_of(spark, shared, "key"))
-    buckets = written(entries.distinct().join(shared, "key", "left_semi"), "line-buckets")
+    entries = _entries(signed, bloom_of(shared, "key")).distinct()
+    buckets = written(entries.join(shared, "key", "left_semi"), "line-buckets")
     wanted = buckets.select("doc_id").distinct()
-    short = F.conv(F.hex(F.reverse_bytes("doc_id")), 16, 10)
-    sets = _candidate_sets(texts, bloom_of(spark, wanted, short), width)
+    sets = _candidate_sets(texts, bloom_of(wanted, "doc_id"), width)
     sets = sets.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.any_value("shingles").alias("shingles"))
-    sets = written(sets, "line-sets")
-    sized = buckets.join(sets.select("doc_id", F.size("shingles").alias("n")), "doc_id")
-    links = link_buckets(sized, sets, percent)
-    found = written(components(links), "line-components")
-    placed = signed.select("doc_id", "line_no", "line_id").join(
-        found.withColumnRenamed("node", "line_id"), "line_id", "left"
-    )
+    links = link_buckets(buckets, written(sets, "line-sets"), percent)
+    found = written(components(links), "line-components").withColumnRenamed("node", "line_id")
+    placed = signed.select("doc_id", "line_no", "line_id").join(found, "line_id", "left")
     placed = placed.select("doc_id", "line_no", "line_id", F.coalesce("component", "line_id").alias("component_id"))
-    return placed
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")
+    firsts = (
+        placed.filter("component_id IS NOT NULL")
+        .groupBy("component_id")
+        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("lines"))
+        .filter("lines > 1")
+        .select("component_id", "first")
+    )
+    return placed.join(firsts, "component_id", "left").select(
+        "doc_id",
+        "line_no",
+        "line_id",
+        "component_id",
+        (F.col("first").isNull() | (F.col("first") == place)).alias("kept"),
+    )
+
+
+def keep_first_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """(doc_id, text) with the lines that stay, in their order; blank lines stay.
+
+    Document ids have to be unique.
+    """
+    gone = near_lines(docs, id_col, text_col, **options).filter("NOT kept")
+    gone = gone.groupBy("doc_id").agg(F.collect_list("line_no").alias("gone"))  # at most one document's lines
+    lines = F.split("text", r"\n")
+    left = F.filter(lines, lambda line, at: F.coalesce(~F.array_contains("gone", at), F.lit(True)))
+    return (
+        id_and_text(docs, id_col, text_col)
+        .join(gone, "doc_id", "left")
+        .select("doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text"))
+    )

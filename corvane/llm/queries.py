@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import byte_bpe, chat_format, exact_dedup, html_text, license_scan, near_dedup, quality, secret_scan
+from corvane.llm import (
+    byte_bpe,
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    html_text,
+    license_scan,
+    line_dedup,
+    near_dedup,
+    quality,
+    secret_scan,
+)
 from corvane.llm.tables import table
 from corvane.session import prepare
 
@@ -23,6 +34,11 @@ def rank_file(name: str = VOCABULARY) -> tuple[bytes, str]:
         return file.read(), public_tokenizers.PATTERN
 
 
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumns({name: F.round(name, 6) for name in ("cosine", "lcs_share", "answer_share")})
+
+
 def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"), width=4, percent=80)
 
@@ -57,6 +73,17 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.near_lines(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "line_no",
+        F.lower(F.hex("line_id")).alias("line_id"),
+        F.lower(F.hex("component_id")).alias("component_id"),
+        "kept",
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), *rank_file())
 
@@ -143,8 +170,8 @@ FROM turns GROUP BY conv_id
 """
 
 _QUERIES = [
-    op2_near_dedup, op3_secret_scan, op4_license_scan, op5_quality, op7_byte_bpe, op8_html_text, op9_exact_dedup,
-    op10_chat_format,
+    op1_decontaminate, op2_near_dedup, op3_secret_scan, op4_license_scan, op5_quality, op6_line_dedup, op7_byte_bpe,
+    op8_html_text, op9_exact_dedup, op10_chat_format,
 ]
 _SQL = {"op4_license_scan": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op10_chat_format": OP10_SQL}
 
