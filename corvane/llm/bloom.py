@@ -73,3 +73,28 @@ def bloom_of(keys: DataFrame, column: str, bits: int = BITS) -> Bloom:
     words = np.zeros(bits // 64, dtype=np.uint64)
     words[table["word"].to_numpy()] = table["mask"].to_numpy().view(np.uint64)
     return Bloom(words)
+
+
+def without(rows: DataFrame, id_col: str, gone: DataFrame, gone_col: str, bits: int = BITS) -> DataFrame:
+    """The rows whose id is not in ``gone``, all columns as they were; rows without an id stay.
+
+    Only rows that the filter of ``gone`` may hold are shuffled for the exact
+    anti join, the others pass where they are read.
+    """
+    gone = gone.select(named(gone_col).alias("corvane_dropped_id")).na.drop().distinct()
+    files = rows.sparkSession.sparkContext.broadcast(bloom_of(gone, "corvane_dropped_id", bits))
+    place = rows.columns.index(id_col)
+
+    def part(wanted: bool) -> DataFrame:
+        def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in source:
+                column = batch.column(place)
+                held = np.zeros(batch.num_rows, dtype=bool)
+                known = column.is_valid().to_numpy(zero_copy_only=False)
+                held[known] = files.value.holds(integers(column.drop_null()))
+                yield batch.filter(pa.array(held == wanted))
+
+        return rows.mapInArrow(batches, rows.schema)
+
+    unsure = part(True).join(gone, named(id_col) == F.col("corvane_dropped_id"), "left_anti")
+    return part(False).unionByName(unsure)

@@ -209,3 +209,26 @@ def round_trip(
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     return _mapped(rows, _shared(docs, rank_file, pattern), build, schema)
+
+
+def tokenised(
+    docs: DataFrame, rank_file: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """doc_id, ids, n_tokens and exact: whether decoding the ids gives the text's bytes again.
+
+    Nulls, empty texts and repeated rows as in :func:`encode`.
+    """
+    rows = id_and_text(docs, id_col, text_col)
+
+    def build(coder, batch):
+        texts = batch.column(1).to_pylist()
+        ids = [coder.encode(text) for text in texts]
+        return [
+            pa.array(ids, pa.list_(pa.int32())),
+            pa.array([len(each) for each in ids], pa.int64()),
+            pa.array([coder.decode_bytes(each) == text.encode() for each, text in zip(ids, texts, strict=True)]),
+        ]
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, ids array<int>, n_tokens bigint, exact boolean"
+    return _mapped(rows, _shared(docs, rank_file, pattern), build, schema)

@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm.bloom import without
 from corvane.llm.shingles import chunks, word_hashes
-from corvane.llm.tables import id_and_text, named, ship
+from corvane.llm.tables import id_and_text, named, ship, written
 
 BLOCK = 24  # words; a passage is two neighbouring blocks
 RANK = 96
@@ -362,5 +363,4 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **
 
     Rows that share the id of a row with an item go too; rows without id stay.
     """
-    held = matches(docs, benchmark, id_col, **options).select(F.col("doc_id").alias("corvane_dropped_id")).distinct()
-    return docs.join(held, named(id_col) == F.col("corvane_dropped_id"), "left_anti")
+    return without(docs, id_col, written(matches(docs, benchmark, id_col, **options).select("doc_id"), "held"), "doc_id")

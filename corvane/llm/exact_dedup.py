@@ -76,14 +76,24 @@ def memberships(
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, one per distinct text, all columns as they were.
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    normalise: Callable[[Column], Column] = lambda text: text,
+    digest: Callable[[Column], Column] = sha256_hex,
+    salts: int = SALTS,
+) -> DataFrame:
+    """One row of ``docs`` per distinct text, that of the largest id, all columns as they were.
 
-    Ids have to be unique for exactly one row per text to stay: rows repeated
-    with one id and text stay or go together.
+    Whole rows go through the stages of :func:`winners`. Null and empty texts
+    count as equal; rows that share text and id leave one row, the largest by
+    its other columns; a row without id stays only if no row with one is equal.
     """
-    gone = memberships(docs, id_col, text_col, **options).filter("not kept").select(F.col("doc_id").alias(_GONE))
-    return docs.join(gone, named(id_col).eqNullSafe(F.col(_GONE)), "left_anti")
-
-
-_GONE = "corvane_dropped_id"
+    body = F.coalesce(normalise(F.coalesce(named(text_col), F.lit(""))), F.lit(""))
+    whole = F.struct(*map(named, docs.columns))
+    rank = F.struct(named(id_col).alias("id"), whole.alias("row"))
+    keyed = docs.select(body.alias("body"), rank.alias("rank")).withColumn("digest", digest(F.col("body")))
+    salt = F.pmod(F.xxhash64("rank.id"), F.lit(salts)).alias("salt")
+    merged = keyed.groupBy("digest", "body", salt).agg(F.max("rank").alias("rank"))
+    return merged.groupBy("digest", "body").agg(F.max("rank").alias("rank")).select("rank.row.*")

@@ -23,10 +23,10 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.bloom import bloom_of, integers
+from corvane.llm.bloom import bloom_of, integers, without
 from corvane.llm.components import components
 from corvane.llm.shingles import chunks, mixed, shingle_sets
-from corvane.llm.tables import id_and_text, named, ship, written
+from corvane.llm.tables import id_and_text, ship, written
 
 BANDS, ROWS = 24, 4
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -319,7 +319,9 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, one per component, all columns as they were."""
-    gone = near_duplicates(docs, id_col, text_col, **options).filter("not kept")
-    gone = gone.select(F.col("doc_id").alias("corvane_dropped_id"))
-    return docs.join(gone, named(id_col) == F.col("corvane_dropped_id"), "left_anti")
+    """The rows of ``docs`` that stay, one per component, all columns as they were.
+
+    Rows without an id stay; rows that share an id stay or go together.
+    """
+    gone = written(near_duplicates(docs, id_col, text_col, **options).filter("NOT kept").select("doc_id"), "near")
+    return without(docs, id_col, gone, "doc_id")
