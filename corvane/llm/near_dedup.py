@@ -29,6 +29,8 @@ from corvane.llm.shingles import chunks, mixed, shingle_sets
 from corvane.llm.tables import id_and_text, ship, written
 
 BANDS, ROWS = 24, 4
+LARGE, COMMON_SHARE = 16, 20  # members of a large group; a shingle is common when one in so many holds it
+EXTRA_PIVOTS = 1  # further rounds that join groups early; the result does not depend on them
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -164,40 +166,76 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.filter(f"100 * both >= {percent} * (all - both)").select("a", "b")
 
 
-def pivots_of(buckets: DataFrame) -> DataFrame:
-    """(pivot, doc_id) of every member of a bucket (key, doc_id) and the bucket's pivot.
+def weighed(buckets: DataFrame) -> DataFrame:
+    """The buckets (key, doc_id) with a member's weight: the sizes of its buckets together.
 
-    The pivot is the member whose buckets are largest together: in a group of
-    edited copies that is a text close to what they were made from.
+    In a group of edited copies the heaviest is close to what they were made from.
     """
     sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     weights = buckets.join(sizes, "key").groupBy("doc_id").agg(F.sum("members").alias("weight"))
-    weighed = buckets.join(weights, "doc_id")
+    return buckets.join(weights, "doc_id")
+
+
+def pivots_of(weighed: DataFrame) -> DataFrame:
+    """(pivot, doc_id) of every member of a bucket and the bucket's heaviest member."""
     chosen = weighed.groupBy("key").agg(F.max(F.struct("weight", "doc_id")).alias("top"))
-    met = buckets.join(chosen.select("key", F.col("top.doc_id").alias("pivot")), "key")
+    met = weighed.join(chosen.select("key", F.col("top.doc_id").alias("pivot")), "key")
     return met.filter("doc_id <> pivot").select("pivot", "doc_id").distinct()
 
 
+def more_pivots(weighed: DataFrame, groups: DataFrame) -> DataFrame:
+    """(pivot, doc_id) for the heaviest member outside the group of a bucket's pivot, and
+    the members outside its own group."""
+    own = groups.select(F.col("node").alias("doc_id"), "component")
+    tagged = weighed.join(own, "doc_id", "left").withColumn("own", F.coalesce("component", "doc_id"))
+    tops = tagged.groupBy("key").agg(F.max(F.struct("weight", "doc_id", "own")).alias("top"))
+    outside = tagged.join(tops, "key").filter("own <> top.own")
+    second = outside.groupBy("key").agg(F.max(F.struct("weight", "doc_id", "own")).alias("second"))
+    met = tagged.join(second, "key").filter("own <> second.own")
+    return met.select(F.col("second.doc_id").alias("pivot"), "doc_id").distinct()
+
+
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(pivot, doc_id) with n and m, the sizes of the member's and the pivot's set, i of
-    their intersection, and ``rare``: the member's prefix of shingles that the pivot lacks.
-
-    Two sets of an intersection of at least ``percent`` percent of the union
-    share one of the first n - ceil(n * percent / 100) + 1 shingles in any order
-    common to both. Here what the pivot lacks comes first.
+    their intersection, and ``rare``: the member's shingles that the pivot lacks, sorted.
     """
     member = sets.select("doc_id", F.col("shingles").alias("own"))
     pivot = sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("other"))
     joined = pairs.join(member, "doc_id").join(pivot, "pivot")
-    n = F.size("own")
-    prefix = (n - F.ceil(n * percent / 100) + 1).cast("int")
     return joined.select(
         "pivot",
         "doc_id",
-        n.alias("n"),
+        F.size("own").alias("n"),
         F.size("other").alias("m"),
         F.size(F.array_intersect("own", "other")).alias("i"),
-        F.slice(F.array_sort(F.array_except("own", "other")), F.lit(1), prefix).alias("rare"),
+        F.array_sort(F.array_except("own", "other")).alias("rare"),
+    )
+
+
+def _widened(tagged: DataFrame) -> DataFrame:
+    """The members with i and ``rare`` against their pivot and what many members hold beside it.
+
+    What :func:`open_pairs` concludes holds for any set of shingles in the
+    pivot's place. In a large group of edited copies the pivot lacks some of
+    what they were made from, which all others share; with those shingles added, what
+    is left over are the members' own edits.
+    """
+    large = tagged.groupBy("pivot").agg(F.count(F.lit(1)).alias("members")).filter(f"members >= {LARGE}")
+    held = tagged.join(large, "pivot").select("pivot", "members", F.explode("rare").alias("shingle"))
+    hot = (
+        held.groupBy("pivot", "shingle")
+        .agg(F.count(F.lit(1)).alias("holders"), F.max("members").alias("members"))
+        .filter(f"{COMMON_SHARE} * holders >= members")
+        .groupBy("pivot")
+        .agg(F.collect_list("shingle").alias("hot"))  # at most COMMON_SHARE times a member's mean list
+    )
+    left = F.array_except("rare", F.coalesce("hot", F.array().cast("array<bigint>")))
+    return (
+        tagged.join(hot, "pivot", "left")
+        .withColumn("left_over", left)
+        .withColumn("i", F.expr("i + size(rare) - size(left_over)"))
+        .drop("rare", "hot")
+        .withColumnRenamed("left_over", "rare")
     )
 
 
@@ -205,13 +243,15 @@ def open_pairs(stats: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of members of one pivot that may be linked, lie in different groups and
     have not been compared.
 
-    Let x and y be linked members of pivot p. Under an order that puts the
-    shingles p lacks first, their prefixes share a shingle. If that is one that
-    p lacks, both ``rare`` lists hold it. If not, the prefixes reach into p,
-    so they hold all that p lacks, of which x and y share nothing: then
-    x and y have at most min(i_x, i_y) shingles in common, which has to be
-    ``percent`` percent of n_x + n_y less that number. At least one of two
-    members in different groups is outside the pivot's group; only such
+    Linked members x and y of pivot p have at least need = percent / (100 +
+    percent) * (n_x + n_y) shingles in common: at most min(i_x, i_y) that p
+    holds, and at most the smaller number of those p lacks. If they share any
+    that p lacks, they share at least need - min(i_x, i_y) of them, and also
+    one of the first ones: under any order, lists of o shingles that share s
+    share one of their first o - s + 1, and no list of linked sets has to be
+    read further than the prefix of n - ceil(n * percent / 100) + 1. If they
+    share none, min(i_x, i_y) alone reaches the need. At least one of two
+    members in different groups is outside the pivot's group, and only such
     members are looked up.
     """
     group = groups.select(F.col("node").alias("doc_id"), "component")
@@ -219,33 +259,53 @@ def open_pairs(stats: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     tagged = (
         stats.join(group, "doc_id", "left")
         .join(of_pivot, "pivot", "left")
-        .select(
-            "pivot", "doc_id", "n", "i", "rare",
-            F.coalesce("component", "doc_id").alias("own"),
-            F.coalesce("pivot_group", "pivot").alias("pivot_own"),
-        )
-    )
-    tagged = written(tagged.withColumn("apart", F.col("own") != F.col("pivot_own")).drop("pivot_own"), "compared")
-    fits = (
-        f"own <> y_own AND doc_id <> y AND 100 * least(n, y_n) >= {percent} * greatest(n, y_n)"
+        .withColumn("own", F.coalesce("component", "doc_id"))
+        .withColumn("apart", F.col("own") != F.coalesce("pivot_group", "pivot"))
+        .select("pivot", "doc_id", "n", "i", "rare", "own", "apart")
     )
-    listed = tagged.select("pivot", "doc_id", "n", "own", "apart", F.explode("rare").alias("shingle"))
-    held = listed.select(
-        "pivot", "shingle", F.col("doc_id").alias("y"), F.col("n").alias("y_n"), F.col("own").alias("y_own")
+    tagged = written(_widened(written(tagged, "compared")), "widened")
+    # Members apart are told by how much of them the pivot holds, in steps of two percent: the
+    # less, the more a partner has to share with them elsewhere, and the fewer can.
+    tagged = tagged.withColumn("step", F.expr("cast(50 * i / n as int)"))
+    steps = tagged.filter("apart").groupBy("pivot", "step").agg(F.max("i").alias("most_i"), F.min("n").alias("step_n"))
+    least = tagged.groupBy("pivot").agg(F.min("n").alias("least_n"))
+    floor = f"ceil(n * {percent} / 100)"
+
+    def listed(rows: DataFrame, partner_n: str, common: str) -> DataFrame:
+        shared = f"greatest(1, ceil({percent} * (n + greatest({partner_n}, {floor})) / {100 + percent}) - {common})"
+        length = f"cast(least(size(rare) - {shared} + 1, n - {floor} + 1) as int)"
+        cut = rows.withColumn("length", F.expr(length)).filter("length > 0")
+        return cut.withColumn("shingle", F.explode(F.expr("slice(rare, 1, length)"))).drop("rare", "length")
+
+    seeking = listed(tagged.filter("apart").join(least, "pivot"), "least_n", "i")
+    others = tagged.drop("step", "apart").join(steps, "pivot")
+    held = listed(others, "step_n", "least(i, most_i)").select(
+        "pivot", "step", "shingle", F.col("doc_id").alias("y"), F.col("n").alias("y_n"), F.col("i").alias("y_i"),
+        F.col("own").alias("y_own"),
+    )
+    fits = f"own <> y_own AND doc_id <> y AND 100 * least(n, y_n) >= {percent} * greatest(n, y_n)"
+    reaches = f"{100 + percent} * (least(i, y_i) + least(n - i, y_n - y_i)) >= {percent} * (n + y_n)"
+    by_shingle = (
+        seeking.join(held, ["pivot", "step", "shingle"])
+        .filter(f"{fits} AND {reaches}")
+        .select("doc_id", "y")
+        .distinct()
     )
-    by_shingle = listed.filter("apart").join(held, ["pivot", "shingle"]).filter(fits).select("doc_id", "y").distinct()
-    inside = tagged.filter(f"100 * i >= {percent} * n")
+    inside = tagged.filter(f"100 * i >= {percent} * n").drop("rare")
     kinds = inside.groupBy("pivot", "n", "i").agg(F.max("apart").alias("some_apart"))
     other = kinds.select("pivot", F.col("n").alias("y_n"), F.col("i").alias("y_i"))
-    fitting = kinds.filter("some_apart").join(other, "pivot").filter(
-        f"100 * least(i, y_i) >= {percent} * (n + y_n - least(i, y_i))"
+    fitting = (
+        kinds.filter("some_apart")
+        .join(other, "pivot")
+        .filter(f"100 * least(i, y_i) >= {percent} * (n + y_n - least(i, y_i))")
+        .select("pivot", "n", "i", "y_n", "y_i")
     )
     members = inside.select(
         "pivot", F.col("n").alias("y_n"), F.col("i").alias("y_i"), F.col("doc_id").alias("y"), F.col("own").alias("y_own")
     )
     by_size = (
         inside.filter("apart")
-        .join(fitting.select("pivot", "n", "i", "y_n", "y_i"), ["pivot", "n", "i"])
+        .join(fitting, ["pivot", "n", "i"])
         .join(members, ["pivot", "y_n", "y_i"])
         .filter(fits)
         .select("doc_id", "y")
@@ -256,10 +316,16 @@ def open_pairs(stats: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 
 def link_buckets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links (a, b), enough to join all that are linked within a bucket (key, doc_id)."""
-    stats = written(compared(written(pivots_of(buckets), "pivots"), sets, percent), "stats")
+    members = written(weighed(buckets), "weighed")
+    stats = written(compared(written(pivots_of(members), "pivots"), sets, percent), "stats")
     links = stats.filter(f"100 * i >= {percent} * (n + m - i)").select(
         F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
     )
+    for _ in range(EXTRA_PIVOTS):
+        more = more_pivots(members, components(links)).select(
+            F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
+        )
+        links = links.unionByName(written(confirmed(written(more.distinct(), "more"), sets, percent), "confirmed"))
     pairs = written(open_pairs(stats, written(components(links), "groups"), percent), "pairs")
     return links.unionByName(confirmed(pairs, sets, percent))
 
