@@ -25,6 +25,7 @@ from corvane.llm.shingles import chunks, gram_hashes
 from corvane.llm.tables import id_and_text, ship, written
 
 CHARACTERS = 8
+RUN = 1 << 16  # bytes of text signed at a time; arrays of this size stay in the processor's cache
 BANDS, ROWS = 10, 4
 
 
@@ -44,7 +45,7 @@ def _signed(texts: DataFrame, width: int) -> DataFrame:
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for begin, run in chunks(batch.column(1).to_pylist()):
+            for begin, run in chunks(batch.column(1).to_pylist(), RUN):
                 split = [text.decode().split("\n") for text in run]
                 counts = np.array([len(lines) for lines in split])
                 lines = [normalised(line) for document in split for line in document]
@@ -86,30 +87,52 @@ def _entries(signed: DataFrame, filter_: Bloom) -> DataFrame:
     )
 
 
-def _candidate_sets(texts: DataFrame, wanted: Bloom, width: int) -> DataFrame:
-    """(doc_id: the line id, shingles) of lines that the filter may hold, equal lines of one run once."""
-    files = texts.sparkSession.sparkContext.broadcast(wanted)
+def _candidate_lines(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id: the line id, content: the normalised line) of the lines whose ids are in ``wanted``."""
+    files = texts.sparkSession.sparkContext.broadcast(bloom_of(wanted, "doc_id"))
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for _, run in chunks(batch.column(0).to_pylist()):
                 lines = {normalised(line) for text in run for line in text.decode().split("\n")}
                 lines = sorted(lines - {""})
-                ids = [digest(line) for line in lines]
-                kept = np.flatnonzero(files.value.holds(integers(pa.array(ids, pa.binary()))))
-                grams, sizes = gram_hashes([lines[at] for at in kept], width)
-                sets = [np.unique(part) for part in np.split(grams, np.cumsum(sizes)[:-1])] if len(kept) else []
-                offsets = np.concatenate(([0], np.cumsum([len(each) for each in sets]))).astype(np.int32)
-                values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+                ids = pa.array([digest(line) for line in lines], pa.binary())
+                kept = pa.array(files.value.holds(integers(ids)), pa.bool_())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([ids[at] for at in kept], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-                    ],
-                    names=["doc_id", "shingles"],
+                    [ids.filter(kept), pa.array(lines, pa.string()).filter(kept)], names=["doc_id", "content"]
                 )
 
-    return texts.select("text").mapInArrow(batches, "doc_id binary, shingles array<bigint>")
+    found = texts.select("text").mapInArrow(batches, "doc_id binary, content string")
+    found = found.join(wanted, "doc_id", "left_semi")
+    return found.groupBy("doc_id").agg(F.any_value("content").alias("content"))
+
+
+def _measured_lines(width: int):
+    """Compares the shingle sets of two lines, as ``near_dedup.measured_sets`` does for sets."""
+
+    def measure(pairs: DataFrame) -> DataFrame:
+        kept = [name for name in pairs.columns if name not in ("own", "other")]
+
+        def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in source:
+                for begin in range(0, batch.num_rows, 256):
+                    part = batch.slice(begin, 256)
+                    sizes, rare = [], []
+                    for lines in zip(part.column("own").to_pylist(), part.column("other").to_pylist(), strict=True):
+                        own, other = (np.unique(gram_hashes([line], width)[0]).view(np.int64) for line in lines)
+                        only = np.setdiff1d(own, other)
+                        sizes.append((len(own), len(other), len(own) - len(only)))
+                        rare.append(only)
+                    columns = [pa.array(column, pa.int32()) for column in zip(*sizes, strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(name) for name in kept), *columns, pa.array(rare, pa.list_(pa.int64()))],
+                        names=[*kept, "n", "m", "i", "rare"],
+                    )
+
+        passed = ", ".join(f"{name} {pairs.schema[name].dataType.simpleString()}" for name in kept)
+        return pairs.mapInArrow(batches, f"{passed}, n int, m int, i int, rare array<bigint>")
+
+    return measure
 
 
 def near_lines(
@@ -144,9 +167,8 @@ def near_lines(
     entries = _entries(signed, bloom_of(shared, "key")).distinct()
     buckets = written(entries.join(shared, "key", "left_semi"), "line-buckets")
     wanted = buckets.select("doc_id").distinct()
-    sets = _candidate_sets(texts, bloom_of(wanted, "doc_id"), width)
-    sets = sets.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.any_value("shingles").alias("shingles"))
-    links = link_buckets(buckets, written(sets, "line-sets"), percent)
+    lines = written(_candidate_lines(texts, wanted), "candidate-lines")
+    links = link_buckets(buckets, lines, percent, _measured_lines(width))
     found = written(components(links), "line-components").withColumnRenamed("node", "line_id")
     placed = signed.select("doc_id", "line_no", "line_id").join(found, "line_id", "left")
     placed = placed.select("doc_id", "line_no", "line_id", F.coalesce("component", "line_id").alias("component_id"))

@@ -15,7 +15,7 @@ compared (:func:`open_pairs`). Every link is confirmed on the full sets.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,7 @@ from corvane.llm.tables import id_and_text, ship, written
 BANDS, ROWS = 24, 4
 LARGE, COMMON_SHARE = 16, 20  # members of a large group; a shingle is common when one in so many holds it
 EXTRA_PIVOTS = 1  # further rounds that join groups early; the result does not depend on them
+Measure = Callable[[DataFrame], DataFrame]
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -156,14 +157,25 @@ def full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return found.join(wanted, "doc_id", "left_semi")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def measured_sets(pairs: DataFrame) -> DataFrame:
+    """Replaces the sets ``own`` and ``other`` of pairs by n and m, their sizes, i, that of
+    their intersection, and ``rare``: what is only in ``own``, sorted."""
+    kept = [name for name in pairs.columns if name not in ("own", "other")]
+    return pairs.select(
+        *kept,
+        F.size("own").alias("n"),
+        F.size("other").alias("m"),
+        F.size(F.array_intersect("own", "other")).alias("i"),
+        F.array_sort(F.array_except("own", "other")).alias("rare"),
+    )
+
+
+def confirmed(pairs: DataFrame, content: DataFrame, percent: int, measure: Measure = measured_sets) -> DataFrame:
     """The pairs (a, b) whose full sets have an intersection of ``percent`` percent of the union."""
-    first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left_set"))
-    second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right_set"))
-    joined = pairs.join(first, "a").join(second, "b")
-    both = F.size(F.array_intersect("left_set", "right_set"))
-    sized = joined.select("a", "b", both.alias("both"), (F.size("left_set") + F.size("right_set")).alias("all"))
-    return sized.filter(f"100 * both >= {percent} * (all - both)").select("a", "b")
+    first = content.select(F.col("doc_id").alias("a"), F.col("content").alias("own"))
+    second = content.select(F.col("doc_id").alias("b"), F.col("content").alias("other"))
+    sized = measure(pairs.join(first, "a").join(second, "b").select("a", "b", "own", "other"))
+    return sized.filter(f"100 * i >= {percent} * (n + m - i)").select("a", "b")
 
 
 def weighed(buckets: DataFrame) -> DataFrame:
@@ -195,21 +207,13 @@ def more_pivots(weighed: DataFrame, groups: DataFrame) -> DataFrame:
     return met.select(F.col("second.doc_id").alias("pivot"), "doc_id").distinct()
 
 
-def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def compared(pairs: DataFrame, content: DataFrame, measure: Measure = measured_sets) -> DataFrame:
     """(pivot, doc_id) with n and m, the sizes of the member's and the pivot's set, i of
     their intersection, and ``rare``: the member's shingles that the pivot lacks, sorted.
     """
-    member = sets.select("doc_id", F.col("shingles").alias("own"))
-    pivot = sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("other"))
-    joined = pairs.join(member, "doc_id").join(pivot, "pivot")
-    return joined.select(
-        "pivot",
-        "doc_id",
-        F.size("own").alias("n"),
-        F.size("other").alias("m"),
-        F.size(F.array_intersect("own", "other")).alias("i"),
-        F.array_sort(F.array_except("own", "other")).alias("rare"),
-    )
+    member = content.select("doc_id", F.col("content").alias("own"))
+    pivot = content.select(F.col("doc_id").alias("pivot"), F.col("content").alias("other"))
+    return measure(pairs.join(member, "doc_id").join(pivot, "pivot").select("pivot", "doc_id", "own", "other"))
 
 
 def _widened(tagged: DataFrame) -> DataFrame:
@@ -314,10 +318,15 @@ def open_pairs(stats: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("doc_id", "y").alias("a"), F.greatest("doc_id", "y").alias("b")).distinct()
 
 
-def link_buckets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links (a, b), enough to join all that are linked within a bucket (key, doc_id)."""
+def link_buckets(
+    buckets: DataFrame, content: DataFrame, percent: int, measure: Measure = measured_sets
+) -> DataFrame:
+    """Confirmed links (a, b), enough to join all that are linked within a bucket (key, doc_id).
+
+    ``content`` holds (doc_id, content); ``measure`` compares two contents.
+    """
     members = written(weighed(buckets), "weighed")
-    stats = written(compared(written(pivots_of(members), "pivots"), sets, percent), "stats")
+    stats = written(compared(written(pivots_of(members), "pivots"), content, measure), "stats")
     links = stats.filter(f"100 * i >= {percent} * (n + m - i)").select(
         F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
     )
@@ -325,9 +334,10 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         more = more_pivots(members, components(links)).select(
             F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
         )
-        links = links.unionByName(written(confirmed(written(more.distinct(), "more"), sets, percent), "confirmed"))
+        more = written(more.distinct(), "more")
+        links = links.unionByName(written(confirmed(more, content, percent, measure), "confirmed"))
     pairs = written(open_pairs(stats, written(components(links), "groups"), percent), "pairs")
-    return links.unionByName(confirmed(pairs, sets, percent))
+    return links.unionByName(confirmed(pairs, content, percent, measure))
 
 
 def link_classes(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -336,7 +346,7 @@ def link_classes(classes: DataFrame, texts: DataFrame, width: int, percent: int)
     shared = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("key")
     buckets = written(exploded.join(shared, "key", "left_semi"), "buckets")
     sets = written(full_sets(texts, buckets.select("doc_id").distinct(), width), "sets")
-    return link_buckets(buckets, sets, percent)
+    return link_buckets(buckets, sets.withColumnRenamed("shingles", "content"), percent)
 
 
 def near_duplicates(
