@@ -30,6 +30,7 @@ from corvane.llm.tables import id_and_text, ship, written
 
 BANDS, ROWS = 24, 4
 LARGE, COMMON_SHARE = 16, 20  # members of a large group; a shingle is common when one in so many holds it
+ASKED = 100  # members of a large group that are asked what is common in it
 EXTRA_PIVOTS = 1  # further rounds that join groups early; the result does not depend on them
 Measure = Callable[[DataFrame], DataFrame]
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -222,14 +223,17 @@ def _widened(tagged: DataFrame) -> DataFrame:
     What :func:`open_pairs` concludes holds for any set of shingles in the
     pivot's place. In a large group of edited copies the pivot lacks some of
     what they were made from, which all others share; with those shingles added, what
-    is left over are the members' own edits.
+    is left over are the members' own edits. About ``ASKED`` members per pivot
+    are enough to tell what is common; which set comes out only matters for speed.
     """
     large = tagged.groupBy("pivot").agg(F.count(F.lit(1)).alias("members")).filter(f"members >= {LARGE}")
-    held = tagged.join(large, "pivot").select("pivot", "members", F.explode("rare").alias("shingle"))
+    large = large.withColumn("every", F.expr(f"greatest(1, members div {ASKED})"))
+    asked = tagged.join(large, "pivot").filter("pmod(xxhash64(doc_id), every) = 0")
+    held = asked.select("pivot", "members", "every", F.explode("rare").alias("shingle"))
     hot = (
         held.groupBy("pivot", "shingle")
-        .agg(F.count(F.lit(1)).alias("holders"), F.max("members").alias("members"))
-        .filter(f"{COMMON_SHARE} * holders >= members")
+        .agg(F.count(F.lit(1)).alias("holders"), F.max("members").alias("members"), F.max("every").alias("every"))
+        .filter(f"{COMMON_SHARE} * holders * every >= members")
         .groupBy("pivot")
         .agg(F.collect_list("shingle").alias("hot"))  # at most COMMON_SHARE times a member's mean list
     )

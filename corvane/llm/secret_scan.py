@@ -28,7 +28,8 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
 CODES = 128
 TRAINING_DOCUMENTS = 4000
-THRESHOLD = 0.5
+DIGESTS = 4
+THRESHOLD = 1.5
 
 _MATCHES = "array<struct<start:bigint,stop:bigint,value:string>>"
 
@@ -83,8 +84,8 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(sample, random) from about ``documents`` rows, chosen by a hash of their ids.
 
     Ordinary identifiers are the words outside base matches. Random strings are
-    the values of base matches and, for every row, digests of its id written
-    as hexadecimal, base64 and upper-case digits.
+    the values of base matches and, for every row, ``DIGESTS`` digests of its
+    id, written as hexadecimal, as base64 and as its upper-case part.
     """
     texts = id_and_text(docs, id_col, text_col)
     every = max(1, texts.count() // documents)
@@ -94,10 +95,13 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     for pattern in (ASSIGN, ACCESS, HEX):
         rest = F.regexp_replace(rest, pattern, " ")
     ordinary = chosen.select(F.explode(F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0))).alias("sample"))
-    digest = F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 256)
-    shown = F.base64(F.unhex(digest))
+    digests = [
+        F.sha2(F.concat_ws(":", F.lit(at), F.col("doc_id").cast("string")), 256) for at in range(DIGESTS)
+    ]
+    shown = [F.base64(F.unhex(digest)) for digest in digests]
+    upper = F.regexp_replace(F.concat(*shown), "[a-z+/=]", "")
     values = F.concat(
-        F.array(digest, shown, F.regexp_replace(shown, "[a-z+/=]", "")),
+        F.array(digests[0], *shown, upper),
         F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
         F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
         F.regexp_extract_all("text", F.lit(HEX), F.lit(0)),
@@ -106,9 +110,11 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return ordinary.withColumn("random", F.lit(False)).unionByName(made.withColumn("random", F.lit(True)))
 
 
-def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
+def train(samples: DataFrame, smoothing: float = 2.0) -> list[float]:
     """Log-likelihood ratio of each transition, at index first * 128 + second.
 
+    A chain that has seen little of a character falls back on how often the
+    second one occurs at all, with the weight of ``smoothing`` transitions.
     Characters outside ASCII are left out; without samples every ratio is 0.
     """
     pairs = F.transform(
@@ -126,11 +132,17 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
         counts[row["random"]][row["pair"]] = row["count"]
     alphabet = sorted({character for pairs in counts.values() for pair in pairs for character in pair})
     ratios = [0.0] * (CODES * CODES)
+    share = {}
+    for kind, pairs in counts.items():
+        total = sum(pairs.values()) + 0.5 * len(alphabet)
+        held = {second: sum(pairs.get(first + second, 0) for first in alphabet) for second in alphabet}
+        share[kind] = {second: (held[second] + 0.5) / total for second in alphabet}
     for first in alphabet:
         totals = {kind: sum(counts[kind].get(first + second, 0) for second in alphabet) for kind in counts}
         for second in alphabet:
             likely = {
-                kind: (counts[kind].get(first + second, 0) + smoothing) / (totals[kind] + smoothing * len(alphabet))
+                kind: (counts[kind].get(first + second, 0) + smoothing * share[kind][second])
+                / (totals[kind] + smoothing)
                 for kind in counts
             }
             ratios[ord(first) * CODES + ord(second)] = round(math.log(likely[True] / likely[False]), 4)

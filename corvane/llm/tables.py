@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 import corvane
 from corvane.scratch import new_folder
 
+ROWS_AT_ONCE = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
@@ -50,8 +52,11 @@ def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application.
 
     Functions that run in tasks import it; a cluster need not have it installed.
-    The archive goes out through Spark's own file server.
+    The archive goes out through Spark's own file server. Rows hold whole texts,
+    so the session also passes fewer of them at once to a worker.
     """
+    if int(spark.conf.get(_BATCH)) > ROWS_AT_ONCE:
+        spark.conf.set(_BATCH, str(ROWS_AT_ONCE))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -44,7 +44,7 @@ def brute_force(pairs, width, percent):
         if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
     ]
     found = roots(ids, links)
-    return sorted((doc, len(sets[doc]), found[doc], doc == found[doc]) for doc in ids)
+    return sorted(((doc, len(sets[doc]), found[doc], doc == found[doc]) for doc in ids), key=repr)
 
 
 def copies(seed, families, members, words, rates):

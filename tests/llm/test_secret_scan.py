@@ -1,3 +1,4 @@
+import math
 import re
 
 import pytest
@@ -60,10 +61,10 @@ def test_ratios_against_counts_by_hand(spark):
     samples = spark.createDataFrame([("abab", False), ("abba", True), ("é", True)], "sample string, random boolean")
     ratios = secret_scan.train(samples, smoothing=1.0)
     at = lambda pair: ratios[ord(pair[0]) * secret_scan.CODES + ord(pair[1])]
-    import math
-
-    assert at("ab") == round(math.log((2 / 3) / (3 / 4)), 4)
-    assert at("bb") == round(math.log((2 / 4) / (1 / 3)), 4)
+    # Second characters: b, a, b when ordinary, b, b, a when random; half a count is added to each.
+    shares = {"a": 1.5 / 4, "b": 2.5 / 4}
+    assert at("ab") == round(math.log((1 + shares["b"]) / 2 / ((2 + shares["b"]) / 3)), 4)
+    assert at("bb") == round(math.log((1 + shares["b"]) / 3 / (shares["b"] / 2)), 4)
     assert at("zz") == 0
 
 
