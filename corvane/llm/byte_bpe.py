@@ -88,9 +88,9 @@ class Codec:
         character span the whole of it."""
         data = np.frombuffer(text.encode(), dtype=np.uint8)
         character = np.cumsum((data & 0xC0) != 0x80) - 1
-        ends = np.cumsum(self._lengths[np.asarray(ids, dtype=np.int64)])
-        starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
-        return character[starts], character[ends - 1] + 1
+        lengths = self._lengths[np.asarray(ids, dtype=np.int64)]
+        ends = np.cumsum(lengths)
+        return character[ends - lengths], character[ends - 1] + 1
 
 
 class _Memo(dict):
