@@ -252,15 +252,14 @@ def open_pairs(stats: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     have not been compared.
 
     Linked members x and y of pivot p have at least need = percent / (100 +
-    percent) * (n_x + n_y) shingles in common: at most min(i_x, i_y) that p
-    holds, and at most the smaller number of those p lacks. If they share any
-    that p lacks, they share at least need - min(i_x, i_y) of them, and also
-    one of the first ones: under any order, lists of o shingles that share s
-    share one of their first o - s + 1, and no list of linked sets has to be
-    read further than the prefix of n - ceil(n * percent / 100) + 1. If they
-    share none, min(i_x, i_y) alone reaches the need. At least one of two
-    members in different groups is outside the pivot's group, and only such
-    members are looked up.
+    percent) * (n_x + n_y) shingles in common, at most min(i_x, i_y) of them
+    such that p holds. If they share any that p lacks, they share at least s =
+    need - min(i_x, i_y) of these. Two lists of o and o' shingles under one
+    order that share s of them share one among the first o - s + 1 and o' - s + 1.
+    No list of linked sets has to be read further than the prefix of
+    n - ceil(n * percent / 100) + 1. If they share none that p lacks, min(i_x, i_y)
+    alone reaches the need. At least one of two members in different groups is
+    outside the pivot's group, and only such members are looked up.
     """
     group = groups.select(F.col("node").alias("doc_id"), "component")
     of_pivot = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_group"))
@@ -272,30 +271,24 @@ def open_pairs(stats: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
         .select("pivot", "doc_id", "n", "i", "rare", "own", "apart")
     )
     tagged = written(_widened(written(tagged, "compared")), "widened")
-    # Members apart are told by how much of them the pivot holds, in steps of two percent: the
-    # less, the more a partner has to share with them elsewhere, and the fewer can.
-    tagged = tagged.withColumn("step", F.expr("cast(50 * i / n as int)"))
-    steps = tagged.filter("apart").groupBy("pivot", "step").agg(F.max("i").alias("most_i"), F.min("n").alias("step_n"))
-    least = tagged.groupBy("pivot").agg(F.min("n").alias("least_n"))
-    floor = f"ceil(n * {percent} / 100)"
-
-    def listed(rows: DataFrame, partner_n: str, common: str) -> DataFrame:
-        shared = f"greatest(1, ceil({percent} * (n + greatest({partner_n}, {floor})) / {100 + percent}) - {common})"
-        length = f"cast(least(size(rare) - {shared} + 1, n - {floor} + 1) as int)"
-        cut = rows.withColumn("length", F.expr(length)).filter("length > 0")
-        return cut.withColumn("shingle", F.explode(F.expr("slice(rare, 1, length)"))).drop("rare", "length")
-
-    seeking = listed(tagged.filter("apart").join(least, "pivot"), "least_n", "i")
-    others = tagged.drop("step", "apart").join(steps, "pivot")
-    held = listed(others, "step_n", "least(i, most_i)").select(
-        "pivot", "step", "shingle", F.col("doc_id").alias("y"), F.col("n").alias("y_n"), F.col("i").alias("y_i"),
-        F.col("own").alias("y_own"),
+    sizes = tagged.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.max("apart").alias("some_apart"))
+    several = sizes.filter("members > 1 AND some_apart").select("pivot")
+    prefix = f"cast(n - ceil(n * {percent} / 100) + 1 as int)"
+    listed = tagged.join(several, "pivot").select(
+        "pivot", "doc_id", "n", "i", "own", "apart",
+        F.posexplode(F.expr(f"slice(rare, 1, {prefix})")).alias("place", "shingle"),
+    )
+    held = listed.select(
+        "pivot", "shingle", F.col("doc_id").alias("y"), F.col("n").alias("y_n"), F.col("i").alias("y_i"),
+        F.col("own").alias("y_own"), F.col("place").alias("y_place"),
     )
     fits = f"own <> y_own AND doc_id <> y AND 100 * least(n, y_n) >= {percent} * greatest(n, y_n)"
-    reaches = f"{100 + percent} * (least(i, y_i) + least(n - i, y_n - y_i)) >= {percent} * (n + y_n)"
+    shared = f"greatest(1, ceil({percent} * (n + y_n) / {100 + percent}) - least(i, y_i))"
+    first = f"place + {shared} <= n - i AND y_place + {shared} <= y_n - y_i"
     by_shingle = (
-        seeking.join(held, ["pivot", "step", "shingle"])
-        .filter(f"{fits} AND {reaches}")
+        listed.filter("apart")
+        .join(held, ["pivot", "shingle"])
+        .filter(f"{fits} AND {first}")
         .select("doc_id", "y")
         .distinct()
     )
