@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from corvane.catalogue.registry import query
 from corvane.catalogue.views import Views
 from corvane.functions.labels import post_type_label
-from corvane.operators.aggregates import correlation
+from corvane.operators.aggregates import correlation, distinct_by
 
 
 @query(
@@ -22,9 +22,15 @@ def distinct_count(v: Views):
     return v.movies().agg(F.count_distinct("Director").alias("directors"))
 
 
-@query("agg_approx_distinct")
+@query("agg_approx_distinct", "SELECT TRUE AS within_bound, count(DISTINCT Title) AS exact FROM movies", "movies")
 def approximate_distinct_count(v: Views):
-    return v.movies().agg(F.approx_count_distinct("Title").alias("titles"))
+    """The sketch keeps within three times its relative deviation of the exact count."""
+    deviation = 0.05
+    counted = v.movies().agg(
+        F.approx_count_distinct("Title", deviation).alias("approximate"), F.count_distinct("Title").alias("exact")
+    )
+    error = F.abs(F.col("approximate") - F.col("exact"))
+    return counted.select((error <= 3 * deviation * F.col("exact")).alias("within_bound"), "exact")
 
 
 @query(
@@ -70,11 +76,9 @@ def deviation(v: Views):
     "movies",
 )
 def group_shorthand(v: Views):
-    counted = v.movies().groupBy("Major_Genre").count()
-    means = v.movies().groupBy("Major_Genre").avg("IMDB_Rating")
-    both = counted.join(means, counted["Major_Genre"].eqNullSafe(means["Major_Genre"]))
+    both = v.movies().groupBy("Major_Genre").agg({"*": "count", "IMDB_Rating": "avg"})
     return both.select(
-        counted["Major_Genre"], F.col("count").alias("n"), F.round("avg(IMDB_Rating)", 4).alias("mean")
+        "Major_Genre", F.col("count(1)").alias("n"), F.round("avg(IMDB_Rating)", 4).alias("mean")
     )
 
 
@@ -149,9 +153,15 @@ def distinct_rows(v: Views):
     return v.movies().select("Major_Genre", "Director").distinct()
 
 
-@query("set_drop_duplicates", "SELECT DISTINCT Director FROM movies", "movies")
+@query(
+    "set_drop_duplicates",
+    """SELECT Director, Title, US_Gross FROM (SELECT *, row_number() OVER
+         (PARTITION BY Director ORDER BY Title, US_Gross) AS place FROM movies) WHERE place = 1""",
+    "movies",
+)
 def one_row_per_key(v: Views):
-    return v.movies().dropDuplicates(["Director"]).select("Director")
+    movies = v.movies().select("Director", "Title", "US_Gross")
+    return distinct_by(movies, ["Director"], ["Title", "US_Gross"])
 
 
 @query(

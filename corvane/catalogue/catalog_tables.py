@@ -1,5 +1,7 @@
 """SQL text, views, databases and tables."""
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,26 +21,33 @@ def tables_database(v: Views) -> str:
     return DATABASE
 
 
+def unique(name: str) -> str:
+    """A name of this call's own: another call must not change what a result still has to read."""
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
 def _suppliers(v: Views) -> DataFrame:
     return v.table("supplier").select("s_suppkey", "s_name")
 
 
 @query("sql_view_select", "SELECT Name FROM cars WHERE Origin = 'USA'", "cars")
 def select_from_a_view(v: Views):
-    v.cars().createOrReplaceTempView("corvane_cars")
-    return v.spark.sql("SELECT Name FROM corvane_cars WHERE Origin = 'USA'")
+    view = unique("corvane_cars")
+    v.cars().createOrReplaceTempView(view)
+    return v.spark.sql(f"SELECT Name FROM {view} WHERE Origin = 'USA'")
 
 
 @query("cat_table", "SELECT s_suppkey, s_name FROM supplier")
 def read_a_named_table(v: Views):
-    _suppliers(v).createOrReplaceTempView("corvane_suppliers")
-    return v.spark.read.table("corvane_suppliers")
+    view = unique("corvane_suppliers")
+    _suppliers(v).createOrReplaceTempView(view)
+    return v.spark.read.table(view)
 
 
 @query("cat_save_table", "SELECT Title, Major_Genre, IMDB_Rating FROM movies", "movies")
 def save_a_managed_table(v: Views):
     movies = v.movies().select("Title", "Major_Genre", "IMDB_Rating")
-    return catalog.save_table(movies, f"{tables_database(v)}.movies")
+    return catalog.save_table(movies, f"{tables_database(v)}.{unique('movies')}")
 
 
 @query(
@@ -47,12 +56,13 @@ def save_a_managed_table(v: Views):
 )
 def use_a_database(v: Views):
     database, before = tables_database(v), v.spark.catalog.currentDatabase()
-    catalog.save_table(_suppliers(v), f"{database}.used_suppliers")
+    table = unique("used_suppliers")
+    catalog.save_table(_suppliers(v), f"{database}.{table}")
     v.spark.sql(f"USE {database}")
     try:
         current = v.spark.sql("SELECT current_database()").first()[0]
         listed = v.spark.sql(f"SHOW DATABASES LIKE '{database}'").count() == 1
-        rows = v.spark.table("used_suppliers")
+        rows = v.spark.table(table)
     finally:
         v.spark.sql(f"USE {before}")
     return rows.agg(F.count("*").alias("n")).select(
@@ -62,19 +72,18 @@ def use_a_database(v: Views):
 
 @query("cat_insert", "SELECT CAST(s_suppkey AS INTEGER) AS id, s_name AS name FROM supplier")
 def insert_into_a_table(v: Views):
-    table = f"{tables_database(v)}.persons"
-    v.spark.sql(f"DROP TABLE IF EXISTS {table}")
+    table = f"{tables_database(v)}.{unique('persons')}"
     v.spark.sql(f"CREATE TABLE {table} (id integer, name string) USING parquet")
-    _suppliers(v).createOrReplaceTempView("corvane_suppliers")
-    v.spark.sql(f"INSERT INTO {table} SELECT CAST(s_suppkey AS integer), s_name FROM corvane_suppliers")
+    view = unique("corvane_suppliers")
+    _suppliers(v).createOrReplaceTempView(view)
+    v.spark.sql(f"INSERT INTO {table} SELECT CAST(s_suppkey AS integer), s_name FROM {view}")
     return v.spark.sql(f"SELECT * FROM {table}")
 
 
 def _external(v: Views, name: str) -> str:
     """An external table over CSV files of the suppliers."""
-    table, path = f"{tables_database(v)}.{name}", new_folder(v.spark, name)
+    table, path = f"{tables_database(v)}.{unique(name)}", new_folder(v.spark, name)
     sinks.write_csv(_suppliers(v), path)
-    v.spark.sql(f"DROP TABLE IF EXISTS {table}")
     catalog.create_external_csv_table(v.spark, table, "s_suppkey bigint, s_name string", path)
     return table
 
@@ -84,7 +93,7 @@ def _external(v: Views, name: str) -> str:
     """SELECT 'MANAGED' AS kind, count(*) AS n FROM supplier UNION ALL SELECT 'EXTERNAL', count(*) FROM supplier""",
 )
 def describe_tables(v: Views):
-    managed = f"{tables_database(v)}.described"
+    managed = f"{tables_database(v)}.{unique('described')}"
     catalog.save_table(_suppliers(v), managed)
     counted = [
         v.spark.table(table).agg(F.lit(catalog.table_kind(v.spark, table)).alias("kind"), F.count("*").alias("n"))
@@ -96,8 +105,9 @@ def describe_tables(v: Views):
 @query("cat_external", "SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT s_suppkey, s_name FROM supplier")
 def insert_into_an_external_table(v: Views):
     table = _external(v, "external_suppliers")
-    _suppliers(v).createOrReplaceTempView("corvane_suppliers")
-    v.spark.sql(f"INSERT INTO {table} SELECT s_suppkey, s_name FROM corvane_suppliers")
+    view = unique("corvane_suppliers")
+    _suppliers(v).createOrReplaceTempView(view)
+    v.spark.sql(f"INSERT INTO {table} SELECT s_suppkey, s_name FROM {view}")
     return v.spark.table(table)
 
 
@@ -107,12 +117,12 @@ def insert_into_an_external_table(v: Views):
        UNION ALL SELECT s_name, 'supplier view' FROM supplier""",
 )
 def transfer_tables(v: Views):
-    stored = catalog.transfer_tables(v.spark, v.table, ["supplier", "nation"], database=tables_database(v))
-    viewed = catalog.transfer_tables(
-        v.spark, lambda name: v.table(name.removeprefix("corvane_")), ["corvane_supplier"]
-    )
+    suppliers, nations, view = unique("supplier"), unique("nation"), unique("supplier_view")
+    read = lambda name: v.table(name.split("_")[0])
+    stored = catalog.transfer_tables(v.spark, read, [suppliers, nations], database=tables_database(v))
+    viewed = catalog.transfer_tables(v.spark, read, [view])
     return (
-        stored["supplier"].select(F.col("s_name").alias("name"), F.lit("supplier").alias("source"))
-        .union(stored["nation"].select("n_name", F.lit("nation")))
-        .union(viewed["corvane_supplier"].select("s_name", F.lit("supplier view")))
+        stored[suppliers].select(F.col("s_name").alias("name"), F.lit("supplier").alias("source"))
+        .union(stored[nations].select("n_name", F.lit("nation")))
+        .union(viewed[view].select("s_name", F.lit("supplier view")))
     )

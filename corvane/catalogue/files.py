@@ -14,6 +14,7 @@ from corvane.scratch import new_folder
 from corvane.sinks import files as sinks
 from corvane.sources import files as sources
 
+# The layout of the cars source.
 CARS_SCHEMA = (
     "Name string, Miles_per_Gallon double, Cylinders bigint, Displacement double, Horsepower bigint, "
     "Weight_in_lbs bigint, Acceleration double, Year date, Origin string"
@@ -41,7 +42,8 @@ def json_inferred(v: Views):
 @query("src_json_schema", CARS_SQL, "cars")
 def json_with_captured_schema(v: Views):
     path = _json_cars(v, "src_json_schema")
-    return _plain_year(sources.infer_once(v.spark, path, sample=path))
+    one_part = v.spark.read.text(path).inputFiles()[:1]
+    return _plain_year(sources.infer_once(v.spark, path, sample=one_part))
 
 
 @query("sink_json", CARS_SQL, "cars")
@@ -168,7 +170,7 @@ def literal_rows(v: Views):
 @query("sink_parquet", "SELECT symbol, date, price FROM stocks", "stocks")
 def parquet_files(v: Views):
     path = new_folder(v.spark, "sink_parquet")
-    sinks.write_parquet(v.stocks(), path, files=4)
+    sinks.write_parquet(v.stocks(), path)
     return sources.read_files(v.spark, "parquet", path)
 
 
@@ -188,10 +190,17 @@ def tsv_files(v: Views):
 )
 def one_csv_file(v: Views):
     path = new_folder(v.spark, "sink_single_csv")
-    sinks.write_single_csv(visited_cities(v.locations()), path)
+    sinks.write_csv(visited_cities(v.locations()), path, files=1)
     return sources.read_csv(v.spark, path, "country string, city string, n_reg int")
 
 
+@query("sink_single_parquet", "SELECT cd, count(*) AS n FROM locations GROUP BY cd", "locations")
+def one_parquet_file(v: Views):
+    path = new_folder(v.spark, "sink_single_parquet")
+    sinks.write_parquet(v.locations().groupBy("cd").agg(F.count("*").alias("n")), path, files=1)
+    return sources.read_files(v.spark, "parquet", path)
+
+
 @query(
     "sink_modes",
     "SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT s_suppkey, s_name FROM supplier",

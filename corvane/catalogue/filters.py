@@ -14,7 +14,7 @@ from corvane.functions.labels import (
 )
 from corvane.functions.text import character_count, contains_any, hashtag_count, matches_any
 
-CAR_NAMES = ["Volkswagen", "Mercedes-Benz", "Ford"]
+CAR_NAMES = ["Toyota", "Vw", "Ford"]
 
 
 @query("filter_neq", "SELECT Name, Origin FROM cars WHERE Origin <> 'USA'", "cars")
@@ -85,7 +85,7 @@ def prefix_pattern(v: Views):
 @query(
     "filter_contains_any",
     """SELECT Name FROM cars
-       WHERE contains(Name, 'volkswagen') OR contains(Name, 'mercedes-benz') OR contains(Name, 'ford')""",
+       WHERE contains(Name, 'toyota') OR contains(Name, 'vw') OR contains(Name, 'ford')""",
     "cars",
 )
 def any_substring(v: Views):
@@ -94,7 +94,7 @@ def any_substring(v: Views):
 
 @query(
     "filter_regex_any",
-    "SELECT Name FROM cars WHERE regexp_matches(Name, 'volkswagen|mercedes-benz|ford')",
+    "SELECT Name FROM cars WHERE regexp_matches(Name, 'toyota|vw|ford')",
     "cars",
 )
 def any_pattern(v: Views):

@@ -28,12 +28,12 @@ def left_outer(v: Views):
 
 @query("join_right", _join_sql("RIGHT"), "players bands")
 def right_outer(v: Views):
-    return spread_join(_players(v), v.bands(), "band", "bandId", "right")
+    return spread_join(_players(v), v.bands(), "band", "bandId", "right", unique_right=True)
 
 
 @query("join_full", _join_sql("FULL"), "players bands")
 def full_outer(v: Views):
-    return spread_join(_players(v), v.bands(), "band", "bandId", "full")
+    return spread_join(_players(v), v.bands(), "band", "bandId", "full", unique_right=True)
 
 
 @query("join_semi", _join_sql("SEMI", "id, name, band"), "players bands")
@@ -100,7 +100,7 @@ def membership_full(v: Views):
     "players bands",
 )
 def pairs_of_structs(v: Views):
-    pairs = pair_join(_players(v), v.bands(), "band", "bandId", "full")
+    pairs = pair_join(_players(v), v.bands(), "band", "bandId", "full", unique_right=True)
     return pairs.select(
         "left.id",
         "right.bandId",
@@ -108,3 +108,13 @@ def pairs_of_structs(v: Views):
         F.col("left").isNull().alias("no_player"),
         F.col("right").isNull().alias("no_band"),
     )
+
+
+@query(
+    "join_with_inner",
+    "SELECT id, name, bandId, bandName FROM players JOIN bands ON band = bandId",
+    "players bands",
+)
+def matched_pairs_of_structs(v: Views):
+    pairs = pair_join(_players(v), v.bands(), "band", "bandId")
+    return pairs.select("left.id", "left.name", "right.bandId", "right.bandName")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.catalogue.catalog_tables import tables_database
+from corvane.catalogue.catalog_tables import tables_database, unique
 from corvane.catalogue.registry import query
 from corvane.catalogue.social import IMPACT_SQL, JOINED, PROFILE_IMPACT_SQL, WEEKDAY_SQL
 from corvane.catalogue.views import Views
@@ -84,7 +84,7 @@ def _csv(v: Views, df: DataFrame, name: str) -> str:
 
 
 def _load(v: Views, df: DataFrame, layout: str, name: str) -> DataFrame:
-    return loading.load_lines(v.spark, _csv(v, df, name), layout, f"{tables_database(v)}.{name}")
+    return loading.load_lines(v.spark, _csv(v, df, name), layout, f"{tables_database(v)}.{unique(name)}")
 
 
 # A null is written as an empty field, which loads as null unless the column is text.
@@ -145,5 +145,5 @@ def load_with_schema_file(v: Views):
         F.col("o_totalprice").cast("decimal(20,2)").alias("price"),
     )
     path = _csv(v, orders, "orders_csv")
-    table = loading.load_with_schema_file(v.spark, path, schema_path, f"{tables_database(v)}.loaded_orders")
+    table = loading.load_with_schema_file(v.spark, path, schema_path, f"{tables_database(v)}.{unique('loaded_orders')}")
     return table.withColumn("price", F.col("price").cast("double"))

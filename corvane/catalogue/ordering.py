@@ -37,3 +37,22 @@ def first_ten(v: Views):
 def sample(v: Views):
     columns = ["profile_id", "post_type", "description", "numbr_likes", "number_comments"]
     return sample_distinct(v.posts().select(*columns))
+
+
+@query(
+    "sample_distinct_cut",
+    """SELECT least(100, count(*)) AS rows, least(100, count(*)) AS distinct_rows, 0 AS foreign_rows
+       FROM (SELECT DISTINCT profile_id, post_type FROM posts)""",
+    "posts",
+)
+def sample_below_the_number_of_rows(v: Views):
+    """A sample smaller than its input: its size, that no row repeats, that every row is one of the input."""
+    posts = v.posts().select("profile_id", "post_type")
+    taken = sample_distinct(posts, 100)
+    known = posts.distinct().withColumn("known", F.lit(1))
+    checked = taken.join(known, ["profile_id", "post_type"], "left")
+    return checked.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("profile_id", "post_type").alias("distinct_rows"),
+        F.count_if(F.col("known").isNull()).cast("int").alias("foreign_rows"),
+    )

@@ -57,9 +57,9 @@ def rename_and_drop(v: Views):
     )
 
 
-@query("proj_literal", "SELECT Title, 47 AS plain_value FROM movies", "movies")
+@query("proj_literal", "SELECT Title, 1990 AS first_year FROM movies", "movies")
 def add_a_constant(v: Views):
-    return v.movies().select("Title", F.lit(47).alias("plain_value"))
+    return v.movies().select("Title", F.lit(1990).alias("first_year"))
 
 
 @query(

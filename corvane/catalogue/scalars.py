@@ -58,16 +58,16 @@ def letter_case(v: Views):
 
 @query(
     "fn_regexp",
-    """SELECT Name, regexp_extract(Name, 'volkswagen|vw', 0) AS maker,
-         regexp_replace(Name, 'volkswagen|vw', 'People''s Car', 'g') AS replaced FROM cars""",
+    """SELECT Name, regexp_extract(Name, 'toyota|ford', 0) AS maker,
+         regexp_replace(Name, 'toyota|ford', 'maker', 'g') AS replaced FROM cars""",
     "cars",
 )
 def patterns(v: Views):
-    maker = "volkswagen|vw"
+    maker = "toyota|ford"
     return v.cars().select(
         "Name",
         F.regexp_extract("Name", maker, 0).alias("maker"),
-        F.regexp_replace("Name", maker, "People's Car").alias("replaced"),
+        F.regexp_replace("Name", maker, "maker").alias("replaced"),
     )
 
 

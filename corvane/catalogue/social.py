@@ -33,77 +33,94 @@ def joined_table(v: Views):
 
 @query(
     "social_joined_inner",
-    f"""{_PLAIN_SQL} FROM (SELECT joined.* FROM joined
-          WHERE post_id IS NOT NULL AND (location_name IS NULL OR location_name IN
-            (SELECT min(name) FROM locations GROUP BY id)))""",
-    JOINED,
+    """SELECT CAST(a.profile_id AS BIGINT) AS profile_id, a.profile_name, a.firstname_lastname, a.description, a.following,
+         a.followers, a.url, a.cts AS timestamp_location, a.is_business_account, b.name AS location_name, b.street,
+         b.zip, b.city, b.region, b.cd AS country_code, b.phone, b.lat AS latitude, b.lng AS longitude, b.website,
+         c.post_id, strftime(c.cts, '%Y-%m-%d %H:%M:%S') AS timestamp_post, c.post_type,
+         c.description AS description_post, c.numbr_likes AS number_likes, c.number_comments
+       FROM profiles a
+       LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY id, name, street, zip, city, region,
+           cd, phone, lat, lng, website) AS place FROM locations) WHERE place = 1) b ON a.profile_id = b.id
+       JOIN posts c ON CAST(a.profile_id AS BIGINT) = c.profile_id""",
+    "profiles locations posts",
 )
 def joined_table_inner(v: Views):
-    return _plain(social.join_sources(v.profiles(), v.locations(), v.posts(), "inner", distinct_locations=True))
+    sources = v.profiles(), v.locations(), v.posts()
+    joined = social.join_sources(*sources, "inner", distinct_locations=True, with_names=True)
+    return joined.withColumn("timestamp_post", F.date_format("timestamp_post", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("social_total_rows", "SELECT count(*) AS n_reg FROM joined", JOINED)
 def total(v: Views):
-    return social.total_rows(v.joined())
+    return social.total_rows_from_sources(v.profiles(), v.locations(), v.posts())
+
+
+def _dated(v: Views) -> DataFrame:
+    return social.weighted_posts(v.profiles(), v.locations(), v.posts())
 
 
 @query(
     "social_posts_per_year",
-    f"SELECT {YEAR_SQL} AS year_post, count(*) AS n_posts FROM posts WHERE cts IS NOT NULL GROUP BY 1",
-    "posts",
+    """SELECT CAST(year(timestamp_post) AS INTEGER) AS year_post, count(*) AS n_posts FROM joined
+       WHERE timestamp_post IS NOT NULL GROUP BY 1""",
+    JOINED,
 )
 def per_year(v: Views):
-    return social.posts_per_year(v.dated_posts())
+    return social.posts_per_year(_dated(v))
 
 
 @query(
     "social_posts_per_year_text",
-    "SELECT strftime(cts, '%Y') AS f_post_ts, count(*) AS n_reg FROM posts WHERE cts IS NOT NULL GROUP BY 1",
-    "posts",
+    """SELECT strftime(timestamp_post, '%Y') AS f_post_ts, count(*) AS n_reg FROM joined
+       WHERE timestamp_post IS NOT NULL GROUP BY 1""",
+    JOINED,
 )
 def per_year_text(v: Views):
-    return social.posts_per_year_text(v.dated_posts())
+    return social.posts_per_year_text(_dated(v))
 
 
 @query(
     "social_peak_hours",
-    f"""SELECT {YEAR_SQL} AS year_post, CAST(hour(cts) AS INTEGER) AS hour_post, count(*) AS n_reg
-        FROM posts WHERE cts IS NOT NULL GROUP BY 1, 2""",
-    "posts",
+    """SELECT CAST(year(timestamp_post) AS INTEGER) AS year_post, CAST(hour(timestamp_post) AS INTEGER) AS hour_post,
+         count(*) AS n_reg FROM joined WHERE timestamp_post IS NOT NULL GROUP BY 1, 2""",
+    JOINED,
 )
 def hours(v: Views):
-    return social.peak_hours(v.dated_posts())
+    return social.peak_hours(_dated(v))
 
 
 @query(
     "social_peak_hours_month",
-    f"""SELECT {YEAR_SQL} AS year_post, CAST(month(cts) AS INTEGER) AS month_post,
-          CAST(hour(cts) AS INTEGER) AS hour_post, count(*) AS n_reg
-        FROM posts WHERE year(cts) = 1996 AND month(cts) = 12 GROUP BY 1, 2, 3""",
-    "posts",
+    """SELECT CAST(year(timestamp_post) AS INTEGER) AS year_post, CAST(month(timestamp_post) AS INTEGER) AS month_post,
+         CAST(hour(timestamp_post) AS INTEGER) AS hour_post, count(*) AS n_reg FROM joined
+       WHERE year(timestamp_post) = 1996 AND month(timestamp_post) = 12 GROUP BY 1, 2, 3""",
+    JOINED,
 )
 def hours_in_month(v: Views):
-    return social.peak_hours_in_month(v.dated_posts(), 1996, 12)
+    return social.peak_hours_in_month(_dated(v), 1996, 12)
 
 
 @query(
     "hashtag_top",
-    """SELECT hashtag, count(*) AS count FROM (SELECT unnest(string_split(description, ' ')) AS hashtag FROM posts)
+    """SELECT hashtag, count(*) AS count
+       FROM (SELECT unnest(string_split(description_post, ' ')) AS hashtag FROM joined)
        WHERE hashtag LIKE '#%' GROUP BY hashtag""",
-    "posts",
+    JOINED,
 )
 def hashtags(v: Views):
-    return social.top_hashtags(v.dated_posts())
+    weighted = social.weighted_words(v.profiles(), v.locations(), v.posts(), hashtags_only=True)
+    return social.top_pieces(weighted, "hashtag")
 
 
 @query(
     "word_top",
     """SELECT split_words, count(*) AS count
-       FROM (SELECT unnest(string_split(description, ' ')) AS split_words FROM posts) GROUP BY split_words""",
-    "posts",
+       FROM (SELECT unnest(string_split(description_post, ' ')) AS split_words FROM joined) GROUP BY split_words""",
+    JOINED,
 )
 def words(v: Views):
-    return social.top_words(v.dated_posts())
+    weighted = social.weighted_words(v.profiles(), v.locations(), v.posts(), hashtags_only=False)
+    return social.top_pieces(weighted, "split_words")
 
 
 @query(

@@ -6,6 +6,9 @@ from corvane.catalogue.registry import query
 from corvane.catalogue.views import Views
 from corvane.operators.aggregates import row_with_least, whole_mean
 from corvane.plans.movies import mean_rating_by_genre
+from corvane.scratch import new_folder
+from corvane.sinks import files as sinks
+from corvane.sources import files as sources
 
 
 @query("rdd_filter_count", "SELECT count(*) AS n FROM stocks WHERE symbol = 'CLICK'", "stocks")
@@ -74,4 +77,8 @@ def collection_functions(v: Views):
     "stocks",
 )
 def repartition_and_coalesce(v: Views):
-    return v.stocks().repartition(30).coalesce(15)
+    """Written in twice as many files as the session runs tasks at a time, read back in half of them."""
+    files = v.spark.sparkContext.defaultParallelism
+    path = new_folder(v.spark, "part_repartition")
+    sinks.write_parquet(v.stocks(), path, files=2 * files)
+    return sources.read_files(v.spark, "parquet", path).coalesce(files)

@@ -76,12 +76,6 @@ class Views:
     def joined(self) -> DataFrame:
         return join_sources(self.profiles(), self.locations(), self.posts())
 
-    def dated_posts(self) -> DataFrame:
-        """Posts under the column names of the joined table, for questions that need nothing else."""
-        return self.posts().withColumnsRenamed(
-            {"cts": "timestamp_post", "description": "description_post", "numbr_likes": "number_likes"}
-        )
-
     def trips(self) -> DataFrame:
         return self.table("lineitem").selectExpr(
             "cast(l_suppkey % 27 AS int) AS PULocationID",

@@ -54,5 +54,8 @@ def contains_any(text: Column, needles: Iterable[str]) -> Column:
 
 
 def matches_any(text: Column, names: Iterable[str]) -> Column:
-    """True where the text holds one of the names in lower case, read as patterns."""
-    return text.rlike("|".join(name.lower() for name in names))
+    """True where the text holds one of the names in lower case, read as patterns.
+
+    A match of no characters does not count, so no names match nothing.
+    """
+    return F.regexp_extract(text, "|".join(name.lower() for name in names), 0) != ""

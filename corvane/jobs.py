@@ -1,9 +1,9 @@
 """Jobs to run or submit, with paths as arguments.
 
     python -m corvane.jobs good-comedies movies.json out/
-    python -m corvane.jobs visited-cities locations.csv out/
+    python -m corvane.jobs visited-cities locations.csv out/ [--files 1]
     python -m corvane.jobs economic-impact trips/ zones.csv out/
-    python -m corvane.jobs sample-posts posts.csv out/
+    python -m corvane.jobs sample-posts posts.csv out/ [--rows 15000000]
     python -m corvane.jobs join-posts profiles.csv locations.csv posts.csv out/
     python -m corvane.jobs load "input/*.csv" schema.txt database.table
 """
@@ -15,7 +15,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from corvane.operators.loading import load_with_schema_file
-from corvane.operators.ordering import sample_distinct
+from corvane.operators.ordering import SAMPLE_ROWS, sample_distinct
 from corvane.plans import movies, social, trips
 from corvane.session import build_session
 from corvane.sinks import files as sinks
@@ -26,8 +26,8 @@ def good_comedies(spark: SparkSession, source: str, target: str) -> None:
     sinks.write_json(movies.good_movies(sources.read_json(spark, source)), target)
 
 
-def visited_cities(spark: SparkSession, source: str, target: str) -> None:
-    sinks.write_single_csv(social.visited_cities(sources.read_text_columns(spark, source)), target)
+def visited_cities(spark: SparkSession, source: str, target: str, files: int | None = None) -> None:
+    sinks.write_csv(social.visited_cities(sources.read_text_columns(spark, source)), target, mode="append", files=files)
 
 
 def economic_impact(spark: SparkSession, source: str, zones: str, target: str) -> None:
@@ -36,8 +36,8 @@ def economic_impact(spark: SparkSession, source: str, zones: str, target: str) -
     sinks.write_csv(total, target)
 
 
-def sample_posts(spark: SparkSession, source: str, target: str) -> None:
-    sinks.write_csv(sample_distinct(sources.read_text_columns(spark, source)), target, sep="\t")
+def sample_posts(spark: SparkSession, source: str, target: str, rows: int = SAMPLE_ROWS) -> None:
+    sinks.write_csv(sample_distinct(sources.read_text_columns(spark, source), rows), target, sep="\t")
 
 
 def join_posts(spark: SparkSession, profiles: str, locations: str, posts: str, target: str) -> None:
@@ -55,9 +55,9 @@ def load(spark: SparkSession, source: str, schema: str, table: str) -> None:
 
 JOBS = {
     "good-comedies": (good_comedies, ["source", "target"]),
-    "visited-cities": (visited_cities, ["source", "target"]),
+    "visited-cities": (visited_cities, ["source", "target", "--files"]),
     "economic-impact": (economic_impact, ["source", "zones", "target"]),
-    "sample-posts": (sample_posts, ["source", "target"]),
+    "sample-posts": (sample_posts, ["source", "target", "--rows"]),
     "join-posts": (join_posts, ["profiles", "locations", "posts", "target"]),
     "load": (load, ["source", "schema", "table"]),
 }
@@ -70,7 +70,8 @@ def main(arguments: list[str] | None = None) -> None:
     for name, (_, parameters) in JOBS.items():
         command = choices.add_parser(name)
         for parameter in parameters:
-            command.add_argument(parameter)
+            options = {"type": int, "default": argparse.SUPPRESS} if parameter.startswith("--") else {}
+            command.add_argument(parameter, **options)
     chosen = vars(parser.parse_args(arguments))
     job, _ = JOBS[chosen.pop("job")]
     size = chosen.pop("input_gb")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,21 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
 
 
 def save_table(df: DataFrame, table: str, mode: str = "overwrite") -> DataFrame:
-    """Write a managed table and return a scan of it."""
-    df.write.mode(mode).saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Write a managed table and return a scan of it.
+
+    An overwrite writes a new table first and then takes the old one's place,
+    so a load that fails leaves the old rows. A failure between the two last
+    steps leaves the new rows under the name ``<table>__new_…``.
+    """
+    spark = df.sparkSession
+    if mode != "overwrite" or not spark.catalog.tableExists(table):
+        df.write.mode(mode).saveAsTable(table)
+        return spark.table(table)
+    staged = f"{table}__new_{uuid.uuid4().hex[:12]}"
+    df.write.saveAsTable(staged)
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    return spark.table(table)
 
 
 def create_external_csv_table(spark: SparkSession, table: str, columns: str, path: str, header: bool = True) -> None:

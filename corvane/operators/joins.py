@@ -48,24 +48,31 @@ def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left.join(keys, F.col(left_key) == F.col("__key"), "left_anti")
 
 
-def spread_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
+def spread_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str, unique_right: bool = False
+) -> DataFrame:
     """Outer join (``left``, ``right`` or ``full``) that stays balanced whichever side has a hot key.
 
+    ``unique_right`` states that ``right`` has one row per key. Then only
+    ``left`` can have a hot key, a left outer join can be split there, and the
+    full join takes one anti join beside it.
+
     Adaptive execution may split only the preserved side of an outer join and
     neither side of a full one, so a hot key would end in one task. An inner
     join can be split on both sides; the rows without a match come from anti
     joins against the keys alone. The column names of the two sides must
     differ.
     """
-    parts = [left.join(right, F.col(left_key) == F.col(right_key), "inner")]
-    if how in ("left", "full"):
+    if how not in ("left", "right", "full"):
+        raise ValueError("how must be left, right or full")
+    outer = unique_right and how in ("left", "full")
+    parts = [left.join(right, F.col(left_key) == F.col(right_key), "left" if outer else "inner")]
+    if how in ("left", "full") and not outer:
         lone = without_match(left, right, left_key, right_key)
         parts.append(lone.select("*", *_nulls_for(right)))
     if how in ("right", "full"):
         lone = without_match(right, left, right_key, left_key)
         parts.append(lone.select(*_nulls_for(left), "*"))
-    if len(parts) == 1:
-        raise ValueError("how must be left, right or full")
     return reduce(DataFrame.union, parts)
 
 
@@ -109,7 +116,9 @@ def membership_full_join(
     )
 
 
-def pair_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
+def pair_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner", unique_right: bool = False
+) -> DataFrame:
     """Join on equal keys that keeps each side whole as a struct column.
 
     The structs are built before the join, so a side without a match is null
@@ -120,4 +129,4 @@ def pair_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     keys = f"left.{left_key}", f"right.{right_key}"
     if how == "inner":
         return lefts.join(rights, F.col(keys[0]) == F.col(keys[1]))
-    return spread_join(lefts, rights, *keys, how)
+    return spread_join(lefts, rights, *keys, how, unique_right)

@@ -33,7 +33,9 @@ def sample_distinct(df: DataFrame, n: int = SAMPLE_ROWS, bits: int = 16) -> Data
     the first ``bits`` bits of a hash put the distinct rows into buckets, which
     are even because no row repeats. The bucket sizes say which buckets are
     taken whole and which one only in part. All branches read the one shuffle
-    that makes the rows distinct.
+    that makes the rows distinct. The rows of the one bucket taken in part,
+    about one in ``2 ** bits``, are ordered in one task: raise ``bits`` beyond
+    some billions of rows.
     """
     if not 1 <= bits <= 20:
         raise ValueError("bits must be from 1 to 20")

@@ -18,6 +18,7 @@ from corvane.functions.text import character_count, has_hashtag, hashtag_count,
 from corvane.operators.aggregates import distinct_by
 from corvane.operators.joins import lookup, spread_join
 from corvane.operators.ordering import sorted_down
+from corvane.scratch import materialise
 
 # The columns of the joined table and their types.
 JOINED_TYPES = {
@@ -56,12 +57,16 @@ def join_sources(
     distinct_locations: bool = False,
     profile_location_key: str = "profile_id",
     location_key: str = "id",
+    with_names: bool = False,
 ) -> DataFrame:
     """Profiles with their locations and posts, one typed table.
 
     Profiles are made distinct by ``profile_id``. Posts are joined ``left``
     (profiles without posts stay) or ``inner``. The location key of a profile
     is a parameter; the published table compares it with ``profile_id``.
+    ``with_names`` keeps ``firstname_lastname`` and the types of the sources.
+
+    The located profiles are written once, because an outer join reads them twice.
     """
     if posts_how not in ("left", "inner"):
         raise ValueError("posts_how must be left or inner")
@@ -69,6 +74,7 @@ def join_sources(
         F.col("profile_id").try_cast("bigint").alias("profile_id"),
         F.col(profile_location_key).try_cast("bigint").alias("__place"),
         "profile_name",
+        *(["firstname_lastname"] if with_names else []),
         "description",
         "following",
         "followers",
@@ -100,11 +106,13 @@ def join_sources(
         F.col("numbr_likes").alias("number_likes"),
         "number_comments",
     )
-    located = spread_join(a, b, "__place", "__location", "left")
+    located = spread_join(a, b, "__place", "__location", "left", unique_right=distinct_locations)
     if posts_how == "inner":
         joined = located.join(c, located["profile_id"] == c["__owner"], "inner")
     else:
-        joined = spread_join(located, c, "profile_id", "__owner", "left")
+        joined = spread_join(materialise(located, "located"), c, "profile_id", "__owner", "left")
+    if with_names:
+        return joined.drop("__place", "__location", "__owner")
     return cast_columns(joined, JOINED_TYPES)
 
 
@@ -112,22 +120,84 @@ def total_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_reg"))
 
 
+def _ids(df: DataFrame, key: str, count: str) -> DataFrame:
+    """How many rows each whole-number key has."""
+    keyed = df.select(F.col(key).try_cast("bigint").alias("__id")).where("__id IS NOT NULL")
+    return keyed.groupBy("__id").agg(F.count("*").alias(count))
+
+
+def total_rows_from_sources(profiles: DataFrame, locations: DataFrame, posts: DataFrame) -> DataFrame:
+    """The rows of :func:`join_sources`, from counts per key: none of its rows is built.
+
+    A profile makes a row for each pair of its locations and posts, where one
+    without any counts as having one.
+    """
+    owners = profiles.select("profile_id").distinct().select(F.col("profile_id").try_cast("bigint").alias("id"))
+    counted = owners.groupBy("id").agg(F.count("*").alias("copies"))
+    counted = lookup(counted, _ids(locations, "id", "places"), "id", "__id")
+    counted = lookup(counted, _ids(posts, "profile_id", "written"), "id", "__id")
+    one = F.lit(1)
+    rows = F.col("copies") * F.coalesce("places", one) * F.coalesce("written", one)
+    return counted.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("n_reg"))
+
+
+def post_weights(profiles: DataFrame, locations: DataFrame) -> DataFrame:
+    """(owner, weight): in how many rows of the joined table each post of a profile stands."""
+    owners = profiles.select("profile_id").distinct().select(F.col("profile_id").try_cast("bigint").alias("owner"))
+    counted = owners.where("owner IS NOT NULL").groupBy("owner").agg(F.count("*").alias("copies"))
+    placed = lookup(counted, _ids(locations, "id", "places"), "owner", "__id")
+    return placed.select("owner", (F.col("copies") * F.coalesce("places", F.lit(1))).alias("weight"))
+
+
+def weighted_posts(profiles: DataFrame, locations: DataFrame, posts: DataFrame) -> DataFrame:
+    """(timestamp_post, weight) of the posts of known profiles; questions about time need no more."""
+    moments = posts.where(F.col("cts").isNotNull()).select(
+        F.col("profile_id").try_cast("bigint").alias("__owner"), F.col("cts").alias("timestamp_post")
+    )
+    owners = post_weights(profiles, locations)
+    return moments.join(owners, F.col("__owner") == F.col("owner")).select("timestamp_post", "weight")
+
+
+def weighted_words(profiles: DataFrame, locations: DataFrame, posts: DataFrame, hashtags_only: bool) -> DataFrame:
+    """(piece, weight) of the words of known profiles' posts.
+
+    Words are counted per profile before they meet its weight, so no text is
+    shuffled, and each word of a profile once.
+    """
+    text = F.col("description")
+    texts = posts.where(has_hashtag(text)) if hashtags_only else posts
+    pieces = texts.select(F.col("profile_id").try_cast("bigint").alias("__owner"), F.explode(words(text)).alias("piece"))
+    if hashtags_only:
+        pieces = pieces.where(F.col("piece").startswith("#"))
+    counted = pieces.groupBy("__owner", "piece").agg(F.count("*").alias("n"))
+    owners = post_weights(profiles, locations)
+    return counted.join(owners, F.col("__owner") == F.col("owner")).select(
+        "piece", (F.col("n") * F.col("weight")).alias("weight")
+    )
+
+
+def _rows(df: DataFrame) -> Column:
+    """The rows of the joined table: those of ``df``, or the sum of its weights."""
+    return F.sum("weight") if "weight" in df.columns else F.count("*")
+
+
 def posts_per_year(joined: DataFrame) -> DataFrame:
+    """Posts by year, over the joined table or :func:`weighted_posts`."""
     dated = joined.where(F.col("timestamp_post").isNotNull())
-    counted = dated.groupBy(F.year("timestamp_post").alias("year_post")).agg(F.count("*").alias("n_posts"))
+    counted = dated.groupBy(F.year("timestamp_post").alias("year_post")).agg(_rows(joined).alias("n_posts"))
     return sorted_down(counted, "year_post")
 
 
 def posts_per_year_text(joined: DataFrame) -> DataFrame:
     dated = joined.where(F.col("timestamp_post").isNotNull())
     year = F.date_format("timestamp_post", "yyyy").alias("f_post_ts")
-    return sorted_down(dated.groupBy(year).agg(F.count("*").alias("n_reg")), "f_post_ts")
+    return sorted_down(dated.groupBy(year).agg(_rows(joined).alias("n_reg")), "f_post_ts")
 
 
 def peak_hours(joined: DataFrame) -> DataFrame:
     dated = joined.where(F.col("timestamp_post").isNotNull())
     keys = [F.year("timestamp_post").alias("year_post"), F.hour("timestamp_post").alias("hour_post")]
-    return sorted_down(dated.groupBy(*keys).agg(F.count("*").alias("n_reg")), "n_reg")
+    return sorted_down(dated.groupBy(*keys).agg(_rows(joined).alias("n_reg")), "n_reg")
 
 
 def peak_hours_in_month(joined: DataFrame, year: int = 2015, month: int = 12) -> DataFrame:
@@ -145,7 +215,12 @@ def peak_hours_in_month(joined: DataFrame, year: int = 2015, month: int = 12) ->
         F.month(moment).alias("month_post"),
         F.hour(moment).alias("hour_post"),
     ]
-    return sorted_down(wanted.groupBy(*keys).agg(F.count("*").alias("n_reg")), "n_reg")
+    return sorted_down(wanted.groupBy(*keys).agg(_rows(joined).alias("n_reg")), "n_reg")
+
+
+def top_pieces(weighted: DataFrame, name: str) -> DataFrame:
+    """Uses per hashtag or word of :func:`weighted_words`."""
+    return sorted_down(weighted.groupBy(F.col("piece").alias(name)).agg(F.sum("weight").alias("count")), "count")
 
 
 def top_hashtags(posts: DataFrame, text: str = "description_post") -> DataFrame:

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from corvane.operators.joins import without_match
 from corvane.operators.ordering import top_rows
 
-BROADCAST_ROWS = 100_000
-
 
 def with_max_salary(employees: DataFrame, salaries: DataFrame) -> DataFrame:
     best = salaries.groupBy("emp_no").agg(F.max("salary").alias("maxSalary"))
@@ -23,12 +21,12 @@ def never_managers(employees: DataFrame, managers: DataFrame) -> DataFrame:
 def titles_of_best_paid(employees: DataFrame, salaries: DataFrame, titles: DataFrame, n: int = 10) -> DataFrame:
     """All titles ever held by the ``n`` best paid, each with its last date.
 
-    Only ``n`` keys remain before titles are read. A small ``n`` bounds their
-    broadcast, and titles then shrink in the scan stage.
+    Spark knows the limit and measures its result, so it settles by itself
+    whether the keys are broadcast.
     """
     best = top_rows(with_max_salary(employees, salaries), n, F.desc("maxSalary"), F.asc("emp_no"))
     keys = best.select("emp_no")
-    held = titles.join(F.broadcast(keys) if n <= BROADCAST_ROWS else keys, "emp_no", "left_semi")
+    held = titles.join(keys, "emp_no", "left_semi")
     latest = held.groupBy("emp_no", "title").agg(F.max("to_date").alias("last_date"))
     return best.join(latest, "emp_no")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -27,9 +29,28 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_RUN = uuid.uuid4().hex
+_runs: set[str] = set()
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_folder(spark).rstrip('/')}/corvane/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing else uses.
+
+    All folders of a run lie in one, which goes when the program ends.
+    """
+    run = f"{shared_folder(spark).rstrip('/')}/corvane/{_RUN}"
+    if run not in _runs:
+        _runs.add(run)
+        atexit.register(_remove, spark, run)
+    return f"{run}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, run: str) -> None:
+    """Delete the folder of this run; whatever keeps that from working, the program is over."""
+    with contextlib.suppress(Exception):
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(run)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:

@@ -2,16 +2,9 @@
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame
 
-from corvane.scratch import shared_folder
-
 SAVE_MODES = ("overwrite", "append", "ignore", "errorifexists")
-SINGLE_FILE_ROWS = 1_000_000
-
-log = logging.getLogger(__name__)
 
 
 def write_files(df: DataFrame, target: str, path: str, mode: str = "errorifexists", **options) -> None:
@@ -24,40 +17,23 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     write_files(df, "json", path, mode)
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    """Delimited text with a header in each file."""
-    write_files(df, "csv", path, mode, sep=sep, header=True)
+def _in_files(df: DataFrame, files: int | None) -> DataFrame:
+    """``df`` in the partitions that make ``files`` files; as it is when None.
 
+    One file keeps the order of the rows. Its last stage then runs in one task,
+    which is the caller's choice for a result known to be small; what comes
+    before a shuffle, a sort for instance, still runs in parallel.
+    """
+    if files is None:
+        return df
+    return df.coalesce(1) if files == 1 else df.repartition(files)
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
-    """Snappy Parquet; ``files`` spreads the rows over that many files by a shuffle."""
-    write_files(df if files is None else df.repartition(files), "parquet", path, mode)
 
+def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite", files: int | None = None) -> None:
+    """Delimited text with a header in each file, in ``files`` files or as many as there are partitions."""
+    write_files(_in_files(df, files), "csv", path, mode, sep=sep, header=True)
 
-def _single_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df``, computed once, in one partition if it has no more than ``max_rows`` rows.
 
-    The rows keep their order. They are computed in parallel into a checkpoint,
-    and only a result known to be small then passes through one task.
-    """
-    shared_folder(df.sparkSession)
-    stored = df.checkpoint()
-    rows = stored.count()
-    if rows <= max_rows:
-        return stored.coalesce(1)
-    log.warning("%d rows are more than %d: writing several files", rows, max_rows)
-    return stored
-
-
-def write_single_csv(
-    df: DataFrame, folder: str, sep: str = ",", mode: str = "append", max_rows: int = SINGLE_FILE_ROWS
-) -> None:
-    """A small result as one CSV file in ``folder``; a large one is written in parallel."""
-    write_csv(_single_if_small(df, max_rows), folder, sep, mode)
-
-
-def write_single_parquet(
-    df: DataFrame, folder: str, mode: str = "overwrite", max_rows: int = SINGLE_FILE_ROWS
-) -> None:
-    """A small result as one Parquet file in ``folder``; a large one is written in parallel."""
-    write_parquet(_single_if_small(df, max_rows), folder, mode)
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
+    """Snappy Parquet, in ``files`` files or as many as there are partitions."""
+    write_files(_in_files(df, files), "parquet", path, mode)

@@ -77,6 +77,8 @@ def test_any_of(apply):
     assert apply(lambda c: contains_any(c, ["ford", "volks"]), names) == [True, True, False, False, None]
     assert apply(lambda c: contains_any(c, []), names) == [False] * 5
     assert apply(lambda c: matches_any(c, ["Ford", "VolksWagen"]), names) == [True, True, False, False, None]
+    assert apply(lambda c: matches_any(c, []), names) == [False, False, False, False, None]
+    assert apply(lambda c: matches_any(c, ["x*"]), names) == [False, False, False, False, None]
 
 
 def test_dates_in_several_spellings(apply):
@@ -116,6 +118,7 @@ def test_cast_columns_gives_null_for_bad_text(spark):
 
 
 def test_joined_ids(apply):
+    # The first pair is the published example of the split.
     given = ["10000083720,7239,x", "9123456720,7239", "7123456720,7239", "10000083,720,7239", "1", "9", "", None]
     expected = ["10000083,720,7239,x", "9123456,720,7239", "7123456720,7239", "10000083,720,7239", "1,", "9,", "", None]
     assert apply(lines.split_joined_id, given) == expected

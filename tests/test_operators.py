@@ -79,9 +79,29 @@ def skewed(spark, setting):
     return profiles, posts
 
 
-@pytest.mark.parametrize("how", ["left", "full"])
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_spread_join_with_one_row_per_key_on_the_right(spark, values, how):
+    left = spark.createDataFrame(LEFT, "k int, a string")
+    right = spark.createDataFrame([(1, "x"), (4, "z"), (None, "w")], "r int, b string")
+    joined = joins.spread_join(left, right, "k", "r", how, unique_right=True)
+    assert values(joined) == values(left.join(right, F.col("k") == F.col("r"), how))
+
+
+def test_full_join_with_a_unique_side_takes_two_joins(spark, setting, plan_of):
+    profiles, posts = skewed(spark, setting)
+    joined = joins.spread_join(posts, profiles, "owner", "k", "full", unique_right=True)
+    plan = plan_of(joined, run=True)
+    assert plan.count("SortMergeJoin") == 2 and "skew=true" in plan
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
 def test_hot_key_is_split_in_outer_joins(spark, setting, plan_of, how):
     profiles, posts = skewed(spark, setting)
+    if how == "right":
+        joined = joins.spread_join(posts, profiles, "owner", "k", how)
+        assert "skew=true" in plan_of(joined, run=True)
+        assert joined.count() == posts.join(profiles, F.col("k") == F.col("owner"), how).count()
+        return
     plain = profiles.join(posts, F.col("k") == F.col("owner"), how)
     assert "skew=true" not in plan_of(plain, run=True)
     joined = joins.spread_join(profiles, posts, "k", "owner", how)

@@ -100,6 +100,49 @@ def test_years_hours_and_months(joined, posts, values):
     assert social.total_rows(joined).first()[0] == 7
 
 
+def crowd_of(spark, locations, posts):
+    """Locations that repeat for one profile, and posts of profiles that nobody knows."""
+    more = locations.where("id = '1'").withColumn("name", F.lit("again"))
+    strange = posts.limit(1).withColumn("profile_id", F.lit(99).cast("bigint"))
+    return locations.union(more), posts.unionByName(strange)
+
+
+def test_questions_agree_with_the_joined_table(spark, profiles, locations, posts, values):
+    locations, posts = crowd_of(spark, locations, posts)
+    joined = social.join_sources(profiles, locations, posts)
+    weighted = social.weighted_posts(profiles, locations, posts)
+    for question in (social.posts_per_year, social.posts_per_year_text, social.peak_hours, social.peak_hours_in_month):
+        assert values(question(weighted)) == values(question(joined))
+    for hashtags_only, name, question in (
+        (True, "hashtag", social.top_hashtags), (False, "split_words", social.top_words)
+    ):
+        counted = social.weighted_words(profiles, locations, posts, hashtags_only)
+        assert values(social.top_pieces(counted, name)) == values(question(joined))
+    assert values(social.total_rows_from_sources(profiles, locations, posts)) == values(social.total_rows(joined))
+
+
+def test_total_rows_reads_keys_only(spark, profiles, locations, posts, tmp_path, plan_of):
+    for name, df in (("a", profiles), ("b", locations), ("c", posts)):
+        df.write.parquet(str(tmp_path / name))
+    plan = plan_of(social.total_rows_from_sources(*(spark.read.parquet(str(tmp_path / name)) for name in "abc")))
+    assert "description" not in plan and "website" not in plan
+
+
+def test_joined_inner_with_names(profiles, locations, posts):
+    named = social.join_sources(profiles, locations, posts, "inner", distinct_locations=True, with_names=True)
+    assert len(named.columns) == 25 and "firstname_lastname" in named.columns
+    assert dict(named.dtypes)["followers"] == "string"
+
+
+def test_joined_table_reads_each_source_once(spark, profiles, locations, posts, tmp_path, plan_of, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for name, df in (("a", profiles), ("b", locations), ("c", posts)):
+        df.write.parquet(str(tmp_path / name))
+    joined = social.join_sources(*(spark.read.parquet(str(tmp_path / name)) for name in "abc"))
+    plan = plan_of(joined, run=True)
+    assert f"{tmp_path}/a" not in plan and f"{tmp_path}/b" not in plan
+
+
 def test_hashtags_and_words(posts, values):
     assert values(social.top_hashtags(posts, "description")) == [("#a", 2), ("#b", 1), ("#c", 1)]
     assert social.top_hashtags(posts, "description").first()[0] == "#a"
@@ -246,9 +289,15 @@ def test_economic_impact(rides, zones):
     assert trips.economic_impact_of_history(history, zones).first()[0] == pytest.approx(scaled)
 
 
-def test_impact_is_one_plan_without_a_cross_join(rides, zones, plan_of):
-    plan = plan_of(trips.economic_impact(rides, zones))
-    assert "Subquery" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+def test_impact_reads_trips_once_and_shuffles_them_by_zone(spark, rides, zones, tmp_path, plan_of):
+    rides.write.parquet(str(tmp_path / "rides"))
+    plan = plan_of(trips.economic_impact(spark.read.parquet(str(tmp_path / "rides")), zones))
+    assert plan.count("FileScan parquet") == 1 and "hashpartitioning(PULocationID" in plan
+    assert not [step for step in ("Subquery", "Cartesian", "NestedLoop", "slot") if step in plan]
+
+
+def test_impact_of_no_counted_trips_is_null(rides, zones):
+    assert trips.economic_impact(rides.where("passenger_count > 5"), zones).first()[0] is None
 
 
 @pytest.fixture

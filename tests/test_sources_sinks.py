@@ -4,6 +4,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from corvane import scratch
+from corvane.catalogue import queries
 from corvane.scratch import materialise, new_folder, shared_folder
 from corvane.sinks import files as sinks
 from corvane.sinks.jdbc import write_table
@@ -123,25 +125,31 @@ def test_file_counts(spark, tmp_path):
     assert len(parts(tmp_path / "fifteen", ".parquet")) == 15
 
 
-def test_single_file_only_for_small_results(spark, tmp_path, caplog):
-    df = spark.range(0, 100, 1, 8)
-    sinks.write_single_csv(df, str(tmp_path / "small"))
-    assert len(parts(tmp_path / "small", ".csv")) == 1
-    sinks.write_single_csv(df, str(tmp_path / "small"))
-    assert len(parts(tmp_path / "small", ".csv")) == 2
-    sinks.write_single_parquet(df, str(tmp_path / "parquet"))
+@pytest.mark.parametrize("rows", [0, 100, 200_000])
+def test_the_caller_sets_the_number_of_files(spark, tmp_path, rows):
+    df = spark.range(0, rows, 1, 8)
+    sinks.write_csv(df, str(tmp_path / "one"), files=1)
+    assert len(parts(tmp_path / "one", ".csv")) == 1
+    sinks.write_csv(df, str(tmp_path / "one"), mode="append", files=1)
+    assert len(parts(tmp_path / "one", ".csv")) == 2
+    sinks.write_parquet(df, str(tmp_path / "parquet"), files=1)
     assert len(parts(tmp_path / "parquet", ".parquet")) == 1
-    sinks.write_single_csv(df, str(tmp_path / "large"), max_rows=10)
-    assert len(parts(tmp_path / "large", ".csv")) > 1
-    assert "writing several files" in caplog.text
-    assert files.read_csv(spark, str(tmp_path / "large"), "id bigint").count() == 100
+    sinks.write_csv(df, str(tmp_path / "many"))
+    assert len(parts(tmp_path / "many", ".csv")) == (8 if rows else 1)
+    assert spark.read.parquet(str(tmp_path / "parquet")).count() == rows
+
+
+def test_repartition_query_writes_the_files_it_names(spark):
+    df = queries()["part_repartition"](spark, "/root/testdata/sf0.001")
+    files_written = df.inputFiles()
+    assert len(files_written) == 2 * spark.sparkContext.defaultParallelism
 
 
 def test_single_file_keeps_the_order(spark, tmp_path, setting):
     setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
     df = spark.range(0, 1000, 1, 8).select((F.col("id") * 7919 % 1000).alias("n")).orderBy(F.desc("n"))
     assert df.rdd.getNumPartitions() > 1
-    sinks.write_single_csv(df, str(tmp_path / "sorted"))
+    sinks.write_csv(df, str(tmp_path / "sorted"), files=1)
     assert [r.n for r in files.read_csv(spark, str(tmp_path / "sorted"), "n int").collect()] == list(range(999, -1, -1))
 
 
@@ -155,10 +163,19 @@ def test_csv_round_trip(spark, tmp_path, values):
 
 def test_written_tables_lie_in_the_shared_folder(spark):
     path = new_folder(spark, "x")
-    assert path.startswith(f"{shared_folder(spark)}/corvane/x-") and path != new_folder(spark, "x")
+    run, name = path.rsplit("/", 1)
+    assert run.startswith(f"{shared_folder(spark)}/corvane/") and name.startswith("x-") and path != new_folder(spark, "x")
     df = materialise(spark.range(5), "five")
     assert df.count() == 5
-    assert df.inputFiles()[0].removeprefix("file://").startswith(f"{shared_folder(spark)}/corvane/five-")
+    assert df.inputFiles()[0].removeprefix("file://").startswith(f"{run}/five-")
+
+
+def test_the_folder_of_a_run_can_be_removed(spark):
+    materialise(spark.range(5), "gone")
+    run = new_folder(spark, "x").rsplit("/", 1)[0]
+    assert os.path.isdir(run)
+    scratch._remove(spark, run)
+    assert not os.path.exists(run)
 
 
 class Session:
