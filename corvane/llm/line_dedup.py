@@ -117,12 +117,13 @@ def _measured_lines(width: int):
             for batch in source:
                 for begin in range(0, batch.num_rows, 256):
                     part = batch.slice(begin, 256)
+                    grams, lengths = gram_hashes(part.column("own").to_pylist() + part.column("other").to_pylist(), width)
+                    sets = [np.unique(each).view(np.int64) for each in np.split(grams, np.cumsum(lengths)[:-1])]
                     sizes, rare = [], []
-                    for lines in zip(part.column("own").to_pylist(), part.column("other").to_pylist(), strict=True):
-                        own, other = (np.unique(gram_hashes([line], width)[0]).view(np.int64) for line in lines)
-                        only = np.setdiff1d(own, other)
+                    for own, other in zip(sets[: part.num_rows], sets[part.num_rows :], strict=True):
+                        only = own[~np.isin(own, other, assume_unique=True)]
                         sizes.append((len(own), len(other), len(own) - len(only)))
-                        rare.append(only)
+                        rare.append(np.sort(only))
                     columns = [pa.array(column, pa.int32()) for column in zip(*sizes, strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [*(part.column(name) for name in kept), *columns, pa.array(rare, pa.list_(pa.int64()))],

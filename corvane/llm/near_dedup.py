@@ -31,7 +31,6 @@ from corvane.llm.tables import id_and_text, ship, written
 BANDS, ROWS = 24, 4
 LARGE, COMMON_SHARE = 16, 20  # members of a large group; a shingle is common when one in so many holds it
 ASKED = 100  # members of a large group that are asked what is common in it
-EXTRA_PIVOTS = 1  # further rounds that join groups early; the result does not depend on them
 Measure = Callable[[DataFrame], DataFrame]
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -179,35 +178,20 @@ def confirmed(pairs: DataFrame, content: DataFrame, percent: int, measure: Measu
     return sized.filter(f"100 * i >= {percent} * (n + m - i)").select("a", "b")
 
 
-def weighed(buckets: DataFrame) -> DataFrame:
-    """The buckets (key, doc_id) with a member's weight: the sizes of its buckets together.
+def pivots_of(buckets: DataFrame) -> DataFrame:
+    """(pivot, doc_id) of every member of a bucket (key, doc_id) and the bucket's pivot.
 
-    In a group of edited copies the heaviest is close to what they were made from.
+    The pivot is the member whose buckets are largest together: in a group of
+    edited copies that is a text close to what they were made from.
     """
     sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     weights = buckets.join(sizes, "key").groupBy("doc_id").agg(F.sum("members").alias("weight"))
-    return buckets.join(weights, "doc_id")
-
-
-def pivots_of(weighed: DataFrame) -> DataFrame:
-    """(pivot, doc_id) of every member of a bucket and the bucket's heaviest member."""
+    weighed = written(buckets.join(weights, "doc_id"), "weighed")
     chosen = weighed.groupBy("key").agg(F.max(F.struct("weight", "doc_id")).alias("top"))
     met = weighed.join(chosen.select("key", F.col("top.doc_id").alias("pivot")), "key")
     return met.filter("doc_id <> pivot").select("pivot", "doc_id").distinct()
 
 
-def more_pivots(weighed: DataFrame, groups: DataFrame) -> DataFrame:
-    """(pivot, doc_id) for the heaviest member outside the group of a bucket's pivot, and
-    the members outside its own group."""
-    own = groups.select(F.col("node").alias("doc_id"), "component")
-    tagged = weighed.join(own, "doc_id", "left").withColumn("own", F.coalesce("component", "doc_id"))
-    tops = tagged.groupBy("key").agg(F.max(F.struct("weight", "doc_id", "own")).alias("top"))
-    outside = tagged.join(tops, "key").filter("own <> top.own")
-    second = outside.groupBy("key").agg(F.max(F.struct("weight", "doc_id", "own")).alias("second"))
-    met = tagged.join(second, "key").filter("own <> second.own")
-    return met.select(F.col("second.doc_id").alias("pivot"), "doc_id").distinct()
-
-
 def compared(pairs: DataFrame, content: DataFrame, measure: Measure = measured_sets) -> DataFrame:
     """(pivot, doc_id) with n and m, the sizes of the member's and the pivot's set, i of
     their intersection, and ``rare``: the member's shingles that the pivot lacks, sorted.
@@ -322,17 +306,10 @@ def link_buckets(
 
     ``content`` holds (doc_id, content); ``measure`` compares two contents.
     """
-    members = written(weighed(buckets), "weighed")
-    stats = written(compared(written(pivots_of(members), "pivots"), content, measure), "stats")
+    stats = written(compared(written(pivots_of(buckets), "pivots"), content, measure), "stats")
     links = stats.filter(f"100 * i >= {percent} * (n + m - i)").select(
         F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
     )
-    for _ in range(EXTRA_PIVOTS):
-        more = more_pivots(members, components(links)).select(
-            F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
-        )
-        more = written(more.distinct(), "more")
-        links = links.unionByName(written(confirmed(more, content, percent, measure), "confirmed"))
     pairs = written(open_pairs(stats, written(components(links), "groups"), percent), "pairs")
     return links.unionByName(confirmed(pairs, content, percent, measure))
 
