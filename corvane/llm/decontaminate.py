@@ -363,4 +363,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **
 
     Rows that share the id of a row with an item go too; rows without id stay.
     """
-    return without(docs, id_col, written(matches(docs, benchmark, id_col, **options).select("doc_id"), "held"), "doc_id")
+    held = written(matches(docs, benchmark, id_col, **options).select("doc_id"), "held")
+    return without(docs, id_col, held, "doc_id")

@@ -117,7 +117,8 @@ def _measured_lines(width: int):
             for batch in source:
                 for begin in range(0, batch.num_rows, 256):
                     part = batch.slice(begin, 256)
-                    grams, lengths = gram_hashes(part.column("own").to_pylist() + part.column("other").to_pylist(), width)
+                    lines = part.column("own").to_pylist() + part.column("other").to_pylist()
+                    grams, lengths = gram_hashes(lines, width)
                     sets = [np.unique(each).view(np.int64) for each in np.split(grams, np.cumsum(lengths)[:-1])]
                     sizes, rare = [], []
                     for own, other in zip(sets[: part.num_rows], sets[part.num_rows :], strict=True):
@@ -199,8 +200,5 @@ def keep_first_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     gone = gone.groupBy("doc_id").agg(F.collect_list("line_no").alias("gone"))  # at most one document's lines
     lines = F.split("text", r"\n")
     left = F.filter(lines, lambda line, at: F.coalesce(~F.array_contains("gone", at), F.lit(True)))
-    return (
-        id_and_text(docs, id_col, text_col)
-        .join(gone, "doc_id", "left")
-        .select("doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text"))
-    )
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text")
+    return id_and_text(docs, id_col, text_col).join(gone, "doc_id", "left").select("doc_id", text)

@@ -286,8 +286,8 @@ def open_pairs(stats: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
         .select("pivot", "n", "i", "y_n", "y_i")
     )
     members = inside.select(
-        "pivot", F.col("n").alias("y_n"), F.col("i").alias("y_i"), F.col("doc_id").alias("y"), F.col("own").alias("y_own")
-    )
+        "pivot", F.col("n").alias("y_n"), F.col("i").alias("y_i"), F.col("doc_id").alias("y"), F.col("own").alias("y_own"),
+    )
     by_size = (
         inside.filter("apart")
         .join(fitting, ["pivot", "n", "i"])

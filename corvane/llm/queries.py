@@ -150,7 +150,8 @@ split_up AS (
   SELECT doc_id, count(*) AS n_notices, arg_min(licence, (-dice, licence)) AS licence, round(max(dice), 6) AS dice
   FROM hits GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(n_notices, 0) AS n_notices, licence, dice FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
+SELECT d.doc_id, coalesce(n_notices, 0) AS n_notices, licence, dice
+FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
 """
 
 _ESCAPED = "replace(replace(replace({}, '\\', '\\\\'), '### ', '#\\## '), '</turn>', '<\\/turn>')"
