@@ -201,6 +201,12 @@ def compared(pairs: DataFrame, content: DataFrame, measure: Measure = measured_s
     return measure(pairs.join(member, "doc_id").join(pivot, "pivot").select("pivot", "doc_id", "own", "other"))
 
 
+def _per_pivot(rows: DataFrame, *results) -> DataFrame:
+    """One row per pivot. The second key follows from the first; it makes a join by the pivot
+    shuffle both sides anew, so that adaptive execution can split a large group there."""
+    return rows.groupBy("pivot", F.pmod(F.xxhash64("pivot"), F.lit(2)).alias("half")).agg(*results).drop("half")
+
+
 def _widened(tagged: DataFrame) -> DataFrame:
     """The members with i and ``rare`` against their pivot and what many members hold beside it.
 
@@ -210,7 +216,7 @@ def _widened(tagged: DataFrame) -> DataFrame:
     is left over are the members' own edits. About ``ASKED`` members per pivot
     are enough to tell what is common; which set comes out only matters for speed.
     """
-    large = tagged.groupBy("pivot").agg(F.count(F.lit(1)).alias("members")).filter(f"members >= {LARGE}")
+    large = _per_pivot(tagged, F.count(F.lit(1)).alias("members")).filter(f"members >= {LARGE}")
     large = large.withColumn("every", F.expr(f"greatest(1, members div {ASKED})"))
     asked = tagged.join(large, "pivot").filter("pmod(xxhash64(doc_id), every) = 0")
     held = asked.select("pivot", "members", "every", F.explode("rare").alias("shingle"))
@@ -218,9 +224,8 @@ def _widened(tagged: DataFrame) -> DataFrame:
         held.groupBy("pivot", "shingle")
         .agg(F.count(F.lit(1)).alias("holders"), F.max("members").alias("members"), F.max("every").alias("every"))
         .filter(f"{COMMON_SHARE} * holders * every >= members")
-        .groupBy("pivot")
-        .agg(F.collect_list("shingle").alias("hot"))  # at most COMMON_SHARE times a member's mean list
     )
+    hot = _per_pivot(hot, F.collect_list("shingle").alias("hot"))  # at most COMMON_SHARE times a member's mean list
     left = F.array_except("rare", F.coalesce("hot", F.array().cast("array<bigint>")))
     return (
         tagged.join(hot, "pivot", "left")
@@ -255,7 +260,7 @@ def open_pairs(stats: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
         .select("pivot", "doc_id", "n", "i", "rare", "own", "apart")
     )
     tagged = written(_widened(written(tagged, "compared")), "widened")
-    sizes = tagged.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.max("apart").alias("some_apart"))
+    sizes = _per_pivot(tagged, F.count(F.lit(1)).alias("members"), F.max("apart").alias("some_apart"))
     several = sizes.filter("members > 1 AND some_apart").select("pivot")
     prefix = f"cast(n - ceil(n * {percent} / 100) + 1 as int)"
     listed = tagged.join(several, "pivot").select(
