@@ -4,7 +4,9 @@ Texts are cut into overlapping passages. Their TF-IDF rows over the words of
 the benchmark are reduced by a randomised singular value decomposition: every
 task multiplies its rows by a random matrix and back, the products add up in a
 grouping, and the decomposition of the small sum gives the latent axes. A
-passage whose latent vector lies near that of an item is a candidate. A
+passage that shares enough informative words with an item is a candidate, and
+one word fewer is enough when its latent vector lies near that of the item: the
+axes alone lose leaks whose passage holds other weighted words too. A
 candidate counts when the longest common subsequence of its words covers
 enough of the item, or a good part of it together with the item's answer words.
 
@@ -31,7 +33,7 @@ RANK = 96
 OVERSAMPLED = 16
 COSINE = 0.3
 COMMON = 0.003  # a word in a larger share of passages counts only as one of an item's rarest
-SHARED_WORDS = 3  # informative words that a candidate shares with an item, or all the item has
+SHARED_WORDS = 3  # informative words that a candidate shares with an item, or all it has; one less at COSINE
 LCS_SHARE = 0.7
 ANSWERED_LCS_SHARE = 0.5
 ANSWER_SHARE = 0.6
@@ -67,8 +69,9 @@ class Index:
     axes: np.ndarray
     vectors: np.ndarray  # one latent vector per query row
     owners: np.ndarray  # the item of each query row
-    informative: np.ndarray  # by item and word, whether it is one of the item's words with a weight
-    needed: np.ndarray  # informative words that a candidate of each query row shares with its item
+    holders: np.ndarray  # the items that hold a word, word by word; none for words without a weight
+    holder_ends: np.ndarray  # where those of each word end
+    needed: np.ndarray  # informative words that a candidate shares with each item
     slots: np.ndarray  # hash table of the words, for quick rejection
 
 
@@ -207,9 +210,11 @@ def build_index(texts: DataFrame, items: list[tuple[object, str]], rank: int = R
     axes = np.linalg.svd(whitened, full_matrices=False)[0][:, :rank] if good.any() else np.zeros((size, 1))
     found, owners = [], []
     parts = []
-    informative = np.zeros((len(worded), size), dtype=bool)
+    holding, needed = [], []
     for at, (item_id, own) in enumerate(worded):
-        informative[at, [place[word] for word in own if weights[place[word]] > 0]] = True
+        informative = sorted({place[word] for word in own if weights[place[word]] > 0})
+        holding += [(word, at) for word in informative]
+        needed.append(min(SHARED_WORDS, len(informative)))
         parts.append(Item(item_id, own, frozenset(rarest[at])))
         step = 2 * BLOCK
         for begin in range(0, max(len(own) - BLOCK, 1), step):
@@ -219,9 +224,12 @@ def build_index(texts: DataFrame, items: list[tuple[object, str]], rank: int = R
             found.append(row @ axes)
             owners.append(at)
     vectors = _unit(np.array(found)).astype(np.float32)
-    owners = np.array(owners)
-    needed = np.minimum(SHARED_WORDS, informative.sum(axis=1))[owners]
-    return Index(parts, words, weights, axes.astype(np.float32), vectors, owners, informative, needed, slots)
+    by_word = np.array(sorted(holding), dtype=np.int64).reshape(-1, 2)
+    ends = np.searchsorted(by_word[:, 0], np.arange(size), side="right")
+    return Index(
+        parts, words, weights, axes.astype(np.float32), vectors, np.array(owners), by_word[:, 1], ends,
+        np.array(needed), slots,
+    )
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -230,41 +238,36 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def candidates(run: list[bytes], index: Index, cosine: float) -> list[tuple[int, int, int, float]]:
-    """(text, first word, item, cosine) of passages near an item."""
-    passage, word, number, counts, passages, firsts = _cells(run, index.words, index.slots)
+    """(text, first word, item, cosine) of passages that share enough words with an item."""
+    passage, word, number, _, passages, firsts = _cells(run, index.words, index.slots)
     kept = index.weights[word] > 0
     passage, word, number = passage[kept], word[kept], number[kept]
     if not len(passage):
         return []
-    starts = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
-    sizes = np.diff(np.append(starts, len(word)))
-    enough = np.repeat(sizes >= index.needed.min(), sizes)
-    passage, word, number = passage[enough], word[enough], number[enough]
-    if not len(passage):
+    # The words each passage shares with each item, from the lists of items by word.
+    begins = np.concatenate(([0], index.holder_ends[:-1]))
+    lengths = (index.holder_ends - begins)[word]
+    offsets = np.repeat(begins[word] - (np.cumsum(lengths) - lengths), lengths)
+    items = index.holders[offsets + np.arange(lengths.sum())]
+    pairs, shared = np.unique(np.repeat(passage, lengths) * len(index.items) + items, return_counts=True)
+    rows, items = pairs // len(index.items), pairs % len(index.items)
+    close = shared >= index.needed[items] - 1
+    rows, items, shared = rows[close], items[close], shared[close]
+    if not len(rows):
         return []
+    wanted, rows = np.unique(rows, return_inverse=True)
+    kept = np.isin(passage, wanted)
+    passage, word, number = passage[kept], word[kept], number[kept]
     starts = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
-    stops = np.append(starts[1:], len(word))
     value = (number * index.weights[word]).astype(np.float32)
     latent = _unit(np.add.reduceat(value[:, None] * index.axes[word], starts, axis=0))
-    near = latent @ index.vectors.T
-    rows, queries = np.nonzero((near >= cosine) & ((stops - starts)[:, None] >= index.needed[None, :]))
-    if len(rows):
-        lengths = (stops - starts)[rows]
-        first = np.cumsum(lengths) - lengths
-        cells = np.repeat(starts[rows] - first, lengths) + np.arange(lengths.sum())
-        held = index.informative[np.repeat(index.owners[queries], lengths), word[cells]]
-        kept = np.add.reduceat(held.astype(np.int32), first) >= index.needed[queries]
-        rows, queries = rows[kept], queries[kept]
-    best: dict[tuple[int, int], float] = {}
-    for row, query in zip(rows.tolist(), queries.tolist(), strict=True):
-        pair = int(passage[starts[row]]), int(index.owners[query])
-        best[pair] = max(best.get(pair, -1.0), float(near[row, query]))
-    lasts = np.cumsum(passages)
-    found = []
-    for (at, item), score in best.items():
-        text = int(np.searchsorted(lasts, at, side="right"))
-        found.append((text, int(at - firsts[text]) * BLOCK, item, score))
-    return sorted(found)
+    queries = np.flatnonzero(np.concatenate(([True], index.owners[1:] != index.owners[:-1])))
+    near = np.maximum.reduceat(latent @ index.vectors.T, queries, axis=1)[rows, items]
+    kept = (shared >= index.needed[items]) | (near >= cosine)
+    at, items, near = wanted[rows[kept]], items[kept], near[kept]
+    texts = np.searchsorted(np.cumsum(passages), at, side="right")
+    begins = (at - firsts[texts]) * BLOCK
+    return sorted(zip(texts.tolist(), begins.tolist(), items.tolist(), near.astype(float).tolist(), strict=True))
 
 
 def common_subsequence(first, second) -> int:
@@ -279,12 +282,17 @@ def common_subsequence(first, second) -> int:
     return len(second) - row.bit_count()
 
 
-def _verdict(words: list[str], begin: int, item: Item) -> tuple[float, float]:
-    """Share of the item in the common subsequence, and of its answer words, around a passage."""
+def _verdict(words: list[str], begin: int, item: Item, least: float) -> tuple[float, float]:
+    """Share of the item in the common subsequence, and of its answer words, around a passage.
+
+    Both are 0 where the words in common, in any order, show the first to be below ``least``.
+    """
     stop = min(len(words), begin + 2 * BLOCK + len(item.words))
     begin = max(0, begin - len(item.words))
     near = words[begin:stop]
     held = set(near)
+    if sum(word in held for word in item.words) / len(item.words) < least:
+        return 0.0, 0.0
     return (
         common_subsequence(item.words, near) / len(item.words),
         sum(word in held for word in item.answer) / len(item.answer),
@@ -337,7 +345,7 @@ def matches(
                 for text, at, item, score in candidates(run, known, cosine):
                     if text not in split:
                         split[text] = [word.decode() for word in run[text].split()]
-                    share, answered = _verdict(split[text], at, known.items[item])
+                    share, answered = _verdict(split[text], at, known.items[item], min(lcs_share, answered_lcs_share))
                     if share >= lcs_share or share >= answered_lcs_share and answered >= answer_share:
                         held = (share, answered, -at, score)
                         best[text, item] = max(best.get((text, item), held), held)

@@ -89,3 +89,26 @@ def test_cases(spark, documents):
     assert sorted((row.doc_id for row in kept.collect()), key=repr) == [1, 2, 6, None]
     assert decontaminate.matches(documents([]), benchmark).count() == 0
     assert decontaminate.matches(documents(docs), benchmark.limit(0)).count() == 0
+
+
+def test_recall_against_every_passage_of_planted_paraphrases(spark, documents):
+    """Documents of the words of a large benchmark; leaks have other weighted words beside them."""
+    draw = random.Random(5)
+    stock = ["".join(draw.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(4000)]
+    items = [(n, " ".join(words(draw, draw.randrange(15, 45), stock))) for n in range(400)]
+    docs = []
+    for doc in range(400):
+        own = [word for word in items[doc][1].split() if draw.random() > (0, 0.15, 0.3)[doc % 3]]
+        body = words(draw, 120, stock)
+        body[60:60] = own
+        docs.append((doc, " ".join(body)))
+    brute = set()
+    for doc, text in docs:
+        split = text.split()
+        item = decontaminate.Item(doc, tuple(items[doc][1].split()), frozenset())
+        if decontaminate.common_subsequence(item.words, split[60 : 60 + len(item.words)]) / len(item.words) >= 0.7:
+            brute.add((doc, doc))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.matches(documents(docs), benchmark).collect()
+    assert len(brute) > 300 and brute <= {(row.doc_id, row.item_id) for row in found}
+    assert any(row.cosine < decontaminate.COSINE for row in found)
