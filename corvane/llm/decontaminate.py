@@ -175,7 +175,7 @@ def build_index(texts: DataFrame, items: list[tuple[object, str]], rank: int = R
 
     held = _summed(texts, lambda: np.zeros((size + 1, 1)), count)[:, 0]
     frequency, passages = held[:size], held[size]
-    weights = np.log((1 + passages) / (1 + frequency)).astype(np.float32)
+    weights = (1 + np.log((1 + passages) / (1 + frequency))).astype(np.float32)  # positive also in every passage
     rarest = [
         sorted(set(own), key=lambda word: (frequency[place[word]], word))[:ANSWER_WORDS] for _, own in worded
     ]

@@ -112,3 +112,10 @@ def test_recall_against_every_passage_of_planted_paraphrases(spark, documents):
     found = decontaminate.matches(documents(docs), benchmark).collect()
     assert len(brute) > 300 and brute <= {(row.doc_id, row.item_id) for row in found}
     assert any(row.cosine < decontaminate.COSINE for row in found)
+
+
+def test_one_leaked_document_alone(spark, documents):
+    text = "the quick zebra quilted yonder xylophones while vexed wizards jumped over lazy quartz dogs"
+    benchmark = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    assert [row.doc_id for row in decontaminate.matches(documents([(7, text)]), benchmark).collect()] == [7]
+    assert decontaminate.keep_clean(documents([(7, text), (8, text)]), benchmark).count() == 0
