@@ -10,8 +10,10 @@ axes alone lose leaks whose passage holds other weighted words too. A
 candidate counts when the longest common subsequence of its words covers
 enough of the item, or a good part of it together with the item's answer words.
 
-What the driver holds is bounded by the benchmark: one number and one short
-row per benchmark word, never anything per document.
+What the driver holds is bounded by the benchmark: about 3.5 KB per distinct
+benchmark word while the axes are found (five rows of up to 112 numbers), and
+one row of 96 numbers per 48 words of an item; never anything per document.
+What is broadcast is about 0.4 KB for each, and one number per item and word.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ LCS_SHARE = 0.7
 ANSWERED_LCS_SHARE = 0.5
 ANSWER_SHARE = 0.6
 ANSWER_WORDS = 8
+PASSAGES_AT_ONCE = 1024  # compared to all items
 
 # Other ASCII characters than letters, digits and underscores part words.
 _PARTED = bytes(byte if byte > 127 or chr(byte).isalnum() or byte == 95 else 32 for byte in range(256))
@@ -149,9 +152,10 @@ def _summed(texts: DataFrame, start, add) -> np.ndarray:
 
 
 def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[tuple[object, str]]:
-    """The items by id; the benchmark is a table of questions, small beside any corpus."""
-    rows = benchmark.select(named(id_col).alias("item_id"), named(text_col).alias("text")).na.drop()
-    return sorted((row["item_id"], row["text"]) for row in rows.toLocalIterator())
+    """The items by id, those without id first; the benchmark is a table of questions, small beside any corpus."""
+    rows = benchmark.select(named(id_col).alias("item_id"), named(text_col).alias("text")).filter("text IS NOT NULL")
+    found = ((row["item_id"], row["text"]) for row in rows.toLocalIterator())
+    return sorted(found, key=lambda item: (item[0] is not None, item[1] if item[0] is None else item[0], item[1]))
 
 
 def build_index(texts: DataFrame, items: list[tuple[object, str]], rank: int = RANK, seed: int = 11) -> Index | None:
@@ -262,7 +266,11 @@ def candidates(run: list[bytes], index: Index, cosine: float) -> list[tuple[int,
     value = (number * index.weights[word]).astype(np.float32)
     latent = _unit(np.add.reduceat(value[:, None] * index.axes[word], starts, axis=0))
     queries = np.flatnonzero(np.concatenate(([True], index.owners[1:] != index.owners[:-1])))
-    near = np.maximum.reduceat(latent @ index.vectors.T, queries, axis=1)[rows, items]
+    near = np.zeros(len(rows), dtype=np.float32)
+    for begin in range(0, len(wanted), PASSAGES_AT_ONCE):
+        first, last = np.searchsorted(rows, (begin, begin + PASSAGES_AT_ONCE))
+        best = np.maximum.reduceat(latent[begin : begin + PASSAGES_AT_ONCE] @ index.vectors.T, queries, axis=1)
+        near[first:last] = best[rows[first:last] - begin, items[first:last]]
     kept = (shared >= index.needed[items]) | (near >= cosine)
     at, items, near = wanted[rows[kept]], items[kept], near[kept]
     texts = np.searchsorted(np.cumsum(passages), at, side="right")
@@ -316,7 +324,7 @@ def matches(
 
     ``begin`` is the first word of the best passage. Of an item's passages the
     one with the largest shares counts, of equal ones the first. Null and empty
-    texts and items hold nothing; a null document id is passed on; repeated
+    texts and items hold nothing; null document and item ids are passed on; repeated
     rows give repeated results; an empty corpus or benchmark gives an empty
     result.
     """

@@ -119,3 +119,12 @@ def test_one_leaked_document_alone(spark, documents):
     benchmark = spark.createDataFrame([(1, text)], "item_id bigint, text string")
     assert [row.doc_id for row in decontaminate.matches(documents([(7, text)]), benchmark).collect()] == [7]
     assert decontaminate.keep_clean(documents([(7, text), (8, text)]), benchmark).count() == 0
+
+
+def test_items_without_id(spark, documents):
+    text = "the quick zebra quilted yonder xylophones while vexed wizards jumped over lazy quartz dogs"
+    items = [(None, text), (2, "nothing of that kind"), (None, "another text"), (3, None)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = documents([(7, text), (8, "other words")])
+    assert [(row.doc_id, row.item_id) for row in decontaminate.matches(docs, benchmark).collect()] == [(7, None)]
+    assert [row.doc_id for row in decontaminate.keep_clean(docs, benchmark).collect()] == [8]
