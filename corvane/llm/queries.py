@@ -17,8 +17,10 @@ from corvane.llm import (
     license_scan,
     line_dedup,
     near_dedup,
+    posting_lists,
     quality,
     secret_scan,
+    whitening,
 )
 from corvane.llm.tables import table
 from corvane.session import prepare
@@ -110,6 +112,14 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.memberships(table(spark, folder, "documents")).withColumnRenamed("digest", "text_sha256")
 
 
+def op12_posting_lists(spark: SparkSession, folder: str) -> DataFrame:
+    return posting_lists.nearest(table(spark, folder, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 OP9_SQL = """
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
 groups AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY body)
@@ -172,7 +182,7 @@ FROM turns GROUP BY conv_id
 
 _QUERIES = [
     op1_decontaminate, op2_near_dedup, op3_secret_scan, op4_license_scan, op5_quality, op6_line_dedup, op7_byte_bpe,
-    op8_html_text, op9_exact_dedup, op10_chat_format,
+    op8_html_text, op9_exact_dedup, op10_chat_format, op12_posting_lists, op13_whitening,
 ]
 _SQL = {"op4_license_scan": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op10_chat_format": OP10_SQL}
 

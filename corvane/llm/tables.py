@@ -13,7 +13,9 @@ import corvane
 from corvane.scratch import new_folder
 
 ROWS_AT_ONCE = 1000
+BYTES_AT_ONCE = 16 << 20
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
@@ -53,8 +55,10 @@ def ship(spark: SparkSession) -> None:
 
     Functions that run in tasks import it; a cluster need not have it installed.
     The archive goes out through Spark's own file server. Rows hold whole texts,
-    so the session also passes fewer of them at once to a worker.
+    so the session also passes fewer of them, and fewer bytes, at once to a worker.
     """
+    if spark.conf.get(_BATCH_BYTES) != f"{BYTES_AT_ONCE}b":
+        spark.conf.set(_BATCH_BYTES, f"{BYTES_AT_ONCE}b")
     if int(spark.conf.get(_BATCH)) > ROWS_AT_ONCE:
         spark.conf.set(_BATCH, str(ROWS_AT_ONCE))
     context = spark.sparkContext
