@@ -48,9 +48,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def _remove(spark: SparkSession, run: str) -> None:
     """Delete the folder of this run; whatever keeps that from working, the program is over."""
     with contextlib.suppress(Exception):
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(run)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(spark, run)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that :func:`new_folder` named, once nothing reads it any more."""
+    if f"/corvane/{_RUN}" not in folder:
+        raise ValueError(f"{folder} is no folder of this run")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
