@@ -17,6 +17,7 @@ from corvane.llm import (
     license_scan,
     line_dedup,
     near_dedup,
+    phrases,
     posting_lists,
     quality,
     secret_scan,
@@ -112,6 +113,10 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.memberships(table(spark, folder, "documents")).withColumnRenamed("digest", "text_sha256")
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def op12_posting_lists(spark: SparkSession, folder: str) -> DataFrame:
     return posting_lists.nearest(table(spark, folder, "embeddings"))
 
@@ -180,11 +185,51 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+OP11_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS words FROM pieces
+), runs AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(words) + 2 - size), lambda i: array_to_string(words[i:i + size - 1], ' ')))
+           AS phrase
+  FROM worded, (VALUES (1), (2), (3)) sizes(size) WHERE len(words) >= size
+), counted AS (SELECT lang, size, phrase, count(*) AS f FROM runs GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang),
+frequent AS (SELECT *, string_split(phrase, ' ') AS words FROM counted WHERE f >= 10),
+inside AS (
+  SELECT lang, f AS most, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase
+  FROM frequent WHERE size = 3
+), kept AS (
+  SELECT c.* FROM frequent c LEFT JOIN (SELECT lang, phrase, max(most) AS most FROM inside GROUP BY ALL) i
+    ON c.size = 2 AND c.lang = i.lang AND c.phrase = i.phrase
+  WHERE c.size > 1 AND NOT coalesce(100 * i.most >= 50 * c.f, FALSE)
+), cuts AS (
+  SELECT k.*, cut, array_to_string(words[1:cut], ' ') AS head, array_to_string(words[cut + 1:], ' ') AS tail
+  FROM kept k, (VALUES (1), (2)) places(cut) WHERE cut < k.size
+), scores AS (
+  SELECT c.lang, c.phrase, c.f AS a, cut, h.f AS l, t.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * c.f * c.f // (CAST(h.f AS HUGEINT) * t.f) AS BIGINT) AS score
+  FROM cuts c JOIN counted h ON c.lang = h.lang AND c.head = h.phrase JOIN counted t ON c.lang = t.lang AND c.tail = t.phrase
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM scores
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best WHERE place = 1
+)
+SELECT r.lang, rank, phrase, a, l, r, n, score FROM ranked r JOIN totals t ON r.lang = t.lang WHERE rank <= 2000
+"""
+
 _QUERIES = [
     op1_decontaminate, op2_near_dedup, op3_secret_scan, op4_license_scan, op5_quality, op6_line_dedup, op7_byte_bpe,
-    op8_html_text, op9_exact_dedup, op10_chat_format, op12_posting_lists, op13_whitening,
+    op8_html_text, op9_exact_dedup, op10_chat_format, op11_phrases,
+    op12_posting_lists, op13_whitening,
 ]
-_SQL = {"op4_license_scan": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op10_chat_format": OP10_SQL}
+_SQL = {
+    "op4_license_scan": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op10_chat_format": OP10_SQL, "op11_phrases": OP11_SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
