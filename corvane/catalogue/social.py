@@ -55,8 +55,8 @@ def total(v: Views):
     return social.total_rows_from_sources(v.profiles(), v.locations(), v.posts())
 
 
-def _dated(v: Views) -> DataFrame:
-    return social.weighted_posts(v.profiles(), v.locations(), v.posts())
+def _dated(v: Views, slot: str) -> DataFrame:
+    return social.weighted_posts(v.profiles(), v.locations(), v.posts(), slot)
 
 
 @query(
@@ -66,7 +66,7 @@ def _dated(v: Views) -> DataFrame:
     JOINED,
 )
 def per_year(v: Views):
-    return social.posts_per_year(_dated(v))
+    return social.posts_per_year(_dated(v, "year"))
 
 
 @query(
@@ -76,7 +76,7 @@ def per_year(v: Views):
     JOINED,
 )
 def per_year_text(v: Views):
-    return social.posts_per_year_text(_dated(v))
+    return social.posts_per_year_text(_dated(v, "year"))
 
 
 @query(
@@ -86,7 +86,7 @@ def per_year_text(v: Views):
     JOINED,
 )
 def hours(v: Views):
-    return social.peak_hours(_dated(v))
+    return social.peak_hours(_dated(v, "hour of year"))
 
 
 @query(
@@ -97,7 +97,7 @@ def hours(v: Views):
     JOINED,
 )
 def hours_in_month(v: Views):
-    return social.peak_hours_in_month(_dated(v), 1996, 12)
+    return social.peak_hours_in_month(_dated(v, "hour"), 1996, 12)
 
 
 @query(

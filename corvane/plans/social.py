@@ -20,6 +20,15 @@ from corvane.operators.joins import lookup, spread_join
 from corvane.operators.ordering import sorted_down
 from corvane.scratch import materialise
 
+# Slots of time of a post, as SQL so that no session is needed to name them.
+SLOTS = {
+    "year": "date_trunc('year', cts)",
+    "hour of year": "make_timestamp(year(cts), 1, 1, hour(cts), 0, 0)",
+    "hour": "date_trunc('hour', cts)",
+}
+FILTER_WORDS = 1 << 14  # of 64 bits: 128 KB
+FEW_OWNERS = 200_000  # odd owners that are broadcast, two numbers each
+
 # The columns of the joined table and their types.
 JOINED_TYPES = {
     "profile_id": "bigint",
@@ -142,38 +151,113 @@ def total_rows_from_sources(profiles: DataFrame, locations: DataFrame, posts: Da
 
 
 def post_weights(profiles: DataFrame, locations: DataFrame) -> DataFrame:
-    """(owner, weight): in how many rows of the joined table each post of a profile stands."""
-    owners = profiles.select("profile_id").distinct().select(F.col("profile_id").try_cast("bigint").alias("owner"))
-    counted = owners.where("owner IS NOT NULL").groupBy("owner").agg(F.count("*").alias("copies"))
-    placed = lookup(counted, _ids(locations, "id", "places"), "owner", "__id")
+    """(owner, weight): in how many rows of the joined table each post of a profile stands.
+
+    A profile makes a row per location, where one without any counts as having one.
+    """
+    named = profiles.select(F.col("profile_id").try_cast("bigint").alias("owner"), "profile_id")
+    counted = named.where("owner IS NOT NULL").groupBy("owner").agg(F.count_distinct("profile_id").alias("copies"))
+    placed = counted.join(_ids(locations, "id", "places"), F.col("owner") == F.col("__id"), "left")
     return placed.select("owner", (F.col("copies") * F.coalesce("places", F.lit(1))).alias("weight"))
 
 
-def weighted_posts(profiles: DataFrame, locations: DataFrame, posts: DataFrame) -> DataFrame:
-    """(timestamp_post, weight) of the posts of known profiles; questions about time need no more."""
-    moments = posts.where(F.col("cts").isNotNull()).select(
-        F.col("profile_id").try_cast("bigint").alias("__owner"), F.col("cts").alias("timestamp_post")
+def odd_owners(profiles: DataFrame, locations: DataFrame, posts: DataFrame) -> DataFrame:
+    """(owner, weight) of the owners whose posts do not stand in the joined table exactly once.
+
+    Profiles that nobody knows have weight 0. Most posts belong to others, so
+    this table is short beside the posts.
+    """
+    seen = posts.select(F.col("profile_id").try_cast("bigint").alias("__seen")).where("__seen IS NOT NULL").distinct()
+    weighed = seen.join(post_weights(profiles, locations), F.col("__seen") == F.col("owner"), "left")
+    odd = weighed.select(F.col("__seen").alias("owner"), F.coalesce("weight", F.lit(0)).alias("weight"))
+    return odd.where("weight <> 1")
+
+
+def _bit(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS))
+
+
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """One row with one array of ``FILTER_WORDS`` integers, whose bits say which keys may occur.
+
+    Its size is fixed: with more keys than it can tell apart it lets more
+    through, and what uses it only has more to do.
+    """
+    bits = keys.select(_bit(key).alias("bit"))
+    words = bits.selectExpr("shiftright(bit, 6) AS at", "shiftleft(1L, cast(bit & 63 AS int)) AS mask")
+    every = keys.sparkSession.range(FILTER_WORDS).selectExpr("id AS at", "0L AS mask")
+    masks = words.unionByName(every).groupBy("at").agg(F.bit_or("mask").alias("mask"))
+    return masks.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "mask"))), lambda word: word["mask"]).alias("bits"))
+
+
+def may_hold(bits: DataFrame, key: str) -> Column:
+    """Whether a key may be among those of :func:`key_filter`; true for all that are."""
+    word = F.get(bits.scalar(), F.shiftright(_bit(key), 6).cast("int"))
+    return F.getbit(word, (_bit(key) % 64).cast("int")) == 1
+
+
+def weighted_keys(
+    profiles: DataFrame,
+    locations: DataFrame,
+    posts: DataFrame,
+    keys: dict[str, Column],
+    wanted: Column | None = None,
+    few: int = FEW_OWNERS,
+) -> DataFrame:
+    """(keys, weight): the ``keys`` of posts, whose weights add up to how often they occur in the joined table.
+
+    Only owners of another weight than 1 change a count. Up to ``few`` of them
+    are broadcast, and each post gets its weight where it is read. For more, posts
+    are counted by the keys where they are read: those whose owner may be odd, as
+    a filter of fixed size tells, per owner, so that their counts meet the
+    weights; the others under a number that no owner joins with and that spreads
+    them evenly. No text is shuffled in either case.
+    """
+    known = posts.withColumn("__owner", F.col("profile_id").try_cast("bigint")).where("__owner IS NOT NULL")
+    odd = materialise(odd_owners(profiles, locations, posts), "odd-owners")
+    named = [key.alias(name) for name, key in keys.items()]
+    weight = F.coalesce("weight", F.lit(1)).alias("weight")
+    if odd.limit(few + 1).count() <= few:
+        met = known.join(F.broadcast(odd), F.col("__owner") == F.col("owner"), "left")
+        met = met.where("weight IS NULL OR weight > 0").select(weight, *named)
+        return met if wanted is None else met.where(wanted)
+    unsure = may_hold(key_filter(odd, "owner"), "__owner")
+    rows = known.select(F.when(unsure, F.col("__owner")).alias("__owner"), *named)
+    rows = rows if wanted is None else rows.where(wanted)
+    counted = rows.groupBy("__owner", *keys).agg(F.count("*").alias("n"))
+    spread = F.when(F.col("__owner").isNull(), 1 + F.pmod(F.xxhash64(*keys), F.lit(1 << 20))).otherwise(F.lit(0))
+    numbered = odd.withColumn("__odd", F.lit(0).cast("bigint"))
+    met = counted.withColumn("__spread", spread).join(
+        numbered, (F.col("__owner") == F.col("owner")) & (F.col("__spread") == F.col("__odd")), "left"
     )
-    owners = post_weights(profiles, locations)
-    return moments.join(owners, F.col("__owner") == F.col("owner")).select("timestamp_post", "weight")
+    return met.select((F.col("n") * weight).alias("weight"), *keys).where("weight > 0")
 
 
-def weighted_words(profiles: DataFrame, locations: DataFrame, posts: DataFrame, hashtags_only: bool) -> DataFrame:
-    """(piece, weight) of the words of known profiles' posts.
+def weighted_posts(profiles: DataFrame, locations: DataFrame, posts: DataFrame, slot: str = "hour") -> DataFrame:
+    """(timestamp_post, weight) of the posts of known profiles, by slots of time.
 
-    Words are counted per profile before they meet its weight, so no text is
-    shuffled, and each word of a profile once.
+    Posts are counted per profile and slot where they are read; their counts, not
+    the posts, meet the weights. The widest slot that answers a question leaves
+    the fewest counts: ``year``, ``hour of year`` (an hour of any day, moved to the first
+    day of its year) or ``hour``.
     """
+    dated = posts.where(F.col("cts").isNotNull())
+    owned = dated.select(F.col("profile_id").try_cast("bigint").alias("__owner"), F.expr(SLOTS[slot]).alias("timestamp_post"))
+    counted = owned.where("__owner IS NOT NULL").groupBy("__owner", "timestamp_post").agg(F.count("*").alias("n"))
+    met = counted.join(post_weights(profiles, locations), F.col("__owner") == F.col("owner"))
+    return met.select("timestamp_post", (F.col("n") * F.col("weight")).alias("weight"))
+
+
+def weighted_words(
+    profiles: DataFrame, locations: DataFrame, posts: DataFrame, hashtags_only: bool, few: int = FEW_OWNERS
+) -> DataFrame:
+    """(piece, weight) of the words of known profiles' posts."""
     text = F.col("description")
-    texts = posts.where(has_hashtag(text)) if hashtags_only else posts
-    pieces = texts.select(F.col("profile_id").try_cast("bigint").alias("__owner"), F.explode(words(text)).alias("piece"))
-    if hashtags_only:
-        pieces = pieces.where(F.col("piece").startswith("#"))
-    counted = pieces.groupBy("__owner", "piece").agg(F.count("*").alias("n"))
-    owners = post_weights(profiles, locations)
-    return counted.join(owners, F.col("__owner") == F.col("owner")).select(
-        "piece", (F.col("n") * F.col("weight")).alias("weight")
-    )
+    pieces = {"piece": F.explode(words(text))}
+    if not hashtags_only:
+        return weighted_keys(profiles, locations, posts, pieces, few=few)
+    tagged = posts.where(has_hashtag(text))
+    return weighted_keys(profiles, locations, tagged, pieces, F.col("piece").startswith("#"), few)
 
 
 def _rows(df: DataFrame) -> Column:

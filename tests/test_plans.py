@@ -107,20 +107,54 @@ def crowd_of(spark, locations, posts):
     return locations.union(more), posts.unionByName(strange)
 
 
-def test_questions_agree_with_the_joined_table(spark, profiles, locations, posts, values):
+@pytest.mark.parametrize("few", [social.FEW_OWNERS, 0])
+def test_questions_agree_with_the_joined_table(spark, profiles, locations, posts, values, few):
     locations, posts = crowd_of(spark, locations, posts)
+    profiles = profiles.unionByName(profiles.where("profile_id = '2'").withColumn("profile_id", F.lit("002")))
     joined = social.join_sources(profiles, locations, posts)
-    weighted = social.weighted_posts(profiles, locations, posts)
-    for question in (social.posts_per_year, social.posts_per_year_text, social.peak_hours, social.peak_hours_in_month):
+    for question, slot in (
+        (social.posts_per_year, "year"), (social.posts_per_year_text, "year"), (social.peak_hours, "hour of year"),
+        (social.peak_hours, "hour"), (social.peak_hours_in_month, "hour"),
+    ):
+        weighted = social.weighted_posts(profiles, locations, posts, slot)
         assert values(question(weighted)) == values(question(joined))
     for hashtags_only, name, question in (
         (True, "hashtag", social.top_hashtags), (False, "split_words", social.top_words)
     ):
-        counted = social.weighted_words(profiles, locations, posts, hashtags_only)
+        counted = social.weighted_words(profiles, locations, posts, hashtags_only, few)
         assert values(social.top_pieces(counted, name)) == values(question(joined))
     assert values(social.total_rows_from_sources(profiles, locations, posts)) == values(social.total_rows(joined))
 
 
+def test_full_filter_changes_no_count(spark, profiles, locations, posts, values, monkeypatch):
+    locations, posts = crowd_of(spark, locations, posts)
+    expected = values(social.top_words(social.join_sources(profiles, locations, posts)))
+    monkeypatch.setattr(social, "FILTER_WORDS", 1)
+    crowd = spark.range(5000).selectExpr("cast(id + 1000 AS bigint) AS profile_id", "'x' AS description")
+    posts = posts.select("profile_id", "description").unionByName(crowd)
+    counted = social.weighted_words(profiles, locations, posts, hashtags_only=False, few=0)
+    assert values(social.top_pieces(counted, "split_words")) == expected
+
+
+@pytest.mark.parametrize("few", [social.FEW_OWNERS, 0])
+def test_texts_are_counted_before_they_shuffle(spark, profiles, locations, posts, plan_of, setting, few):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    weighted = social.weighted_words(profiles, locations, posts, hashtags_only=False, few=few)
+    counted = weighted.groupBy("piece").agg(F.sum("weight"))
+    plan = plan_of(counted)
+    above = plan.split("Generate explode")[0]  # the scan of the posts is the last that explodes
+    assert "partial_" in above.rsplit("Exchange", 1)[1], plan
+    assert "description" not in above.rsplit("Exchange", 1)[0], plan
+
+
+def test_posts_are_counted_below_the_join(spark, profiles, locations, posts, plan_of, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_of(social.posts_per_year(social.weighted_posts(profiles, locations, posts, "year")))
+    below = plan[plan.index("SortMergeJoin") :]
+    partial = next(at for at, line in enumerate(below.splitlines()) if "partial_count(1)" in line)
+    assert any("Exchange hashpartitioning(__owner" in line for line in below.splitlines()[:partial]), plan
+
+
 def test_total_rows_reads_keys_only(spark, profiles, locations, posts, tmp_path, plan_of):
     for name, df in (("a", profiles), ("b", locations), ("c", posts)):
         df.write.parquet(str(tmp_path / name))
