@@ -35,15 +35,17 @@ def _json_cars(v: Views, name: str) -> str:
 
 @query("src_json", CARS_SQL, "cars")
 def json_inferred(v: Views):
-    options = {"path": _json_cars(v, "src_json"), "mode": "FAILFAST"}
-    return _plain_year(v.spark.read.format("json").options(**options).load())
+    path = _json_cars(v, "src_json")
+    schema, _ = sources.infer_json(v.spark, path)
+    options = {"path": path, "mode": "FAILFAST"}
+    return _plain_year(v.spark.read.format("json").options(**options).schema(schema).load())
 
 
 @query("src_json_schema", CARS_SQL, "cars")
 def json_with_captured_schema(v: Views):
     path = _json_cars(v, "src_json_schema")
-    one_part = v.spark.read.text(path).inputFiles()[:1]
-    return _plain_year(sources.infer_once(v.spark, path, sample=one_part))
+    captured = v.spark.read.json(path).schema
+    return _plain_year(sources.read_json(v.spark, path, captured))
 
 
 @query("sink_json", CARS_SQL, "cars")
@@ -86,7 +88,7 @@ def csv_typed(v: Views):
 def csv_inferred(v: Views):
     path = new_folder(v.spark, "src_csv_infer") + ".csv"
     sinks.write_csv(v.stocks(), path)
-    return sources.read_csv(v.spark, path, inferSchema=True)
+    return sources.read_csv(v.spark, path, sources.infer_csv(v.spark, path))
 
 
 _POSTS_SQL = """SELECT sid, sid_profile, post_id, profile_id, location_id,
@@ -133,6 +135,14 @@ def text_split_into_columns(v: Views):
 
 
 _BAD_ROW = "o_orderkey % 10 = 0"
+_ORDERS_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
+
+
+def _orders_with_bad_rows(v: Views) -> str:
+    path = new_folder(v.spark, "bad_rows") + ".csv"
+    customer = F.when(F.expr(_BAD_ROW), "none").otherwise(F.col("o_custkey").cast("string")).alias("o_custkey")
+    sinks.write_csv(v.table("orders").select("o_orderkey", customer, "o_orderstatus"), path)
+    return path
 
 
 @query(
@@ -142,15 +152,22 @@ _BAD_ROW = "o_orderkey % 10 = 0"
         UNION ALL SELECT 'DROPMALFORMED', o_orderkey, o_custkey, o_orderstatus FROM orders WHERE NOT {_BAD_ROW}""",
 )
 def parse_modes(v: Views):
-    path = new_folder(v.spark, "src_parse_modes") + ".csv"
-    customer = F.when(F.expr(_BAD_ROW), "none").otherwise(F.col("o_custkey").cast("string")).alias("o_custkey")
-    sinks.write_csv(v.table("orders").select("o_orderkey", customer, "o_orderstatus"), path)
-    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
-    reads = [
-        sources.read_csv(v.spark, path, schema, mode=mode).select(F.lit(mode).alias("mode"), "*")
-        for mode in ("PERMISSIVE", "DROPMALFORMED")
-    ]
-    return reads[0].union(reads[1])
+    good, rejects = sources.read_parted(v.spark, "csv", _orders_with_bad_rows(v), _ORDERS_SCHEMA, header=True)
+    fitting = [F.lit("PERMISSIVE"), F.lit("DROPMALFORMED")]
+    both = good.select(F.explode(F.array(*fitting)).alias("mode"), "*")
+    return both.union(rejects.select(fitting[0].alias("mode"), *good.columns))
+
+
+@query(
+    "src_rejects",
+    f"""SELECT o_orderkey, CASE WHEN NOT {_BAD_ROW} THEN o_custkey END AS o_custkey, o_orderstatus, {_BAD_ROW} AS rejected,
+          CASE WHEN {_BAD_ROW} THEN CAST(o_orderkey AS VARCHAR) || ',none,' || o_orderstatus END AS line
+        FROM orders""",
+)
+def rejected_rows(v: Views):
+    good, rejects = sources.read_parted(v.spark, "csv", _orders_with_bad_rows(v), _ORDERS_SCHEMA, header=True)
+    kept = good.withColumns({"rejected": F.lit(False), "line": F.lit(None).cast("string")})
+    return kept.union(rejects.select(*good.columns, F.lit(True), sources.CORRUPT))
 
 
 @query(
@@ -214,3 +231,10 @@ def save_modes(v: Views):
     sinks.write_parquet(suppliers, path, mode="append")
     sinks.write_parquet(nations, path, mode="ignore")
     return sources.read_files(v.spark, "parquet", path)
+
+
+@query("sink_balanced", "SELECT symbol, date, price FROM stocks", "stocks")
+def files_of_even_size(v: Views):
+    path = new_folder(v.spark, "sink_balanced")
+    sinks.write_balanced(v.stocks(), "parquet", path, ("symbol",))
+    return sources.read_files(v.spark, "parquet", path).select("symbol", "date", "price")

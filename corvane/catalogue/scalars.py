@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from corvane.catalogue.registry import query
 from corvane.catalogue.views import Views
-from corvane.functions.dates import age_in_years, parse_date
+from corvane.functions.dates import Clock, age_in_years, parse_date
 from corvane.functions.text import hashtags
 from corvane.plans.movies import with_release_date
 
@@ -215,3 +215,13 @@ def fill_and_drop(v: Views):
     movies = v.movies().select("Title", "IMDB_Rating", "Rotten_Tomatoes_Rating", "Director")
     filled = movies.na.fill(0, ["IMDB_Rating"]).na.fill({"Rotten_Tomatoes_Rating": 10, "Director": "Unknown"})
     return filled.withColumn("complete", F.lit(False)).union(movies.na.drop().withColumn("complete", F.lit(True)))
+
+
+@query(
+    "fn_clock",
+    """SELECT s_suppkey, '2024-02-29' AS today, '2024-02-29 23:30:15' AS now FROM supplier""",
+)
+def one_clock_for_a_job(v: Views):
+    stamped = Clock.at("2024-03-01T00:30:15+01:00").stamped(v.table("supplier").select("s_suppkey"))
+    now = F.date_format("current_timestamp", "yyyy-MM-dd HH:mm:ss").alias("now")
+    return stamped.select("s_suppkey", F.col("current_date").cast("string").alias("today"), now)

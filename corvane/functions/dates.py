@@ -2,12 +2,49 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _now() -> datetime.datetime:
+    return datetime.datetime.now(datetime.UTC)
+
+
+@dataclass(frozen=True)
+class Clock:
+    """The moment a job counts as now, read once and the same in all its columns.
+
+    ``current_timestamp`` is another moment in every query of a job, and when it is
+    run again. A rerun that is given the moment of the first run repeats its result.
+    """
+
+    moment: datetime.datetime = field(default_factory=_now)
+
+    @staticmethod
+    def at(text: str) -> Clock:
+        """The clock of an earlier run, from :meth:`text`; a moment without a zone is in UTC."""
+        moment = datetime.datetime.fromisoformat(text)
+        return Clock(moment if moment.tzinfo else moment.replace(tzinfo=datetime.UTC))
+
+    def text(self) -> str:
+        return self.moment.astimezone(datetime.UTC).isoformat()
+
+    def timestamp(self) -> Column:
+        return F.lit(self.text()).cast("timestamp")
+
+    def date(self) -> Column:
+        """The day in the session's time zone."""
+        return self.timestamp().cast("date")
+
+    def stamped(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``current_date`` and ``current_timestamp`` of this clock."""
+        return df.withColumns({"current_date": self.date(), "current_timestamp": self.timestamp()})
+
+
 def parse_date(text: Column, formats: Sequence[str]) -> Column:
     """The date by the first format that fits, null if none does.
 

@@ -37,3 +37,18 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite",
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
     """Snappy Parquet, in ``files`` files or as many as there are partitions."""
     write_files(_in_files(df, files), "parquet", path, mode)
+
+
+def write_balanced(
+    df: DataFrame, target: str, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite", **options
+) -> None:
+    """Files near the advisory size of adaptive execution, whatever the sizes of the partitions.
+
+    The rows are dealt out anew, by the partition columns where there are any, and
+    adaptive execution merges small parts and splits large ones, also that of a
+    hot partition value. No number of files has to be guessed.
+    """
+    if mode.lower() not in SAVE_MODES:
+        raise ValueError(f"mode must be one of {SAVE_MODES}")
+    dealt = df.hint("rebalance", *partition_by)
+    dealt.write.format(target).mode(mode).options(**options).partitionBy(*partition_by).save(path)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvane.scratch import new_folder
+
 Schema = T.StructType | str | None
 PARSE_MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
@@ -46,6 +50,98 @@ def read_csv(
     return read_files(spark, "csv", path, schema, sep=sep, header=header, **options)
 
 
+CORRUPT = "corrupt_record"
+
+
+def read_parted(
+    spark: SparkSession, source: str, path: str | list[str], schema: T.StructType | str, **options
+) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects) of text files, in one pass over them.
+
+    Rejects have the columns of ``schema``, null where the text does not fit, the
+    whole text as ``corrupt_record`` and the ``file`` it stands in. Good and rejected
+    rows together are the records of the files. Both are written to the shared
+    folder in the same job, and what follows reads only the one it needs.
+    """
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    full = T.StructType([*wanted.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT} | options
+    rows = read_files(spark, source, path, full, **options)
+    bad = F.col(CORRUPT).isNotNull()
+    folder = new_folder(spark, "parted")
+    marked = rows.withColumn("file", F.when(bad, F.input_file_name())).withColumn("rejected", bad)
+    marked.write.partitionBy("rejected").parquet(folder)
+    fields = [*full.fields, T.StructField("file", T.StringType()), T.StructField("rejected", T.BooleanType())]
+    both = spark.read.schema(T.StructType(fields)).parquet(folder)
+    return both.where("NOT rejected").select(*wanted.names), both.where("rejected").select(*full.names, "file")
+
+
+def infer_json(spark: SparkSession, path: str | list[str]) -> tuple[T.StructType, int]:
+    """(schema that fits every record, number of lines that are no JSON object) of files with one record per line.
+
+    All rows are read, once: every task widens the types it meets, and the
+    partial results are merged like any aggregate. A field that stands only in the last
+    file is part of the schema.
+    """
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    parsed = lines.select(F.try_parse_json("value").alias("record"))
+    kind = F.when(F.schema_of_variant("record").startswith("OBJECT"), F.col("record"))
+    row = parsed.select(kind.alias("record")).agg(
+        F.schema_of_variant_agg("record").alias("shape"), F.count_if(F.col("record").isNull()).alias("odd")
+    ).first()
+    shape = row["shape"]
+    if not shape.startswith("OBJECT"):
+        return T.StructType(), row["odd"]
+    ddl = re.sub(r"(^|: |ARRAY<)OBJECT<", r"\1STRUCT<", shape)
+    ddl = re.sub(r"(: |ARRAY<)(VOID|VARIANT)(?=[,>])", r"\1STRING", ddl)  # nulls only, or values that differ in kind
+    return _plain(T._parse_datatype_string(ddl)), row["odd"]
+
+
+def _plain(kind: T.DataType) -> T.DataType:
+    """Decimals, as which fractions are met in variants, as doubles."""
+    if isinstance(kind, T.DecimalType):
+        return T.DoubleType()
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_plain(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(field.name, _plain(field.dataType)) for field in kind])
+    return kind
+
+
+# Narrowest first; a column gets the first type that all its values fit.
+CSV_TYPES = ("int", "bigint", "double", "boolean", "date", "timestamp")
+
+
+def infer_csv(spark: SparkSession, path: str | list[str], sep: str = ",", header: bool = True, **options) -> T.StructType:
+    """The schema that fits every row of delimited files, from one pass over all of them.
+
+    Per column an aggregate says which types all values fit, so partial results
+    merge; a column without any value is text.
+    """
+    text = read_csv(spark, path, sep=sep, header=header, **options)
+
+    def fit(name: str, kind: str) -> Column:
+        value = F.col(f"`{name}`")
+        fitting = value.try_cast(kind).isNotNull()
+        if kind == "date":  # a cast would cut a time of day off
+            fitting &= F.char_length(F.trim(value)) <= 10
+        return fitting | value.isNull()
+
+    fits = [
+        F.bool_and(fit(name, kind)).alias(f"{at}_{kind}")
+        for at, name in enumerate(text.columns)
+        for kind in CSV_TYPES
+    ]
+    filled = [F.count(f"`{name}`").alias(f"{at}_values") for at, name in enumerate(text.columns)]
+    row = text.agg(*filled, *fits).first()
+    kinds = [
+        next((kind for kind in CSV_TYPES if row[f"{at}_values"] and row[f"{at}_{kind}"]), "string")
+        for at in range(len(text.columns))
+    ]
+    named = zip(text.columns, kinds, strict=True)
+    return T.StructType([T.StructField(name, T._parse_datatype_string(kind)) for name, kind in named])
+
+
 def read_posts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The tab-separated posts source, typed; a value that does not fit is null."""
     return read_csv(spark, path, POSTS_SCHEMA, sep="\t", mode="PERMISSIVE")
@@ -68,11 +164,6 @@ def read_by_extension(
     return read_files(spark, source, path, schema, **options)
 
 
-def infer_once(spark: SparkSession, path: str | list[str], sample: str | list[str], **options) -> DataFrame:
-    """Infer the JSON schema from the files of ``sample`` and enforce it on ``path``."""
-    return read_json(spark, path, read_json(spark, sample, **options).schema, **options)
-
-
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per line, column ``value``."""
     return spark.read.text(path)

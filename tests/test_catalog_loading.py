@@ -47,6 +47,63 @@ def test_saving_replaces_or_appends(spark, database):
     assert catalog.save_table(spark.range(2), table, mode="append").count() == 7
 
 
+def ids(df):
+    return sorted(row.id for row in df.collect())
+
+
+def test_a_refresh_is_one_change(spark, database, monkeypatch):
+    table = f"{database}.t"
+    catalog.save_table(spark.range(3), table)
+    seen = []
+    point = catalog._point
+
+    def spied(*given):
+        seen.append(ids(spark.table(table)))  # the new rows are written, the table is not changed yet
+        point(*given)
+        seen.append(ids(spark.table(table)))
+
+    monkeypatch.setattr(catalog, "_point", spied)
+    before = spark.table(table)
+    catalog.save_table(spark.range(5, 7), table)
+    assert seen == [[0, 1, 2], [5, 6]]
+    assert ids(before) == [0, 1, 2] and ids(spark.table(table)) == [5, 6]
+    catalog.refresh_table(spark.range(9, 10), table)
+    assert ids(spark.table(table)) == [9] and catalog.table_kind(spark, table) == "MANAGED"
+    assert catalog.remove_old_versions(spark, table) == 1
+    assert ids(spark.table(table)) == [9] and catalog.remove_old_versions(spark, table) == 0
+
+
+@pytest.mark.parametrize("step", ["write", "switch", "after"])
+def test_a_refresh_that_fails_leaves_one_state(spark, database, monkeypatch, step):
+    table = f"{database}.t"
+    catalog.save_table(spark.range(3), table)
+    new = spark.range(5, 7)
+    point = catalog._point
+    if step == "write":
+        new = new.selectExpr("CASE WHEN id = 6 THEN cast(raise_error('lost') AS bigint) ELSE id END AS id")
+    else:
+
+        def failing(*given):
+            if step == "after":
+                point(*given)
+            raise RuntimeError("lost")
+
+        monkeypatch.setattr(catalog, "_point", failing)
+    with pytest.raises(Exception, match="lost"):
+        catalog.refresh_table(new, table)
+    assert ids(spark.table(table)) == ([5, 6] if step == "after" else [0, 1, 2])
+    monkeypatch.setattr(catalog, "_point", point)
+    assert ids(catalog.refresh_table(spark.range(1), table)) == [0]
+
+
+def test_a_refresh_keeps_the_columns(spark, database):
+    table = f"{database}.t"
+    catalog.save_table(spark.range(3), table)
+    with pytest.raises(ValueError, match="other columns"):
+        catalog.refresh_table(spark.range(3).selectExpr("cast(id AS string) AS id"), table)
+    assert catalog.save_table(spark.range(2).selectExpr("id", "'x' AS more"), table).columns == ["id", "more"]
+
+
 def test_transfer_to_views_or_tables(spark, database):
     tables = {"staff_a": spark.range(2), "staff_b": spark.range(4)}
     views = catalog.transfer_tables(spark, tables.get, tables)

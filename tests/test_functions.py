@@ -152,3 +152,14 @@ def test_fields(spark):
     df = spark.createDataFrame([('"a, b",c\r\n,d',), ("x",), ("1,2,3,4,5",), (None,)], "line string")
     rows = [tuple(r) for r in df.select(*lines.fields_by_name(F.col("line"), ["p", "q", "r", "s"])).collect()]
     assert rows == [("a", " b", "c", "d"), ("x", None, None, None), ("1", "2", "3", "4"), (None, None, None, None)]
+
+
+def test_clock_is_read_once(spark):
+    clock = dates.Clock()
+    again = dates.Clock.at(clock.text())
+    rows = [each.stamped(spark.range(3)).collect() for each in (clock, again)]
+    assert rows[0] == rows[1] and len({row.current_timestamp for row in rows[0]}) == 1
+    assert dates.Clock.at("2024-01-02T03:04:05").text() == "2024-01-02T03:04:05+00:00"
+    shown = dates.Clock.at("2024-01-02T03:04:05.25+02:00").stamped(spark.range(1))
+    shown = shown.selectExpr("current_date", "cast(current_timestamp AS string) AS now")
+    assert [str(value) for value in shown.first()] == ["2024-01-02", "2024-01-02 01:04:05.25"]

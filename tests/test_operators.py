@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.operators import joins
+from corvane.operators import aggregates, joins
 from corvane.operators.aggregates import correlation, distinct_by, row_with_least, whole_mean
 from corvane.operators.ordering import sample_distinct, sorted_down, top_rows
 
@@ -220,3 +220,14 @@ def test_sample_shuffles_the_distinct_rows_once(spark, plan_of):
 def test_struct_types_of_pairs(players, guitars):
     pairs = joins.membership_full_join(players, guitars, "guitars", "id", "guitarId")
     assert [type(f.dataType) for f in pairs.schema] == [T.StructType, T.StructType]
+
+
+def test_stored_sketches_merge(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("id % 7 AS day", "id * 13 % 5000 AS who")
+    aggregates.stored_sketches(rows, "who", "day").write.parquet(str(tmp_path / "sketches"))
+    stored = spark.read.parquet(str(tmp_path / "sketches"))
+    for days in ((0,), (1, 2, 3), tuple(range(7))):
+        exact = rows.where(F.col("day").isin(*days)).select("who").distinct().count()
+        found = aggregates.merged_estimate(stored.where(F.col("day").isin(*days))).first()["estimate"]
+        assert abs(found - exact) <= 3 * 0.016 * exact
+    assert aggregates.merged_estimate(stored.where("day > 90")).first()["estimate"] == 0

@@ -36,12 +36,58 @@ def test_parse_modes_of_json(spark, tmp_path, values):
         files.read_json(spark, path, schema, mode="lenient")
 
 
-def test_captured_schema_is_enforced(spark, tmp_path):
-    sample = put(tmp_path / "one.json", '{"a": 1, "b": "x"}\n')
-    rest = put(tmp_path / "two.json", '{"a": 2, "c": true}\n')
-    df = files.infer_once(spark, [sample, rest], sample=sample)
-    assert df.columns == ["a", "b"]
-    assert sorted(map(tuple, df.collect())) == [(1, "x"), (2, None)]
+def test_inferred_json_covers_every_file(spark, tmp_path):
+    (tmp_path / "parts").mkdir()
+    put(tmp_path / "parts" / "one.json", '{"a": 1, "b": "x", "n": {"p": [1]}}\n[1, 2]\n{"a": 3\n\n')
+    put(tmp_path / "parts" / "two.json", '{"a": 2.5, "n": {"p": [], "q": null}, "d": "2020-01-01", "u": true}\n{"u": 3}\n')
+    schema, odd = files.infer_json(spark, str(tmp_path / "parts"))
+    assert odd == 2
+    assert schema.simpleString() == "struct<a:double,b:string,d:string,n:struct<p:array<bigint>,q:string>,u:string>"
+    good, rejects = files.read_parted(spark, "json", str(tmp_path / "parts"), schema)
+    assert sorted((row.a or 0, row.u or "") for row in good.collect()) == [(0, "3"), (1, ""), (2.5, "true")]
+    assert sorted(row.corrupt_record for row in rejects.collect()) == ["[1, 2]", '{"a": 3']
+    empty = put(tmp_path / "none.json", "\n")
+    assert files.infer_json(spark, empty) == (files.T.StructType(), 0)
+
+
+def test_inferred_csv_covers_every_file(spark, tmp_path):
+    (tmp_path / "parts").mkdir()
+    head = "i,l,d,b,day,at,t,none\n"
+    put(tmp_path / "parts" / "one.csv", head + "1,2,3,true,2020-01-02,2020-01-02 03:04:05,5,\n")
+    put(tmp_path / "parts" / "two.csv", head + "2,5000000000,.5,false,2021-01-02,2020-01-02,x,\n,,,,,,,\n")
+    schema = files.infer_csv(spark, str(tmp_path / "parts"))
+    assert [field.dataType.simpleString() for field in schema] == [
+        "int", "bigint", "double", "boolean", "date", "timestamp", "string", "string",
+    ]
+    assert files.read_csv(spark, str(tmp_path / "parts"), schema, mode="FAILFAST").count() == 3
+
+
+def test_good_and_rejected_rows_are_all_lines(spark, tmp_path, values):
+    lines = ["1,a", "x,b", "3,c,more", "4", "5,", '"6,d']
+    path = put(tmp_path / "rows.csv", "n,t\n" + "\n".join(lines) + "\n")
+    good, rejects = files.read_parted(spark, "csv", path, "n int, t string", header=True)
+    rejected = [row.corrupt_record for row in rejects.collect()]
+    assert sorted(rejected) == ['"6,d', "3,c,more", "4", "x,b"]
+    assert good.count() + len(rejected) == len(lines) and good.columns == ["n", "t"]
+    assert {row.file.rsplit("/", 1)[-1] for row in rejects.collect()} == {"rows.csv"}
+    assert rejects.where("corrupt_record = 'x,b'").select("n", "t").first() == (None, "b")
+    (tmp_path / "gone").mkdir()
+    os.rename(path, tmp_path / "gone" / "rows.csv")  # both were read in one pass, and are kept
+    assert good.count() + rejects.count() == len(lines)
+
+
+def test_balanced_files_under_a_hot_value(spark, tmp_path, setting):
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    rows = spark.range(0, 120_000, 1, 16).selectExpr("if(id % 10 < 8, 'hot', concat('k', id % 5)) AS k", "uuid() AS v")
+    path = str(tmp_path / "balanced")
+    sinks.write_balanced(rows, "parquet", path, ("k",))
+    sizes = {}
+    for folder, _, names in os.walk(path):
+        sizes |= {os.path.join(folder, name): os.path.getsize(os.path.join(folder, name)) for name in names if name.endswith(".parquet")}
+    hot = [size for name, size in sizes.items() if "k=hot" in name]
+    assert len(hot) > 5 and max(hot) < 4 * sum(hot) / len(hot)
+    assert len(sizes) - len(hot) < 16  # the source has 16 partitions that hold each of the five other values
+    assert spark.read.parquet(path).count() == 120_000
 
 
 def test_json_quotes_and_dates(spark, tmp_path):
