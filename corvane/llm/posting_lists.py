@@ -36,6 +36,7 @@ SAMPLE_VALUES = 1 << 22  # numbers in the sample that the clusters are fitted on
 EDGE, COPIES = 1.05, 3  # a vector also goes into lists up to EDGE times as far, COPIES lists at most
 RECALL = 0.98  # of the sample's neighbours that the selected lists hold
 JUDGES = 256  # vectors of the sample that the ratio is fitted with
+FIRST = 2  # nearest lists, searched before the others
 BLOCK = 512  # classes of a list, or queries of a list, in one block
 SALTS = 16
 
@@ -163,7 +164,7 @@ def postings(classes: DataFrame, index: Index) -> DataFrame:
 
 
 def selections(asked: DataFrame, index: Index, least: int) -> DataFrame:
-    """(list, query, vector) of every query, once per list selected for it.
+    """(list, query, place, vector) of every query, once per list selected for it, ``place`` counting its lists.
 
     Lists are taken in order of distance up to the ratio, and on until they
     hold ``least`` entries.
@@ -184,12 +185,12 @@ def selections(asked: DataFrame, index: Index, least: int) -> DataFrame:
                     break
                 reach = min(2 * reach, len(known.sizes))
             taken = batch.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(numbers.astype(np.int32)), *taken.columns], names=["list", "query", "vector"]
-            )
+            place = (np.arange(len(rows)) - np.searchsorted(rows, rows)).astype(np.int32)
+            columns = [pa.array(numbers.astype(np.int32)), taken.column(0), pa.array(place), taken.column(1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["list", "query", "place", "vector"])
 
     return asked.select("query", "vector").mapInArrow(
-        batches, f"list int, query bigint, vector {dict(asked.dtypes)['vector']}"
+        batches, f"list int, query bigint, place int, vector {dict(asked.dtypes)['vector']}"
     )
 
 
@@ -208,22 +209,26 @@ def in_order(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return total
 
 
-def _best_in_block(queries: np.ndarray, vectors: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vector, score) that hold the ``most`` largest inner products of each query, ties included."""
+def _best_in_block(
+    queries: np.ndarray, vectors: np.ndarray, bounds: np.ndarray, most: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vector, score) of the ``most`` largest inner products of each query that reach its bound, ties included."""
     rough = queries @ vectors.T
     place = max(rough.shape[1] - most, 0)
-    bound = np.partition(rough, place, axis=1)[:, place]
+    least = np.maximum(np.partition(rough, place, axis=1)[:, place], bounds)
     slack = 1e-12 * np.linalg.norm(queries, axis=1) * np.linalg.norm(vectors, axis=1).max()
-    rows, columns = np.nonzero(rough >= (bound - slack)[:, None])
-    return rows, columns, in_order(queries[rows], vectors[columns])
+    rows, columns = np.nonzero(rough >= (least - slack)[:, None])
+    scores = in_order(queries[rows], vectors[columns])
+    reached = scores >= bounds[rows]
+    return rows[reached], columns[reached], scores[reached]
 
 
 def searched(posted: DataFrame, selected: DataFrame, most: int) -> DataFrame:
-    """(query, class, first, score): the best of every block, at least ``most`` where it has so many."""
+    """(query, class, first, score): of every block the ``most`` best that reach the query's ``bound``."""
     sizes = posted.groupBy("list").agg(F.count(F.lit(1)).alias("size"))
     asked = selected.groupBy("list").agg(F.count(F.lit(1)).alias("size"))
     lists = _blocks(posted, "class", sizes, "entries", "class", "first", "vector").drop("block")
-    questions = _blocks(selected, "query", asked, "questions", "query", "vector").drop("block")
+    questions = _blocks(selected, "query", asked, "questions", "query", "bound", "vector").drop("block")
     # Blocks are large rows: merged after a shuffle, never broadcast, and split where a list is hot.
     met = lists.hint("merge").join(questions, "list").select("entries", "questions")
     first = dict(posted.dtypes)["first"]
@@ -233,7 +238,9 @@ def searched(posted: DataFrame, selected: DataFrame, most: int) -> DataFrame:
             for at in range(batch.num_rows):
                 entries, questions = batch.column(0)[at].values, batch.column(1)[at].values
                 vectors = flat(entries.field("vector"), len(entries))
-                rows, columns, scores = _best_in_block(flat(questions.field("vector"), len(questions)), vectors, most)
+                asked = flat(questions.field("vector"), len(questions))
+                bounds = questions.field("bound").to_numpy(zero_copy_only=False)
+                rows, columns, scores = _best_in_block(asked, vectors, bounds, most)
                 columns = pa.array(columns)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -254,6 +261,21 @@ def _top(rows: DataFrame, tie: str, most: int) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
 
 
+def _in_two_rounds(posted: DataFrame, selected: DataFrame, most: int) -> DataFrame:
+    """:func:`searched` over all selected lists.
+
+    The ``most``-th best score in a query's FIRST nearest lists is a bound that
+    answers from its other lists have to reach, so few rows leave their blocks.
+    """
+    early = selected.filter(F.col("place") < FIRST).withColumn("bound", F.lit(float("-inf")))
+    early = written(searched(posted, early, most), "early")
+    ranked = _top(early.distinct(), "first", most)
+    bounds = ranked.filter(F.col("place") == most).select("query", F.col("score").alias("bound"))
+    late = selected.filter(F.col("place") >= FIRST).join(bounds, "query", "left")
+    late = late.withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+    return early.unionByName(searched(posted, late, most))
+
+
 def nearest(
     rows: DataFrame,
     id_col: str = "vec_id",
@@ -291,7 +313,7 @@ def nearest(
     asked = written(queries.select("vector").distinct().select(F.monotonically_increasing_id().alias("query"), "vector"),
                     "asked")
     selected = written(selections(asked, index, COPIES * (most + 1)), "selected")
-    found = written(searched(posted, selected, most + 1), "found").distinct()
+    found = written(_in_two_rounds(posted, selected, most + 1), "found").distinct()
     best = _top(found, "first", most + 1).join(classes.select("class", "ids"), "class")
     hits = _top(best.select("query", "score", F.explode("ids").alias("vec_id")), "vec_id", most + 1)
     hits = hits.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("hits"))
