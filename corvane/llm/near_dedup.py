@@ -8,8 +8,9 @@ later j can lower any, so most sets stop after one or two steps.
 Texts with equal sets form one class, and only classes are compared. Classes
 that share a band key are candidates. No pairs are listed within a bucket: its
 members are compared to one pivot, and what that comparison tells bounds the
-similarity of any two members, so that only few further pairs have to be
-compared (:func:`open_pairs`). Every link is confirmed on the full sets.
+similarity of any two members. Members that the pivot says little about meet
+pivots of their own first (:func:`rest_buckets`), so that only few further pairs
+have to be compared (:func:`open_pairs`). Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from corvane.llm.tables import id_and_text, ship, written
 
 BANDS, ROWS = 24, 4
 LARGE, COMMON_SHARE = 16, 20  # members of a large group; a shingle is common when one in so many holds it
+RESTS = 4  # buckets of a member apart from its pivot
 ASKED = 100  # members of a large group that are asked what is common in it
 Measure = Callable[[DataFrame], DataFrame]
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -215,27 +217,62 @@ def _widened(tagged: DataFrame) -> DataFrame:
     what they were made from, which all others share; with those shingles added, what
     is left over are the members' own edits. About ``ASKED`` members per pivot
     are enough to tell what is common; which set comes out only matters for speed.
+    So does the order of ``rare``, which is the same for all members of a pivot:
+    what no two of these members share comes first, then the rarer before the
+    more frequent, so that prefixes have little in common by chance.
     """
     large = _per_pivot(tagged, F.count(F.lit(1)).alias("members")).filter(f"members >= {LARGE}")
     large = large.withColumn("every", F.expr(f"greatest(1, members div {ASKED})"))
     asked = tagged.join(large, "pivot").filter("pmod(xxhash64(doc_id), every) = 0")
     held = asked.select("pivot", "members", "every", F.explode("rare").alias("shingle"))
-    hot = (
+    held = (
         held.groupBy("pivot", "shingle")
         .agg(F.count(F.lit(1)).alias("holders"), F.max("members").alias("members"), F.max("every").alias("every"))
-        .filter(f"{COMMON_SHARE} * holders * every >= members")
+        .filter("holders > 1")
+        .withColumn("common", F.expr(f"{COMMON_SHARE} * holders * every >= members"))
     )
-    hot = _per_pivot(hot, F.collect_list("shingle").alias("hot"))  # at most COMMON_SHARE times a member's mean list
-    left = F.array_except("rare", F.coalesce("hot", F.array().cast("array<bigint>")))
+    told = _per_pivot(  # at most the lists of the members asked
+        held,
+        F.collect_list(F.expr("CASE WHEN common THEN shingle END")).alias("hot"),
+        F.array_sort(F.collect_list(F.expr("CASE WHEN NOT common THEN struct(holders, shingle) END"))).alias("known"),
+    )
+    told = told.withColumn("known", F.transform("known", lambda each: each["shingle"]))
+    none = F.array().cast("array<bigint>")
+    hot, known = F.coalesce("hot", none), F.coalesce("known", none)
     return (
-        tagged.join(hot, "pivot", "left")
-        .withColumn("left_over", left)
+        tagged.join(told, "pivot", "left")
+        .withColumn("left_over", F.array_except("rare", hot))
         .withColumn("i", F.expr("i + size(rare) - size(left_over)"))
-        .drop("rare", "hot")
-        .withColumnRenamed("left_over", "rare")
+        .withColumn("rare", F.concat(F.array_except("left_over", known), F.array_intersect(known, "left_over")))
+        .drop("hot", "known", "left_over")
+    )
+
+
+def _tagged(stats: DataFrame, groups: DataFrame) -> DataFrame:
+    """The members with ``own``, their group, and ``apart``, whether their pivot is in another one."""
+    group = groups.select(F.col("node").alias("doc_id"), "component")
+    of_pivot = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_group"))
+    return (
+        stats.join(group, "doc_id", "left")
+        .join(of_pivot, "pivot", "left")
+        .withColumn("own", F.coalesce("component", "doc_id"))
+        .withColumn("apart", F.col("own") != F.coalesce("pivot_group", "pivot"))
+        .select("pivot", "doc_id", "n", "i", "rare", "own", "apart")
     )
 
 
+def rest_buckets(stats: DataFrame, groups: DataFrame) -> DataFrame:
+    """(key, doc_id) of the members apart from their pivot, by MinHash of what the pivot lacks.
+
+    A family of copies beside the pivot's own shares most of that. Its members meet a
+    pivot of their own in such a bucket, and few pairs of them are left open.
+    """
+    apart = _tagged(stats, groups).filter("apart AND size(rare) > 0")
+    least = [F.array_min(F.transform("rare", lambda rest, at=at: F.xxhash64(rest, F.lit(at)))) for at in range(RESTS)]
+    keys = [F.xxhash64("pivot", F.lit(at), key) for at, key in enumerate(least)]
+    return apart.select(F.explode(F.array(*keys)).alias("key"), "doc_id").distinct()
+
+
 def open_pairs(stats: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of members of one pivot that may be linked, lie in different groups and
     have not been compared.
@@ -250,16 +287,7 @@ def open_pairs(stats: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     alone reaches the need. At least one of two members in different groups is
     outside the pivot's group, and only such members are looked up.
     """
-    group = groups.select(F.col("node").alias("doc_id"), "component")
-    of_pivot = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_group"))
-    tagged = (
-        stats.join(group, "doc_id", "left")
-        .join(of_pivot, "pivot", "left")
-        .withColumn("own", F.coalesce("component", "doc_id"))
-        .withColumn("apart", F.col("own") != F.coalesce("pivot_group", "pivot"))
-        .select("pivot", "doc_id", "n", "i", "rare", "own", "apart")
-    )
-    tagged = written(_widened(written(tagged, "compared")), "widened")
+    tagged = written(_widened(written(_tagged(stats, groups), "compared")), "widened")
     sizes = _per_pivot(tagged, F.count(F.lit(1)).alias("members"), F.max("apart").alias("some_apart"))
     several = sizes.filter("members > 1 AND some_apart").select("pivot")
     prefix = f"cast(n - ceil(n * {percent} / 100) + 1 as int)"
@@ -312,10 +340,15 @@ def link_buckets(
     ``content`` holds (doc_id, content); ``measure`` compares two contents.
     """
     stats = written(compared(written(pivots_of(buckets), "pivots"), content, measure), "stats")
-    links = stats.filter(f"100 * i >= {percent} * (n + m - i)").select(
-        F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
-    )
-    pairs = written(open_pairs(stats, written(components(links), "groups"), percent), "pairs")
+
+    def linked(rows: DataFrame) -> DataFrame:
+        ends = F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
+        return rows.filter(f"100 * i >= {percent} * (n + m - i)").select(*ends)
+
+    families = rest_buckets(stats, written(components(linked(stats)), "groups"))
+    again = compared(written(pivots_of(families), "family-pivots"), content, measure)
+    links = written(linked(stats).unionByName(linked(again)), "pivot-links")
+    pairs = written(open_pairs(stats, written(components(links), "families"), percent), "pairs")
     return links.unionByName(confirmed(pairs, content, percent, measure))
 
 
