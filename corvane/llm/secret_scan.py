@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,42 +32,98 @@ TRAINING_DOCUMENTS = 4000
 DIGESTS = 4
 THRESHOLD = 1.5
 
-_MATCHES = "array<struct<start:bigint,stop:bigint,value:string>>"
+_MATCH = "struct<start:bigint,stop:bigint,value:string>"
+_MATCHES = f"array<{_MATCH}>"
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(numbers: Column, combine: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+    """For each of some numbers, the combination of all up to it: running sums or maxima.
+
+    Appending to an array copies it, so the array is folded in pieces of a
+    length that is the root of its own, and so are the totals of the pieces.
+    """
+    zero = F.lit(0).cast("long")
+
+    def folded(part: Column, first: Column) -> Column:
+        grown = F.aggregate(
+            part, F.array(first), lambda done, number: F.concat(done, F.array(combine(F.element_at(done, -1), number)))
+        )
+        return F.slice(grown, F.lit(2), F.size(part))
+
+    def whole(values: Column) -> Column:
+        length = F.greatest(F.size(values), F.lit(1))
+        step = F.ceil(F.pow(length, F.lit(1 / levels))).cast("int")
+        starts = F.sequence(F.lit(1), length, step)
+        return _bound(F.transform(starts, lambda at: F.slice(values, at, step)), carried)
+
+    def carried(parts: Column) -> Column:
+        totals = F.transform(parts, lambda part: F.aggregate(part, zero, combine))
+        before = F.concat(F.array(zero), running(totals, combine, levels - 1))
+        return F.flatten(F.zip_with(parts, F.slice(before, F.lit(1), F.size(parts)), folded))
+
+    return _bound(numbers, whole) if levels > 1 else folded(numbers, zero)
 
 
 def located(text: Column, pattern: str) -> Column:
     """Leftmost, non-overlapping matches with their code point offsets, end exclusive."""
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(
-        values,
-        F.slice(gaps, F.lit(1), F.size(values)),
-        lambda value, gap: F.struct(
-            F.length(gap).cast("long").alias("gap"), F.length(value).cast("long").alias("size"), value.alias("value")
-        ),
-    )
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_MATCHES).alias("out"))
-    found = F.aggregate(
-        pairs,
-        start,
-        lambda done, pair: F.struct(
-            (done["at"] + pair["gap"] + pair["size"]).alias("at"),
-            F.concat(
-                done["out"],
-                F.array(
-                    F.struct(
-                        (done["at"] + pair["gap"]).alias("start"),
-                        (done["at"] + pair["gap"] + pair["size"]).alias("stop"),
-                        pair["value"].alias("value"),
-                    )
-                ),
-            ).alias("out"),
-        ),
-        lambda done: done["out"],
-    )
+
+    def placed(values: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(values))
+        steps = F.zip_with(values, gaps, lambda value, gap: (F.length(gap) + F.length(value)).cast("long"))
+        return F.zip_with(
+            values,
+            running(steps, lambda done, step: done + step),
+            lambda value, stop: F.struct((stop - F.length(value)).alias("start"), stop.alias("stop"), value.alias("value")),
+        )
+
+    found = _bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_MATCHES))
 
 
+def apart(matches: Column, taken: Column) -> Column:
+    """Those of some matches, in order and none overlapping another, that overlap none of ``taken``.
+
+    Walks through the starts of ``taken`` and the ends of the matches in their
+    order: a match is free when nothing that began before its end goes beyond
+    its start.
+    """
+
+    def event(match: Column, taking: bool) -> Column:
+        value = F.lit(None).cast("string") if taking else match["value"]
+        return F.struct(
+            (match["start"] if taking else match["stop"]).alias("at"),
+            F.lit(taking).alias("taking"),  # at one place, ends of matches come first
+            match["start"].alias("start"),
+            match["stop"].alias("stop"),
+            value.alias("value"),
+        )
+
+    def freed(events: Column) -> Column:
+        ends = F.transform(events, lambda each: F.when(each["taking"], each["stop"]).otherwise(F.lit(0).cast("long")))
+        reached = F.zip_with(
+            events,
+            running(ends, lambda done, end: F.greatest(done, end)),
+            lambda each, reach: F.struct(
+                (~each["taking"] & (reach <= each["start"])).alias("free"),
+                F.struct(each["start"], each["stop"], each["value"]).cast(_MATCH).alias("match"),
+            ),
+        )
+        return F.transform(F.filter(reached, lambda each: each["free"]), lambda each: each["match"])
+
+    def merged(known: Column) -> Column:
+        events = F.concat(
+            F.transform(known, lambda match: event(match, False)), F.transform(taken, lambda match: event(match, True))
+        )
+        return F.when(F.size(known) == 0, known).otherwise(_bound(F.array_sort(events), freed))
+
+    return _bound(matches, merged)
+
+
 def base_matches(texts: DataFrame) -> DataFrame:
     """Adds the arrays ``assign``, ``access`` and ``hex`` to (doc_id, text)."""
     long_enough = lambda match: F.length(F.regexp_extract(match["value"], ASSIGN, 2)) >= ASSIGN_LENGTH
@@ -110,6 +167,16 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return ordinary.withColumn("random", F.lit(False)).unionByName(made.withColumn("random", F.lit(True)))
 
 
+def _characters(value: Column) -> Column:
+    return F.split(value, "")
+
+
+def _neighbours(values: Column) -> tuple[Column, Column]:
+    """The array without its last, and without its first element."""
+    fewer = F.greatest(F.size(values) - 1, F.lit(0))
+    return F.slice(values, F.lit(1), fewer), F.slice(values, F.lit(2), fewer)
+
+
 def train(samples: DataFrame, smoothing: float = 2.0) -> list[float]:
     """Log-likelihood ratio of each transition, at index first * 128 + second.
 
@@ -117,8 +184,8 @@ def train(samples: DataFrame, smoothing: float = 2.0) -> list[float]:
     second one occurs at all, with the weight of ``smoothing`` transitions.
     Characters outside ASCII are left out; without samples every ratio is 0.
     """
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.length("sample") - 1), lambda at: F.substring(F.col("sample"), at, F.lit(2))
+    pairs = _bound(
+        _characters(F.col("sample")), lambda each: F.zip_with(*_neighbours(each), lambda one, two: F.concat(one, two))
     )
     counted = (
         samples.filter("length(sample) >= 2")
@@ -152,12 +219,9 @@ def train(samples: DataFrame, smoothing: float = 2.0) -> list[float]:
 def randomness(value: Column, ratios: list[float]) -> Column:
     """Mean log-likelihood ratio of the transitions of an ASCII string."""
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
-    steps = F.transform(
-        F.sequence(F.lit(1), F.length(value) - 1),
-        lambda at: F.get(
-            table,
-            F.ascii(F.substring(value, at, F.lit(1))) * CODES + F.ascii(F.substring(value, at + 1, F.lit(1))),
-        ),
+    steps = _bound(
+        F.transform(_characters(value), F.ascii),
+        lambda codes: F.zip_with(*_neighbours(codes), lambda one, two: F.get(table, one * CODES + two)),
     )
     return F.aggregate(steps, F.lit(0.0), lambda total, step: total + F.coalesce(step, F.lit(0.0))) / F.greatest(
         F.length(value) - 1, F.lit(1)
@@ -183,12 +247,8 @@ def scan(
     if ratios is None:
         ratios = train(labelled_samples(docs, id_col, text_col))
     base = base_matches(id_and_text(docs, id_col, text_col))
-    taken = F.concat("assign", "access", "hex")
-    new = F.filter(
-        located(F.col("text"), CANDIDATE),
-        lambda match: ~F.exists(taken, lambda old: (old["start"] < match["stop"]) & (match["start"] < old["stop"]))
-        & (randomness(match["value"], ratios) > threshold),
-    )
+    free = apart(located(F.col("text"), CANDIDATE), F.concat("assign", "access", "hex"))
+    new = F.filter(free, lambda match: randomness(match["value"], ratios) > threshold)
     return base.select("doc_id", "assign", "access", "hex", new.alias("markov"))
 
 

@@ -1,7 +1,11 @@
+import itertools
 import math
+import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from corvane.llm import secret_scan
 
@@ -44,9 +48,9 @@ def test_base_kinds_match_plain_search(documents, ratios):
 
 
 def test_model_tells_random_from_ordinary(documents, ratios):
-    random = ["wJalrXUtnFEMIK7MDENGbPxRfiCYzKQ8", "9f8Gq2ZpX7LkR4vTnB1yWc6H", "Q7X9ZK3WV8YB2MJ5RT6P"]
+    chance = ["wJalrXUtnFEMIK7MDENGbPxRfiCYzKQ8", "9f8Gq2ZpX7LkR4vTnB1yWc6H", "Q7X9ZK3WV8YB2MJ5RT6P"]
     ordinary = ["internationalizationmanager", "configuration_manager_account", "thequickbrownfoxjumps"]
-    rows = secret_scan.scan(documents(enumerate(random + ordinary)), ratios=ratios).collect()
+    rows = secret_scan.scan(documents(enumerate(chance + ordinary)), ratios=ratios).collect()
     assert {row.doc_id: len(row.markov) for row in rows} == {0: 1, 1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
 
 
@@ -76,3 +80,47 @@ def test_null_ids_repeats_and_native_plan(documents, plan_of, ratios):
     frame = secret_scan.scan(documents([(None, TEXTS[3]), (1, TEXTS[3]), (1, TEXTS[3])]), ratios=ratios)
     assert [len(row.assign) for row in frame.collect()] == [1, 1, 1]
     assert "Python" not in plan_of(frame)
+
+
+def test_overlaps_against_plain_comparison(spark):
+    draw = random.Random(4)
+    rows = []
+    for at in range(300):
+        cuts = sorted(draw.sample(range(60), 2 * draw.randrange(0, 8)))
+        matches = [(start, stop, f"m{start}") for start, stop in zip(cuts[::2], cuts[1::2])]
+        taken = [(start, start + draw.randrange(1, 9), "t") for start in draw.choices(range(60), k=draw.randrange(0, 5))]
+        rows.append((at, matches, taken))
+    frame = spark.createDataFrame(rows, f"at int, matches {secret_scan._MATCHES}, taken {secret_scan._MATCHES}")
+    found = frame.select("at", secret_scan.apart(F.col("matches"), F.col("taken")).alias("free")).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        _, matches, taken = rows[row.at]
+        free = [m for m in matches if not any(t[0] < m[1] and m[0] < t[1] for t in taken)]
+        assert [tuple(m) for m in row.free] == free
+
+
+def test_running_values(spark):
+    rows = [(n, [(7 * at + n) % 23 for at in range(n)]) for n in (0, 1, 2, 3, 4, 5, 16, 17, 99, 1000)]
+    frame = spark.createDataFrame(rows, "n int, numbers array<bigint>")
+    sums = secret_scan.running(F.col("numbers"), lambda one, two: one + two)
+    highs = secret_scan.running(F.col("numbers"), lambda one, two: F.greatest(one, two))
+    numbers = dict(rows)
+    for row in frame.select("n", sums.alias("sums"), highs.alias("highs")).collect():
+        assert row.sums == list(itertools.accumulate(numbers[row.n]))
+        assert row.highs == list(itertools.accumulate(numbers[row.n], max))
+
+
+@pytest.mark.parametrize("text", [
+    "0123456789abcdef " * 100_000,
+    "x" * 2_000_000,
+    "wJalrXUtnFEMIK7MDENGbPxRfiCYzKQ8 secret=abcdefghijklmnop " * 40_000,
+], ids=["hex", "one run", "both"])
+def test_a_text_takes_time_in_step_with_its_length(documents, ratios, text):
+    """Work that grew with the square of the matches would take many minutes."""
+    frame = secret_scan.scan(documents([(1, text)]), ratios=ratios)
+    begin = time.monotonic()
+    row = frame.select(*(F.size(kind).alias(kind) for kind in secret_scan.KINDS), secret_scan.span_text("hex")).first()
+    assert time.monotonic() - begin < 60
+    assert row.hex == len(base(text)["hex"]) and row.assign == len(base(text)["assign"])
+    alike = ratios[ord("x") * secret_scan.CODES + ord("x")] > secret_scan.THRESHOLD
+    assert row.markov == {"0": 0, "x": int(alike), "w": 40_000}[text[0]]
