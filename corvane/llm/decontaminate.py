@@ -4,16 +4,19 @@ Texts are cut into overlapping passages. Their TF-IDF rows over the words of
 the benchmark are reduced by a randomised singular value decomposition: every
 task multiplies its rows by a random matrix and back, the products add up in a
 grouping, and the decomposition of the small sum gives the latent axes. A
-passage that shares enough informative words with an item is a candidate, and
-one word fewer is enough when its latent vector lies near that of the item: the
-axes alone lose leaks whose passage holds other weighted words too. A
-candidate counts when the longest common subsequence of its words covers
+passage that shares enough informative features with an item is a candidate, and
+one fewer is enough when its latent vector lies near that of the item: the
+axes alone lose leaks whose passage holds other weighted words too. Features are
+words, and pairs of words that follow each other at once or with one word
+between: a paraphrase that swaps an item's rare words keeps pairs of its common
+ones, which are rare even where the words are not. A candidate counts when the longest common subsequence of its words covers
 enough of the item, or a good part of it together with the item's answer words.
 
 What the driver holds is bounded by the benchmark: about 3.5 KB per distinct
 benchmark word while the axes are found (five rows of up to 112 numbers), and
-one row of 96 numbers per 48 words of an item; never anything per document.
-What is broadcast is about 0.4 KB for each, and one number per item and word.
+one row of 96 numbers per 48 words of an item, and one count per distinct pair,
+at most two per word of an item; never anything per document. What is broadcast
+is about 0.4 KB for each word and row, and one number per item and feature.
 """
 
 from __future__ import annotations
@@ -34,8 +37,10 @@ BLOCK = 24  # words; a passage is two neighbouring blocks
 RANK = 96
 OVERSAMPLED = 16
 COSINE = 0.3
-COMMON = 0.003  # a word in a larger share of passages counts only as one of an item's rarest
-SHARED_WORDS = 3  # informative words that a candidate shares with an item, or all it has; one less at COSINE
+COMMON = 0.003  # a feature in a larger share of passages counts only as one of an item's rarest
+FEW = 32  # passages; a pair in no more of them counts however small the corpus
+SHARED = 3  # informative features that a candidate shares with an item, or all its words; one less at COSINE
+PAIR_GAPS = (1, 2)
 LCS_SHARE = 0.7
 ANSWERED_LCS_SHARE = 0.5
 ANSWER_SHARE = 0.6
@@ -72,10 +77,12 @@ class Index:
     axes: np.ndarray
     vectors: np.ndarray  # one latent vector per query row
     owners: np.ndarray  # the item of each query row
-    holders: np.ndarray  # the items that hold a word, word by word; none for words without a weight
-    holder_ends: np.ndarray  # where those of each word end
-    needed: np.ndarray  # informative words that a candidate shares with each item
+    holders: np.ndarray  # the items that hold a feature, one by one, words before pairs; none for common ones
+    holder_ends: np.ndarray  # where those of each feature end
+    needed: np.ndarray  # informative features that a candidate shares with each item
     slots: np.ndarray  # hash table of the words, for quick rejection
+    pairs: np.ndarray  # sorted hashes of the informative pairs
+    pair_slots: np.ndarray
 
 
 def _slots(words: np.ndarray) -> np.ndarray:
@@ -86,6 +93,8 @@ def _slots(words: np.ndarray) -> np.ndarray:
 
 def _looked_up(hashes: np.ndarray, words: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions in ``hashes`` that hold a benchmark word, and which word."""
+    if not len(words):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     at = np.flatnonzero(slots[(hashes >> np.uint64(44)).astype(np.int64)])
     place = np.searchsorted(words, hashes[at])
     place[place == len(words)] = 0
@@ -93,18 +102,45 @@ def _looked_up(hashes: np.ndarray, words: np.ndarray, slots: np.ndarray) -> tupl
     return at[same], place[same]
 
 
+def _paired(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the ordered pairs of near words within a text, and the place of each first word."""
+    ends = np.repeat(np.cumsum(counts), counts)
+    places = [np.flatnonzero(np.arange(gap, len(hashes) + gap) < ends) for gap in PAIR_GAPS]
+    mixed = [
+        ((hashes[at] ^ (hashes[at] >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + hashes[at + gap])
+        * np.uint64(0xC2B2AE3D27D4EB4F)
+        for at, gap in zip(places, PAIR_GAPS, strict=True)
+    ]
+    return np.concatenate(mixed), np.concatenate(places)
+
+
 def _cells(run: list[bytes], words: np.ndarray, slots: np.ndarray):
     """The TF-IDF matrix of the passages of some texts, without weights, as sorted cells.
 
     Gives the passage, word and count of each cell, then per text its number of
     words, blocks and first passage.
     """
-    hashes, counts = word_hashes(run)
+    return _word_cells(*word_hashes(run), words, slots)
+
+
+def _word_cells(hashes: np.ndarray, counts: np.ndarray, words: np.ndarray, slots: np.ndarray):
+    return _counted(hashes, np.arange(len(hashes)), counts, words, slots)
+
+
+def _pair_cells(hashes: np.ndarray, counts: np.ndarray, pairs: np.ndarray, slots: np.ndarray):
+    """The passage and pair of each cell of the same passages."""
+    mixed, places = _paired(hashes, counts)
+    return _counted(mixed, places, counts, pairs, slots)[:2]
+
+
+def _counted(hashes: np.ndarray, places: np.ndarray, counts: np.ndarray, words: np.ndarray, slots: np.ndarray):
+    """The cells of features at some places of texts of ``counts`` words."""
     blocks = -(-counts // BLOCK)
     passages = np.where(blocks > 0, np.maximum(blocks - 1, 1), 0)
     firsts = np.cumsum(passages) - passages
     begins = np.cumsum(counts) - counts
-    at, place = _looked_up(hashes, words, slots)
+    held, place = _looked_up(hashes, words, slots)
+    at = places[held]
     text = np.searchsorted(begins + counts, at, side="right")
     block = (at - begins[text]) // BLOCK
     later, earlier = np.minimum(block, passages[text] - 1), np.maximum(block - 1, 0)
@@ -171,14 +207,21 @@ def build_index(texts: DataFrame, items: list[tuple[object, str]], rank: int = R
     place = {vocabulary[at]: row for row, at in enumerate(order)}
     slots = _slots(words)
     size = len(words)
+    spelt = [np.array([words[place[word]] for word in own], dtype=np.uint64) for _, own in worded]
+    item_pairs = [_paired(own, np.array([len(own)])) for own in spelt]
+    pairs = np.unique(np.concatenate([mixed for mixed, _ in item_pairs]))
+    pair_slots = _slots(pairs)
 
     def count(total, run):
-        _, word, _, _, passages, _ = _cells(run, words, slots)
+        hashed = word_hashes(run)
+        _, word, _, _, passages, _ = _word_cells(*hashed, words, slots)
+        _, pair = _pair_cells(*hashed, pairs, pair_slots)
         total[:size, 0] += np.bincount(word, minlength=size)
         total[size, 0] += passages.sum()
+        total[size + 1 :, 0] += np.bincount(pair, minlength=len(pairs))
 
-    held = _summed(texts, lambda: np.zeros((size + 1, 1)), count)[:, 0]
-    frequency, passages = held[:size], held[size]
+    held = _summed(texts, lambda: np.zeros((size + 1 + len(pairs), 1)), count)[:, 0]
+    frequency, passages, pair_frequency = held[:size], held[size], held[size + 1 :]
     weights = (1 + np.log((1 + passages) / (1 + frequency))).astype(np.float32)  # positive also in every passage
     rarest = [
         sorted(set(own), key=lambda word: (frequency[place[word]], word))[:ANSWER_WORDS] for _, own in worded
@@ -215,10 +258,16 @@ def build_index(texts: DataFrame, items: list[tuple[object, str]], rank: int = R
     found, owners = [], []
     parts = []
     holding, needed = [], []
+    own_pairs = [
+        _informative_pairs(np.searchsorted(pairs, mixed), first, own, rare, pair_frequency, COMMON * passages)
+        for (mixed, first), (_, own), rare in zip(item_pairs, worded, rarest, strict=True)
+    ]
+    used = np.unique(np.concatenate(own_pairs)).astype(np.int64)
     for at, (item_id, own) in enumerate(worded):
         informative = sorted({place[word] for word in own if weights[place[word]] > 0})
         holding += [(word, at) for word in informative]
-        needed.append(min(SHARED_WORDS, len(informative)))
+        holding += [(size + pair, at) for pair in np.searchsorted(used, own_pairs[at]).tolist()]
+        needed.append(min(SHARED, len(informative)))
         parts.append(Item(item_id, own, frozenset(rarest[at])))
         step = 2 * BLOCK
         for begin in range(0, max(len(own) - BLOCK, 1), step):
@@ -228,32 +277,47 @@ def build_index(texts: DataFrame, items: list[tuple[object, str]], rank: int = R
             found.append(row @ axes)
             owners.append(at)
     vectors = _unit(np.array(found)).astype(np.float32)
-    by_word = np.array(sorted(holding), dtype=np.int64).reshape(-1, 2)
-    ends = np.searchsorted(by_word[:, 0], np.arange(size), side="right")
+    by_feature = np.array(sorted(holding), dtype=np.int64).reshape(-1, 2)
+    ends = np.searchsorted(by_feature[:, 0], np.arange(size + len(used)), side="right")
     return Index(
-        parts, words, weights, axes.astype(np.float32), vectors, np.array(owners), by_word[:, 1], ends,
-        np.array(needed), slots,
+        parts, words, weights, axes.astype(np.float32), vectors, np.array(owners), by_feature[:, 1], ends,
+        np.array(needed), slots, pairs[used], _slots(pairs[used]),
     )
 
 
+def _informative_pairs(pairs, firsts, words, rare, frequency, common) -> np.ndarray:
+    """The pairs of an item that lead to it: those in few passages, and its rarest without any of its rarest words."""
+    kept = pairs[frequency[pairs] <= max(common, FEW)]
+    plain = np.array([word not in rare for word in words])
+    # Pairs lie one gap after the other, each by the place of its first word.
+    gaps = np.concatenate([np.full(max(len(words) - gap, 0), gap) for gap in PAIR_GAPS])
+    others = np.unique(pairs[plain[firsts] & plain[firsts + gaps]])
+    order = np.lexsort((others, frequency[others]))[:ANSWER_WORDS]
+    return np.unique(np.concatenate([kept, others[order]])).astype(np.int64)
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     lengths = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, lengths, out=np.zeros_like(rows), where=lengths > 1e-12)
 
 
 def candidates(run: list[bytes], index: Index, cosine: float) -> list[tuple[int, int, int, float]]:
-    """(text, first word, item, cosine) of passages that share enough words with an item."""
-    passage, word, number, _, passages, firsts = _cells(run, index.words, index.slots)
+    """(text, first word, item, cosine) of passages that share enough features with an item."""
+    hashed = word_hashes(run)
+    passage, word, number, _, passages, firsts = _word_cells(*hashed, index.words, index.slots)
     kept = index.weights[word] > 0
     passage, word, number = passage[kept], word[kept], number[kept]
-    if not len(passage):
+    pair_passage, pair = _pair_cells(*hashed, index.pairs, index.pair_slots)
+    feature = np.concatenate((word, len(index.words) + pair))
+    if not len(feature):
         return []
-    # The words each passage shares with each item, from the lists of items by word.
+    # The features each passage shares with each item, from the lists of items by feature.
     begins = np.concatenate(([0], index.holder_ends[:-1]))
-    lengths = (index.holder_ends - begins)[word]
-    offsets = np.repeat(begins[word] - (np.cumsum(lengths) - lengths), lengths)
+    lengths = (index.holder_ends - begins)[feature]
+    offsets = np.repeat(begins[feature] - (np.cumsum(lengths) - lengths), lengths)
     items = index.holders[offsets + np.arange(lengths.sum())]
-    pairs, shared = np.unique(np.repeat(passage, lengths) * len(index.items) + items, return_counts=True)
+    holding = np.repeat(np.concatenate((passage, pair_passage)), lengths)
+    pairs, shared = np.unique(holding * len(index.items) + items, return_counts=True)
     rows, items = pairs // len(index.items), pairs % len(index.items)
     close = shared >= index.needed[items] - 1
     rows, items, shared = rows[close], items[close], shared[close]
@@ -261,10 +325,12 @@ def candidates(run: list[bytes], index: Index, cosine: float) -> list[tuple[int,
         return []
     wanted, rows = np.unique(rows, return_inverse=True)
     kept = np.isin(passage, wanted)
-    passage, word, number = passage[kept], word[kept], number[kept]
-    starts = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
-    value = (number * index.weights[word]).astype(np.float32)
-    latent = _unit(np.add.reduceat(value[:, None] * index.axes[word], starts, axis=0))
+    passage, word, number = np.searchsorted(wanted, passage[kept]), word[kept], number[kept]
+    latent = np.zeros((len(wanted), index.axes.shape[1]), dtype=np.float32)  # 0 where only pairs are shared
+    if len(passage):
+        starts = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
+        value = (number * index.weights[word]).astype(np.float32)
+        latent[passage[starts]] = _unit(np.add.reduceat(value[:, None] * index.axes[word], starts, axis=0))
     queries = np.flatnonzero(np.concatenate(([True], index.owners[1:] != index.owners[:-1])))
     near = np.zeros(len(rows), dtype=np.float32)
     for begin in range(0, len(wanted), PASSAGES_AT_ONCE):

@@ -128,3 +128,57 @@ def test_items_without_id(spark, documents):
     docs = documents([(7, text), (8, "other words")])
     assert [(row.doc_id, row.item_id) for row in decontaminate.matches(docs, benchmark).collect()] == [(7, None)]
     assert [row.doc_id for row in decontaminate.keep_clean(docs, benchmark).collect()] == [8]
+
+
+def test_paraphrases_that_swap_the_rare_words(spark, documents):
+    """Texts over 200 common words; leaks lose an item's rare words, or any of its words, and some gain words."""
+    draw = random.Random(8)
+    common = [f"c{n}" for n in range(200)]
+    rare = iter("".join(draw.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(20_000))
+    items = []
+    for item in range(40):
+        own = words(draw, 32, common) + [next(rare) for _ in range(8)]
+        draw.shuffle(own)
+        items.append((item, " ".join(own)))
+    docs, truth = [], set()
+    for doc in range(600):
+        body = words(draw, draw.choice([30, 200, 500]), common)
+        if doc % 3 == 0:
+            item, text = items[doc // 3 % 40]
+            own = text.split()
+            if doc % 2:
+                own = [word if word in common else next(rare) for word in own]
+            else:
+                swapped = set(draw.sample(range(40), 12))
+                own = [next(rare) if at in swapped else word for at, word in enumerate(own)]
+            if doc % 5 == 0:
+                own[20:20] = words(draw, 2, common)
+            if doc % 4 == 0:
+                body = []  # a document of its own
+            at = draw.randrange(len(body) + 1)
+            body[at:at] = own
+            assert decontaminate.common_subsequence(text.split(), own) / 40 >= 0.7
+            truth.add((doc, item))
+        docs.append((doc, " ".join(body)))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.matches(documents(docs), benchmark).collect()
+    assert {(row.doc_id, row.item_id) for row in found} == truth
+
+
+def test_pairs_against_a_plain_list():
+    draw = random.Random(9)
+    texts = [" ".join(words(draw, count, "abcdefg")) for count in (0, 1, 2, 3, 60, 200)]
+    hashes, counts = decontaminate.word_hashes([text.encode() for text in texts])
+    mixed, places = decontaminate._paired(hashes, counts)
+    split = [(at, word) for at, text in enumerate(texts) for word in text.split()]
+    by_pair = {}
+    begin = 0
+    for gap in (1, 2):
+        own = [at for at in range(len(split) - gap) if split[at][0] == split[at + gap][0]]
+        assert places[begin : begin + len(own)].tolist() == own
+        for at, value in zip(own, mixed[begin : begin + len(own)].tolist(), strict=True):
+            by_pair.setdefault((split[at][1], split[at + gap][1]), set()).add(value)
+        begin += len(own)
+    assert begin == len(mixed)
+    assert all(len(values) == 1 for values in by_pair.values())
+    assert len({value for values in by_pair.values() for value in values}) == len(by_pair)
