@@ -4,6 +4,8 @@ import numpy as np
 
 from corvane.llm import decontaminate
 
+DATA = "/root/testdata/sf0.01"
+
 
 def words(draw, count, stock):
     return [draw.choice(stock) for _ in range(count)]
@@ -182,3 +184,24 @@ def test_pairs_against_a_plain_list():
     assert begin == len(mixed)
     assert all(len(values) == 1 for values in by_pair.values())
     assert len({value for values in by_pair.values() for value in values}) == len(by_pair)
+
+
+def test_recall_on_the_given_tables(spark):
+    """Against the common subsequence of every passage of every document with every item."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    benchmark = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    items = [(row.item_id, tuple(decontaminate.words_of(row.text))) for row in benchmark.collect()]
+    brute = set()
+    for row in docs.collect():
+        split = decontaminate.words_of(row.text or "")
+        for item, own in items:
+            reach = 2 * decontaminate.BLOCK + 2 * len(own)
+            for begin in range(0, max(len(split) - len(own), 1), decontaminate.BLOCK):
+                near = split[begin : begin + reach]
+                held = set(near)  # words in common, in any order, bound the subsequence
+                if sum(word in held for word in own) < decontaminate.LCS_SHARE * len(own):
+                    continue
+                if decontaminate.common_subsequence(own, near) / len(own) >= decontaminate.LCS_SHARE:
+                    brute.add((row.doc_id, item))
+    found = {(row.doc_id, row.item_id) for row in decontaminate.matches(docs, benchmark).collect()}
+    assert brute and brute <= found
