@@ -5,10 +5,20 @@ and compared to licence templates. Two sets of sizes a and b reach a
 coefficient of t only if both a and b are at least t / (2 - t) times the other,
 so a template whose size lies outside these bounds is passed over before any
 bigram is compared. All work happens inside each row; nothing is shuffled.
+
+A notice inside other words (in a line, wrapped, in a comment block) is found by
+windows: as many words as the template has, from each of its bigrams on, wherever
+lines end. A window that reaches t holds at least t / (2 - t) of the template's
+bigrams, so a text without any of the few words that all such windows need, or
+with too few of the bigrams, is passed over before windows are cut.
 """
 
 from __future__ import annotations
 
+import math
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,19 +72,53 @@ def words_of(text: Column) -> Column:
 
 def bigrams_of(words: Column) -> Column:
     """The distinct pairs of neighbouring words; none for fewer than two words."""
+    return F.array_distinct(pairs_of(words))
+
+
+def pairs_of(words: Column) -> Column:
+    """All pairs of neighbouring words, in order."""
     pairs = F.zip_with(
         words, F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(0))), lambda a, b: F.concat_ws(" ", a, b)
     )
-    return F.array_distinct(F.slice(pairs, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))))
+    return F.slice(pairs, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
 
 
-def template_bigrams(text: str) -> list[str]:
-    import re
+def template_words(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
+
 
-    words = re.findall(r"[^\W_]+", text.lower())
+def template_bigrams(text: str) -> list[str]:
+    words = template_words(text)
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
 
 
+@dataclass(frozen=True)
+class Template:
+    """A licence, its distinct bigrams and the bigrams of a window of its length."""
+
+    licence: str
+    pairs: list[str]
+    length: int
+
+    def needed(self, minimum: float) -> int:
+        """How many of the distinct bigrams a window of that coefficient holds at least."""
+        return math.ceil(minimum / (2 - minimum) * len(self.pairs) - 1e-9)
+
+    def telling(self, minimum: float) -> set[str]:
+        """Words of which every window of that coefficient holds one: it cannot miss as many bigrams as are chosen here.
+
+        Long words are chosen, because they are rare in most texts.
+        """
+        words = sorted((max(pair.split(" "), key=lambda word: (len(word), word)) for pair in self.pairs), key=len)
+        return set(words[self.needed(minimum) - 1:])
+
+
+def templates_of(texts: list[tuple[str, str]]) -> list[Template]:
+    """Templates of two words or more, by licence."""
+    found = (Template(name, template_bigrams(text), len(template_words(text)) - 1) for name, text in texts)
+    return sorted((each for each in found if each.pairs), key=lambda each: (each.licence, each.pairs))
+
+
 def notices(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -82,16 +126,22 @@ def notices(
     templates: list[tuple[str, str]] | None = None,
     minimum: float = MINIMUM,
 ) -> DataFrame:
-    """doc_id and ``notices`` per row: (licence, dice, part) of every part that matches.
+    """doc_id, ``notices`` and ``windows`` per row.
 
-    ``part`` counts the parts of a text: its lines from 0 on, then its
-    paragraphs, then -1 for the whole. Of several templates the one with the
-    highest coefficient counts, of equal ones the first licence by name. Null
-    and empty texts have no notice; ids may be null; repeated rows are compared
-    each; an empty table gives an empty result.
+    ``notices`` holds (licence, dice, part) of every part that matches; ``part``
+    counts the parts of a text: its lines from 0 on, then its paragraphs, then
+    -1 for the whole. Of several templates the one with the highest coefficient
+    counts, of equal ones the first licence by name. ``windows`` holds (licence,
+    dice, start, words) of each licence that a window matches, by licence: its
+    highest coefficient, of equal ones the first place, then the fewest words;
+    ``start`` counts the words of the text from 0 on. Windows end with the text.
+
+    Null and empty texts have no notice; ids may be null; repeated rows are
+    compared each; an empty table gives an empty result; other columns of the
+    table are left out, whatever their names.
     """
-    known = sorted((name, template_bigrams(text)) for name, text in (templates or TEMPLATES))
-    known = [(name, pairs) for name, pairs in known if pairs]
+    models = templates_of(templates or TEMPLATES)
+    known = [(model.licence, model.pairs) for model in models]
     share = minimum / (2 - minimum)
     smallest = min((len(pairs) for _, pairs in known), default=1)
     largest = max((len(pairs) for _, pairs in known), default=0)
@@ -153,7 +203,8 @@ def notices(
         F.col("sets"), lambda part: F.struct(best(part["pairs"]).alias("best"), part["part"].alias("part"))
     )
     kept = F.filter(scored, lambda part: part["best"]["dice"] >= minimum)
-    return worded.select("doc_id", sets.alias("sets")).select(
+    cut = worded.select("doc_id", sets.alias("sets"), F.flatten("lines").alias("words"))
+    return _with_windows(cut, models, minimum).select(
         "doc_id",
         F.transform(
             kept,
@@ -161,14 +212,68 @@ def notices(
                 part["best"]["licence"].alias("licence"), part["best"]["dice"].alias("dice"), part["part"].alias("part")
             ),
         ).alias("notices"),
+        "windows",
+    )
+
+
+def _with_windows(worded: DataFrame, models: list[Template], minimum: float) -> DataFrame:
+    """The rows with ``windows``, from their ``words``."""
+    result = "array<struct<licence:string,dice:double,start:int,words:int>>"
+    if not models:
+        return worded.withColumn("windows", F.array().cast(result))
+    telling = sorted(set().union(*(model.telling(minimum) for model in models)))
+    every = sorted({pair for model in models for pair in model.pairs})
+    paired = worded.withColumn(
+        "pairs",
+        F.when(F.arrays_overlap("words", F.array(*map(F.lit, telling))), pairs_of(F.col("words"))).otherwise(
+            F.array().cast("array<string>")
+        ),
+    ).withColumn("shared", F.array_intersect("pairs", F.array(*map(F.lit, every))))
+
+    def found(model: Template) -> Column:
+        own = F.array(*map(F.lit, model.pairs))
+        places = F.filter(
+            F.transform("pairs", lambda pair, at: F.when(F.array_contains(own, pair), at)), lambda at: at.isNotNull()
+        )
+
+        def scored(at: Column) -> Column:
+            window = F.array_distinct(F.slice("pairs", at + 1, F.lit(model.length)))
+            dice = 2.0 * F.size(F.array_intersect(window, own)) / (F.size(window) + len(model.pairs))
+            words = F.least(F.lit(model.length), F.size("pairs") - at) + 1
+            return F.struct(dice.alias("dice"), (-at).alias("back"), (-words).alias("fewer"))
+
+        best = F.array_max(F.transform(places, scored))
+        return F.when(F.size(F.array_intersect("shared", own)) >= model.needed(minimum), best)
+
+    def of_licence(licence: str) -> Column:
+        best = F.array_max(F.array(*(found(model) for model in models if model.licence == licence)))
+        return F.struct(F.lit(licence).alias("licence"), best.alias("best"))
+
+    licences = sorted({model.licence for model in models})
+    matched = F.filter(F.array(*map(of_licence, licences)), lambda each: each["best"]["dice"] >= minimum)
+    return paired.withColumn(
+        "windows",
+        F.transform(
+            matched,
+            lambda each: F.struct(
+                each["licence"].alias("licence"),
+                each["best"]["dice"].alias("dice"),
+                (-each["best"]["back"]).alias("start"),
+                (-each["best"]["fewer"]).alias("words"),
+            ),
+        ).cast(result),
     )
 
 
 def summary(found: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_notices, the best licence (null without one) and its coefficient."""
+    """Per row: doc_id, n_notices and n_windows, the best licence of both (null without one) and its coefficient."""
+    matches = F.concat(
+        *(F.transform(name, lambda each: F.struct(each["licence"].alias("licence"), each["dice"].alias("dice")))
+          for name in ("notices", "windows"))
+    )
     best = F.reduce(
-        "notices",
-        F.lit(None).cast("struct<licence:string,dice:double,part:int>"),
+        matches,
+        F.lit(None).cast("struct<licence:string,dice:double>"),
         lambda kept, other: F.when(
             kept.isNull()
             | (other["dice"] > kept["dice"])
@@ -176,6 +281,9 @@ def summary(found: DataFrame) -> DataFrame:
             other,
         ).otherwise(kept),
     )
-    return found.select("doc_id", F.size("notices").cast("long").alias("n_notices"), best.alias("best")).select(
-        "doc_id", "n_notices", F.col("best.licence").alias("licence"), F.round("best.dice", 6).alias("dice")
-    )
+    return found.select(
+        "doc_id",
+        F.size("notices").cast("long").alias("n_notices"),
+        F.size("windows").cast("long").alias("n_windows"),
+        best.alias("best"),
+    ).select("doc_id", "n_notices", "n_windows", F.col("best.licence").alias("licence"), F.round("best.dice", 6).alias("dice"))

@@ -133,13 +133,11 @@ FROM texts JOIN groups ON texts.body = groups.body
 """
 
 _LICENCE_ROWS = ", ".join(
-    "({}, {})".format(
-        "'" + name + "'", "[" + ", ".join("'" + pair + "'" for pair in license_scan.template_bigrams(text)) + "]"
-    )
-    for name, text in license_scan.TEMPLATES
+    "('{}', [{}], {})".format(model.licence, ", ".join("'" + pair + "'" for pair in model.pairs), model.length)
+    for model in license_scan.templates_of(license_scan.TEMPLATES)
 )
 OP4_SQL = f"""
-WITH templates(licence, own) AS (VALUES {_LICENCE_ROWS}),
+WITH templates(licence, own, length) AS (VALUES {_LICENCE_ROWS}),
 split_up AS (
   SELECT doc_id, coalesce(text, '') AS body, string_split(coalesce(text, ''), chr(10)) AS lines,
          regexp_split_to_array(coalesce(text, ''), '\\n\\s*\\n') AS paragraphs
@@ -161,11 +159,30 @@ split_up AS (
 ), hits AS (
   SELECT doc_id, part_id, max(dice) AS dice, arg_min(licence, (-dice, licence)) AS licence
   FROM scored WHERE dice >= 0.8 GROUP BY ALL
+), whole AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(body), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS words
+  FROM split_up
+), in_order AS (
+  SELECT doc_id, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) AS pairs FROM whole
+), places AS (
+  SELECT doc_id, unnest(pairs) AS pair, unnest(range(1, len(pairs) + 1)) AS place FROM in_order
+), begun AS (
+  SELECT doc_id, place, licence, own, length
+  FROM places JOIN (SELECT *, unnest(own) AS pair FROM templates) USING (pair)
+), windowed AS (
+  SELECT doc_id, licence, own, list_distinct(pairs[place:place + length - 1]) AS pairs FROM begun JOIN in_order USING (doc_id)
+), seen AS (
+  SELECT doc_id, licence, 2.0 * len(list_intersect(pairs, own)) / (len(pairs) + len(own)) AS dice FROM windowed
+), matches AS (
+  SELECT doc_id, licence, dice, 1 AS notice FROM hits
+  UNION ALL SELECT doc_id, licence, max(dice), 0 FROM seen WHERE dice >= 0.8 GROUP BY doc_id, licence
 ), best AS (
-  SELECT doc_id, count(*) AS n_notices, arg_min(licence, (-dice, licence)) AS licence, round(max(dice), 6) AS dice
-  FROM hits GROUP BY doc_id
+  SELECT doc_id, sum(notice) AS n_notices, sum(1 - notice) AS n_windows,
+         arg_min(licence, (-dice, licence)) AS licence, round(max(dice), 6) AS dice
+  FROM matches GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(n_notices, 0) AS n_notices, licence, dice
+SELECT d.doc_id, CAST(coalesce(n_notices, 0) AS BIGINT) AS n_notices, CAST(coalesce(n_windows, 0) AS BIGINT) AS n_windows,
+       licence, dice
 FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
 """
 
