@@ -14,8 +14,13 @@ all its pages' token streams. Boilerplate is
 These tokens go, all others stay: sentences of articles that share some words
 with another page are not boilerplate.
 
-A page's suffixes are sorted and merged where the page is read; between tasks
-only the distinct runs of each page travel, and are counted where they start, so a host of any size is spread over all tasks.
+The suffixes of all pages form one array, sorted by host and tokens over ranges of
+all tasks. Neighbours in it with a common prefix of some length are an interval:
+a repeated substring, whose pages are counted without listing them, because each
+suffix knows what it shares with its page's previous one (:func:`host_array`,
+:func:`repeated_runs`). Suffixes are cut at ``LONG`` times ``LENGTH`` tokens, longer
+repeats are covered by those of that length. Equal suffixes are counted where their
+pages are read, so a host of any size is spread over all tasks.
 """
 
 from __future__ import annotations
@@ -33,10 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm.bloom import without
 from corvane.llm.shingles import word_hashes
 from corvane.llm.tables import named, ship, written
 
-LENGTH = 6  # tokens of a suffix that are compared
+LENGTH = 6  # tokens of the shortest repeated substring that counts
+WORD = 8  # bytes of a token in a suffix
 LONG = 4  # times LENGTH, the tokens of a substring that need not stand on most pages
 MANY = 3  # pages that hold what counts only on most pages
 
@@ -355,10 +362,118 @@ def _all_runs(pages: DataFrame, length: int, owner: str) -> DataFrame:
     )
 
 
+def page_suffixes(blocks, length: int) -> list[tuple[bytes, bool, bool]]:
+    """The suffixes of a page's tokens, sorted, each once: (suffix, whole, fresh).
+
+    A suffix ends with its block and after LONG * length tokens at the latest; ``whole``
+    marks a block of fewer tokens. Suffixes of fewer than ``length`` tokens are left out
+    unless they are a block. ``fresh`` ones share fewer than ``length`` tokens with their predecessor.
+    """
+    _, tokens, stops = _stream(blocks)
+    begins = np.searchsorted(stops, stops)
+    data, found = tokens.tobytes(), set()
+    for place, (begin, stop) in enumerate(zip(begins.tolist(), stops.tolist(), strict=True)):
+        if place + length <= stop or place == begin:
+            whole = place == begin and stop - begin < LONG * length
+            found.add((data[WORD * place : WORD * min(place + LONG * length, stop)], whole))
+    last, rows = b"", []
+    for suffix, whole in sorted(found):
+        rows.append((suffix, whole, common_tokens(last, suffix) < length))
+        last = suffix
+    return rows
+
+
+def common_tokens(one: bytes, other: bytes) -> int:
+    """The length of the longest common prefix of two suffixes."""
+    least = min(len(one), len(other))
+    return next((at for at in range(0, least, WORD) if one[at : at + WORD] != other[at : at + WORD]), least) // WORD
+
+
+def host_array(pages: DataFrame, length: int) -> DataFrame:
+    """(host, suffix, whole, fresh, pages): the sorted suffixes of each host, in files of consecutive ranges.
+
+    ``pages`` counts the pages that hold the suffix with the same ``fresh``; pages
+    with equal blocks count once.
+    """
+    if "row" not in pages.columns:
+        pages = written(pages.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    marks = pages.groupBy("host", "mark").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("same"))
+    again = pages.select("host", "mark", "row").join(marks.filter("same > 1"), ["host", "mark"])
+    single = without(pages.select("row", "host", "blocks"), "row", again.filter("row <> first"), "row")
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            found = [page_suffixes(blocks, length) for blocks in _pairs(batch.column(1))]
+            at = pa.array(np.repeat(np.arange(len(found)), [len(rows) for rows in found]))
+            suffixes, whole, fresh = zip(*(row for rows in found for row in rows), strict=True) if any(found) else ([],) * 3
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), pa.array(suffixes, pa.binary()), pa.array(whole, pa.bool_()), pa.array(fresh, pa.bool_())],
+                names=["host", "suffix", "whole", "fresh"],
+            )
+
+    suffixes = single.select("host", "blocks").mapInArrow(batches, "host string, suffix binary, whole boolean, fresh boolean")
+    counted = suffixes.groupBy("host", "suffix", "whole", "fresh").agg(F.count(F.lit(1)).alias("pages"))
+    counted = written(counted, "suffixes")
+    return counted.repartitionByRange("host", "suffix").sortWithinPartitions("host", "suffix", "whole")
+
+
+def _fingerprints(prefixes: list[bytes], length: int) -> np.ndarray:
+    """What :func:`suffix_runs` gives for suffixes of these tokens, ``length`` at most."""
+    stops = np.cumsum([len(prefix) // WORD for prefix in prefixes], dtype=np.int64)
+    tokens = np.frombuffer(b"".join(prefixes), dtype=np.uint64)
+    return suffix_runs(tokens, np.repeat(stops, [len(prefix) // WORD for prefix in prefixes]), length)[0]
+
+
 def repeated_runs(pages: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(host, run, wide, pages) of token runs that different pages of the host hold, with the number of these."""
-    runs = _all_runs(pages, length, "mark").groupBy("host", "run", "wide")
-    return runs.agg(F.count_distinct("mark").alias("pages")).filter("pages > 1")
+    """(host, run, wide, pages) of token runs that different pages of the host hold, with the number of these.
+
+    They are the intervals of the sorted suffixes whose neighbours have ``length`` tokens
+    in common, or all. Of a page's suffixes in an interval of ``length`` tokens only the first one is
+    fresh. An interval that two ranges share is added up from its parts.
+    """
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple = ("", b"", False)
+        counts = {True: 0, False: 0}
+
+        def closed(wide: bool) -> tuple:
+            host, suffix, _ = last
+            return host, suffix[: WORD * length] if wide else suffix, wide, counts[wide]
+
+        def rows_of(found: list[tuple]) -> pa.RecordBatch:
+            found = [row for row in found if row[3]]
+            hosts, _, wide, held = zip(*found, strict=True) if found else ([],) * 4
+            runs = np.zeros(len(found), dtype=np.int64)
+            for kind, most in ((True, length), (False, LONG * length)):
+                at = [place for place, row in enumerate(found) if row[2] == kind]
+                if at:
+                    runs[at] = _fingerprints([found[place][1] for place in at], most)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(runs), pa.array(wide, pa.bool_()), pa.array(held, pa.int64())],
+                names=["host", "run", "wide", "pages"],
+            )
+
+        for batch in source:
+            found = []
+            for host, suffix, whole, fresh, held in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                common = common_tokens(last[1], suffix) if host == last[0] else 0
+                same_size = len(suffix) == len(last[1])
+                if common < min(length, len(suffix) // WORD) or common < length and not same_size or host != last[0]:
+                    found.append(closed(True))
+                    counts[True] = 0
+                if (host, suffix, whole) != last:
+                    found.append(closed(False))
+                    counts[False] = 0
+                last = host, suffix, whole
+                counts[True] += held if fresh else 0
+                long = len(suffix) == WORD * LONG * length or whole and len(suffix) >= WORD * length
+                counts[False] += held if long else 0
+            yield rows_of(found)
+        yield rows_of([closed(True), closed(False)])
+
+    array = host_array(pages, length)
+    runs = array.mapInArrow(batches, "host string, run bigint, wide boolean, pages bigint")
+    return runs.groupBy("host", "run", "wide").agg(F.sum("pages").alias("pages")).filter("pages > 1")
 
 
 def unique_text(blocks: list[tuple[str, str]], long: set[int], wide: set[int], length: int) -> str:
@@ -404,6 +519,8 @@ def main_text(
 ) -> DataFrame:
     """page_id, url, text and n_chars (code points) per row.
 
+    Suffixes of every page enter the host's array, and every block that markup
+    leaves open looks up its own there; a page without such a block has nothing to look up.
     Null and empty pages have an empty text. Pages without a host form one
     host. Repeated rows and pages with equal blocks count as one page when
     runs are counted, and each gets its text. An empty table gives an empty

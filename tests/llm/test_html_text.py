@@ -1,3 +1,4 @@
+import random
 import time
 
 import pytest
@@ -114,3 +115,27 @@ def test_deep_pages_with_unmatched_ends():
 def test_tags_end_outside_quotes():
     page = "<p title='a > b'>one</p><p title='c>two</p><!-- > --><script>a > b</script><a href=\">\">three</a> 1 < 2"
     assert [text for _, text in html_text.blocks_of(page)] == ["one", "two", "three 1 < 2"]
+
+
+def test_the_host_array_is_sorted_and_counts_pages_as_plain_search_does(spark):
+    draw = random.Random(5)
+    passage = lambda: " ".join(draw.choice("abc") for _ in range(draw.choice((1, 2, 3, 5, 9, 14, 30))))
+    rows = [(at, f"http://h{at % 3}/", "".join(f"<p>{passage()}</p>" for _ in range(4))) for at in range(60)]
+    found = html_text.parsed(pages(spark, rows + rows[:7]), "page_id", "url", "html")
+    length, long = 3, 3 * html_text.LONG
+    array = html_text.host_array(found, length)
+    for part in array.rdd.glom().collect():
+        keys = [(row.host, bytes(row.suffix), row.whole) for row in part]
+        assert keys == sorted(keys)
+    expected = {}
+    for at, _, source in rows:
+        host, blocks = f"h{at % 3}", [tuple(text.split()) for _, text in html_text.blocks_of(source)]
+        for block in blocks:
+            for wide, size in ((True, length), (False, long)):
+                runs = {block[begin : begin + size] for begin in range(len(block) - size + 1)}
+                if len(block) < size and (wide or len(block) >= length):
+                    runs.add(block)
+                for run in runs:
+                    expected.setdefault((host, wide, run), set()).add(at)
+    counts = sorted((host, wide, len(held)) for (host, wide, _), held in expected.items() if len(held) > 1)
+    assert sorted((row.host, row.wide, row.pages) for row in html_text.repeated_runs(found, length).collect()) == counts
