@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.bloom import bloom_of, integers, without
-from corvane.llm.components import components
+from corvane.llm.components import components, first_groups
 from corvane.llm.shingles import chunks, mixed, shingle_sets
 from corvane.llm.tables import id_and_text, ship, written
 
@@ -183,12 +183,15 @@ def confirmed(pairs: DataFrame, content: DataFrame, percent: int, measure: Measu
 def pivots_of(buckets: DataFrame) -> DataFrame:
     """(pivot, doc_id) of every member of a bucket (key, doc_id) and the bucket's pivot.
 
+    Buckets that come with ``members``, their size, are not counted again.
+
     The pivot is the member whose buckets are largest together: in a group of
     edited copies that is a text close to what they were made from.
     """
-    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    weights = buckets.join(sizes, "key").groupBy("doc_id").agg(F.sum("members").alias("weight"))
-    weighed = written(buckets.join(weights, "doc_id"), "weighed")
+    if "members" not in buckets.columns:
+        buckets = buckets.join(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "key")
+    weights = buckets.groupBy("doc_id").agg(F.sum("members").alias("weight"))
+    weighed = written(buckets.select("key", "doc_id").join(weights, "doc_id"), "weighed")
     chosen = weighed.groupBy("key").agg(F.max(F.struct("weight", "doc_id")).alias("top"))
     met = weighed.join(chosen.select("key", F.col("top.doc_id").alias("pivot")), "key")
     return met.filter("doc_id <> pivot").select("pivot", "doc_id").distinct()
@@ -345,18 +348,20 @@ def link_buckets(
         ends = F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")
         return rows.filter(f"100 * i >= {percent} * (n + m - i)").select(*ends)
 
-    families = rest_buckets(stats, written(components(linked(stats)), "groups"))
+    groups = written(first_groups(linked(stats)), "groups")
+    families = rest_buckets(stats, groups)
     again = compared(written(pivots_of(families), "family-pivots"), content, measure)
     links = written(linked(stats).unionByName(linked(again)), "pivot-links")
-    pairs = written(open_pairs(stats, written(components(links), "families"), percent), "pairs")
+    known = groups.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    pairs = written(open_pairs(stats, written(first_groups(links.unionByName(known)), "families"), percent), "pairs")
     return links.unionByName(confirmed(pairs, content, percent, measure))
 
 
 def link_classes(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between classes (doc_id, keys), enough to join all that are linked."""
     exploded = classes.select(F.explode("keys").alias("key"), "doc_id")
-    shared = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("key")
-    buckets = written(exploded.join(shared, "key", "left_semi"), "buckets")
+    shared = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    buckets = written(exploded.join(shared, "key"), "buckets")
     sets = written(full_sets(texts, buckets.select("doc_id").distinct(), width), "sets")
     return link_buckets(buckets, sets.withColumnRenamed("shingles", "content"), percent)
 

@@ -7,6 +7,7 @@ import pytest
 from corvane.llm import near_dedup
 from corvane.llm.components import components
 from corvane.llm.shingles import gram_hashes, shingle_sets
+from corvane.llm.tables import written
 
 
 def roots(nodes, links):
@@ -130,3 +131,20 @@ def test_shingles_match_words():
     grams, sizes = gram_hashes(["abcab", "", "ab", "é"], 2)
     assert sizes.tolist() == [4, 0, 1, 1]
     assert grams[0] == grams[3] == grams[4] != grams[1]
+
+
+def test_groups_within_the_work_take_one_round(spark, monkeypatch):
+    draw = random.Random(8)
+    links = [(draw.randrange(80), draw.randrange(80)) for _ in range(60)] + [(5, 5), (None, 3)]
+    frame = spark.createDataFrame(links, "a bigint, b bigint")
+    least = {row.node: row.component for row in components(frame).collect()}
+    first = {row.node: row.component for row in near_dedup.first_groups(frame).collect()}
+    assert first and all(least[node] == least[component] and node > component for node, component in first.items())
+    tables = []
+    monkeypatch.setattr("corvane.llm.components.written", lambda df, name: (tables.append(name), written(df, name))[1])
+    sets = [(at, list(range(at, at + 40))) for at in range(30)]  # a chain: each set is linked with the next ones only
+    content = spark.createDataFrame(sets, "doc_id bigint, content array<bigint>")
+    buckets = spark.createDataFrame([(at // 3 + side, at) for at in range(30) for side in (0, 1)], "key bigint, doc_id bigint")
+    found = near_dedup.link_buckets(buckets, content, 80)
+    assert tables == ["hung", "hung"]
+    assert {row.component for row in components(found).collect()} == {0}
