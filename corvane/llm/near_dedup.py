@@ -240,14 +240,17 @@ def _widened(tagged: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.expr("CASE WHEN NOT common THEN struct(holders, shingle) END"))).alias("known"),
     )
     told = told.withColumn("known", F.transform("known", lambda each: each["shingle"]))
-    none = F.array().cast("array<bigint>")
-    hot, known = F.coalesce("hot", none), F.coalesce("known", none)
+    asked = tagged.join(told, "pivot", "left").withColumn("told", F.col("hot").isNotNull())
     return (
-        tagged.join(told, "pivot", "left")
-        .withColumn("left_over", F.array_except("rare", hot))
+        asked.withColumn("left_over", F.expr("CASE WHEN told THEN array_except(rare, hot) ELSE rare END"))
         .withColumn("i", F.expr("i + size(rare) - size(left_over)"))
-        .withColumn("rare", F.concat(F.array_except("left_over", known), F.array_intersect(known, "left_over")))
-        .drop("hot", "known", "left_over")
+        .withColumn(
+            "rare",
+            F.when(
+                F.col("told"), F.concat(F.array_except("left_over", "known"), F.array_intersect("known", "left_over"))
+            ).otherwise(F.col("left_over")),
+        )
+        .drop("hot", "known", "left_over", "told")
     )
 
 
@@ -349,7 +352,7 @@ def link_buckets(
         return rows.filter(f"100 * i >= {percent} * (n + m - i)").select(*ends)
 
     groups = written(first_groups(linked(stats)), "groups")
-    families = rest_buckets(stats, groups)
+    families = written(rest_buckets(stats, groups), "family-buckets")
     again = compared(written(pivots_of(families), "family-pivots"), content, measure)
     links = written(linked(stats).unionByName(linked(again)), "pivot-links")
     known = groups.select(F.col("component").alias("a"), F.col("node").alias("b"))

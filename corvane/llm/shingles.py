@@ -67,20 +67,28 @@ def gram_hashes(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``width`` characters of the lines in order, repeats
     included, and their number per line.
 
-    A line of fewer characters is one run; an empty line has none.
+    A line of fewer characters is one run; an empty line has none. Runs of twice
+    the length are made from neighbouring ones, up to the width.
     """
-    lengths = np.array([len(line) for line in lines], dtype=np.int64)
+    # A lone surrogate stands in no text, so a filled line equals no other run.
+    filled = [line.ljust(width, "\ud800") if line else line for line in lines]
+    lengths = np.array([len(line) for line in filled], dtype=np.int64)
+    sizes = np.maximum(lengths - width + 1, 0)
     if not lengths.sum():
-        return np.zeros(0, np.uint64), np.zeros(len(lines), np.int64)
-    data = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
-    up, down = _power_tables(len(data))
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-    sizes = np.where(lengths == 0, 0, np.maximum(lengths - width + 1, 1))
-    begins = np.cumsum(lengths) - lengths
-    firsts = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-    stops = np.minimum(firsts + width, np.repeat(begins + lengths, sizes))
-    return mixed((sums[stops] - sums[firsts]) * down[firsts] + (stops - firsts).astype(np.uint64)), sizes
+        return np.zeros(0, np.uint64), sizes
+    data = np.frombuffer("".join(filled).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    wide, have = data, 1
+    for bit in f"{width:b}"[1:]:
+        wide = wide[:-have] * np.uint64(pow(int(_BASE), have, 1 << 64)) + wide[have:]
+        have *= 2
+        if bit == "1":
+            wide = wide[:-1] * _BASE + data[have:]
+            have += 1
+    within = np.ones(len(data), dtype=bool)
+    ends = np.cumsum(lengths[lengths > 0])
+    for back in range(1, width):
+        within[ends - back] = False
+    return mixed(wide[within[: len(wide)]]), sizes
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
